@@ -2,6 +2,7 @@
 
 from gleanery.llm.fingerprint import op9_fingerprint
 from gleanery.llm.langid import op6_langid
+from gleanery.llm.linededup import OP3_SQL, op3_linededup
 from gleanery.llm.quality import op1_quality
 from gleanery.llm.simhash import op10_simhash
 from gleanery.llm.toxicity import op7_toxicity
@@ -10,10 +11,11 @@ from gleanery.llm.urlfilter import OP2_SQL, op2_urlfilter
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_urlfilter": op2_urlfilter,
+    "op3_linededup": op3_linededup,
     "op6_langid": op6_langid,
     "op7_toxicity": op7_toxicity,
     "op9_fingerprint": op9_fingerprint,
     "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_urlfilter": OP2_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_urlfilter": OP2_SQL, "op3_linededup": OP3_SQL}
