@@ -1,5 +1,6 @@
 """The subpackage's registered queries: QUERIES by name, and ORACLE_SQL where DuckDB can say the same."""
 
+from gleanery.llm.bpe import op5_bpe
 from gleanery.llm.fingerprint import op9_fingerprint
 from gleanery.llm.langid import op6_langid
 from gleanery.llm.linededup import OP3_SQL, op3_linededup
@@ -12,6 +13,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_urlfilter": op2_urlfilter,
     "op3_linededup": op3_linededup,
+    "op5_bpe": op5_bpe,
     "op6_langid": op6_langid,
     "op7_toxicity": op7_toxicity,
     "op9_fingerprint": op9_fingerprint,
