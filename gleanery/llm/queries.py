@@ -1,6 +1,7 @@
 """The subpackage's registered queries: QUERIES by name, and ORACLE_SQL where DuckDB can say the same."""
 
 from gleanery.llm.bpe import op5_bpe
+from gleanery.llm.decontaminate import op8_decontaminate
 from gleanery.llm.fingerprint import op9_fingerprint
 from gleanery.llm.langid import op6_langid
 from gleanery.llm.linededup import OP3_SQL, op3_linededup
@@ -16,6 +17,7 @@ QUERIES = {
     "op5_bpe": op5_bpe,
     "op6_langid": op6_langid,
     "op7_toxicity": op7_toxicity,
+    "op8_decontaminate": op8_decontaminate,
     "op9_fingerprint": op9_fingerprint,
     "op10_simhash": op10_simhash,
 }
