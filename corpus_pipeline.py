@@ -7,10 +7,64 @@ result as Parquet in the shared folder and reads it again for the next.
 
 from __future__ import annotations
 
-STAGES: list = []
-#: Learned lexicons, SimHash groups and BPE merges can't be said in SQL; tests/llm holds brute-force versions.
+from pyspark.sql import functions as F
+
+from gleanery.llm import bpe, decontaminate, linededup, simhash, toxicity
+from gleanery.llm.common import table
+from gleanery.session import cut
+
+
+def drop_toxic(spark, docs, sf_dir):
+    """Documents that the toxicity lexicon scores at its threshold or above go."""
+    lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return docs.where(toxicity.score(docs, lexicon) < toxicity.THRESHOLD).select(docs.columns)
+
+
+def dedup_lines(spark, docs, sf_dir):
+    """Lines whose template an earlier document has go; every document stays, a copy perhaps without text."""
+    return linededup.drop_lines(docs).select(docs.columns)
+
+
+def dedup_documents(spark, docs, sf_dir):
+    """Of each group of near copies the document with the least id stays; of rows that repeat an id, one. Rows
+    without an id stay."""
+    groups = cut(simhash.near_duplicates(docs))
+    gone = cut(groups.where("doc_id <> component_id").select("doc_id").distinct())
+    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    n, ids = groups.where("doc_id is not null").agg(F.count("doc_id"), F.count_distinct("doc_id")).first()
+    if n > ids:
+        left = left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
+    return left
+
+
+def drop_contaminated(spark, docs, sf_dir):
+    """Documents that hold a test item, whole or edited, go."""
+    held = decontaminate.held_items(docs, table(spark, sf_dir, "benchmark"))
+    return docs.where(F.size(held) == 0).select(docs.columns)
+
+
+def encode(spark, docs, sf_dir):
+    """Token counts and digests of the ids and of the decoded text of every document left."""
+    return docs.select("doc_id", bpe.encode(docs).alias("e")).select("doc_id", "e.n_tokens", "e.ids_sha256", "e.decoded_sha256")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", dedup_lines),
+    ("simhash_near_dedup", dedup_documents),
+    ("decontamination", drop_contaminated),
+    ("bpe", encode),
+]
+
+#: Learned lexicons, SimHash groups, alignments and BPE merges can't be said in SQL: tests/llm holds brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    raise NotImplementedError
+    """All stages over ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = cut(docs)
+    return docs

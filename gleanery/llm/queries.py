@@ -3,6 +3,7 @@
 from gleanery.llm.bpe import op5_bpe
 from gleanery.llm.decontaminate import op8_decontaminate
 from gleanery.llm.fingerprint import op9_fingerprint
+from gleanery.llm.htmltext import op4_htmltext
 from gleanery.llm.langid import op6_langid
 from gleanery.llm.linededup import OP3_SQL, op3_linededup
 from gleanery.llm.quality import op1_quality
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_urlfilter": op2_urlfilter,
     "op3_linededup": op3_linededup,
+    "op4_htmltext": op4_htmltext,
     "op5_bpe": op5_bpe,
     "op6_langid": op6_langid,
     "op7_toxicity": op7_toxicity,
