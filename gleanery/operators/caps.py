@@ -44,7 +44,8 @@ def select(df: DataFrame, order: list[str], caps: dict[str, tuple[list[str], int
 
 def _in_groups(slim: DataFrame, ordered: list[str], names: list[str], limits: list[int], within: list[str]) -> DataFrame:
     def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ordered, kind="stable", na_position="first")
+        columns = [[(x is not None, tuple(x.values()) if isinstance(x, dict) else x) for x in pdf[c]] for c in ordered]
+        pdf = pdf.iloc[sorted(range(len(pdf)), key=list(zip(*columns, strict=True)).__getitem__)]
         used = [Counter() for _ in limits]
         reasons = []
         for keys in zip(*[pdf[f"_k{i}"] for i in range(len(limits))], strict=True):
@@ -55,7 +56,7 @@ def _in_groups(slim: DataFrame, ordered: list[str], names: list[str], limits: li
             reasons.append(None if full is None else names[full])
         return pd.DataFrame({"_uid": pdf["_uid"], "reason": pd.Series(reasons, index=pdf.index, dtype=object)})
 
-    return slim.groupBy(*(within or [F.lit(0)])).applyInPandas(greedy, "_uid long, reason string")
+    return slim.withColumn("_all", F.lit(0)).groupBy("_all", *within).applyInPandas(greedy, "_uid long, reason string")
 
 
 def _in_rounds(slim: DataFrame, ordered: list[str], names: list[str], limits: list[int]) -> DataFrame:

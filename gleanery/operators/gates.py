@@ -56,7 +56,7 @@ def refs_of(d: DataFrame) -> Column:
             return F.lit(None).cast("array<string>")
         if d.schema[c].dataType.typeName() == "array":
             return F.when(F.size(c) > 0, F.col(c))
-        parts = F.filter(F.transform(F.split(F.col(c), ","), F.trim), lambda x: x != "")
+        parts = F.filter(F.transform(F.split(F.col(c), ","), lambda t: F.trim(t)), lambda x: x != "")
         return F.when(F.size(parts) > 0, parts)
 
     return F.coalesce(one("evidence_ids"), one("evidence_refs"), F.array().cast("array<string>"))

@@ -2,5 +2,28 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def register(name: str, sql: str | None = None):
+    """Add a query (spark, sf_dir) -> DataFrame under a name, with the SQL that must give the same rows."""
+
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLE_SQL[name] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+from gleanery.plans import catalog, curation, evaluation  # noqa: E402, F401

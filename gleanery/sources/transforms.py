@@ -120,7 +120,7 @@ def catalog(raw: DataFrame, snapshot: str) -> DataFrame:
     elif raw.schema["synonyms"].dataType.typeName() == "array":
         syn = F.coalesce("synonyms", F.array().cast("array<string>"))
     else:
-        syn = F.filter(F.transform(F.split(_empty(F.col("synonyms")), ";"), F.trim), lambda x: x != "")
+        syn = F.filter(F.transform(F.split(_empty(F.col("synonyms")), ";"), lambda t: F.trim(t)), lambda x: x != "")
     return raw.select(
         name.alias("scientific_name"), _any(raw, "authorship").alias("authorship"), F.coalesce(canonical_rank(F.coalesce(_any(raw, "rank"), F.lit("species"))), F.lit("species")).alias("rank"), _any(raw, "family").alias("family"),
         _any(raw, "genus").alias("genus"), _any(raw, "wsc_id", "id", "taxon_id").alias("wsc_id"), F.lit(snapshot).alias("snapshot_id"), F.when(status.isin(*CATALOG_STATUSES), status).otherwise("accepted").alias("taxonomic_status"), syn.alias("synonyms"), _any(raw, "accepted_name").alias("accepted_name"),
