@@ -61,3 +61,21 @@ def upgradable(media: DataFrame, min_width: int = 150) -> DataFrame:
     """Accepted media of unknown or small width: for each taxon the one of least media id as text ("10" before "9")."""
     small = media.where((F.col("validation_status") == "accepted") & (F.col("width").isNull() | (F.col("width") < min_width)))
     return small.groupBy("source_taxon").agg(F.min(F.col("source_media_id").cast("string")).alias("source_media_id"))
+
+
+def common_names(taxa: DataFrame, found: DataFrame) -> DataFrame:
+    """``taxa`` (taxon) with ``common_name`` from lookup results (taxon, place, name, common_name): that of the result whose name equals the taxon but for case, else the
+    first result's, else null. A null is never replaced by a guess."""
+    same = F.lower("name") == F.lower("taxon")
+    best = found.groupBy("taxon").agg(F.min_by("common_name", F.when(same, F.col("place"))).alias("exact"), F.max(same).alias("any_exact"), F.min_by("common_name", "place").alias("first"))
+    return taxa.join(best.select("taxon", F.when(F.col("any_exact"), F.col("exact")).otherwise(F.col("first")).alias("common_name")), "taxon", "left")
+
+
+def photo_codes(accept: list[str]) -> str:
+    """License codes for a photo query, from accepted codes or identifiers."""
+    from gleanery.functions.licenses import CODES, IDENTIFIERS
+
+    upper = {v: k for k, v in CODES.items()}
+    usual = {c: {c, IDENTIFIERS.get(c, "").lower(), f"{c}-4.0"} for c in ("cc0", "cc-by", "cc-by-nc", "cc-by-sa", "cc-by-nc-sa")}
+    codes = {upper[c] for c, forms in usual.items() if any(a.lower() in forms for a in accept)}
+    return ",".join(sorted(codes)) or "cc0,cc-by,cc-by-nc"

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import random
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 
 def seeded(seed: int, *parts: Column) -> Column:
@@ -86,3 +90,27 @@ def build_tasks(taxa: DataFrame, media: DataFrame, suite: str, imaged_only: bool
     kept = taxa.join(least, "taxon", "inner" if imaged_only else "left")
     task_id = F.concat(F.lit(f"{suite}:"), F.replace("taxon", F.lit(" "), F.lit("_")))
     return kept.select(task_id.alias("task_id"), F.col("taxon").alias("correct_taxon"), "family", "m.*")
+
+
+def relabel(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """Tasks (task_id, correct_taxon, candidates) with every candidate and the answer as ``Common (Latin)`` where a common name is known; ``latin`` keeps the answer's
+    own name. ``names``: (taxon, common_name); its size is the suite's list of taxa, which every task may show whole, so it is broadcast as one map."""
+    pairs = names.where("common_name <> ''").groupBy().agg(F.map_from_entries(F.collect_list(F.struct("taxon", "common_name"))).alias("_m"))
+    known = pairs.first()._m or {}
+    lookup = F.map_from_arrays(F.array(*[F.lit(k) for k in known]), F.array(*[F.lit(v) for v in known.values()])) if known else F.lit(None).cast("map<string,string>")
+    label = lambda c: F.coalesce(F.concat(F.try_element_at(lookup, c), F.lit(" ("), c, F.lit(")")), c)
+    return rows.select(*[c for c in rows.columns if c not in ("correct_taxon", "candidates")], label(F.col("correct_taxon")).alias("correct_taxon"), F.transform("candidates", label).alias("candidates"), F.col("correct_taxon").alias("latin"))
+
+
+def python_order(rows: DataFrame, seed: int, scope: str, items: str, take: int) -> DataFrame:
+    """``rows`` with ``picked``: ``take`` of the array ``items`` in the order of Python's generator seeded with ``seed:scope``, over the sorted
+    items: exact parity with published row-local shortlists, where the seeded hash order isn't wanted."""
+    @F.pandas_udf(ArrayType(StringType()))
+    def draw(keys: pd.Series, pools: pd.Series) -> pd.Series:
+        out = []
+        for k, pool in zip(keys, pools, strict=True):
+            own = sorted(pool)
+            out.append(random.Random(f"{seed}:{k}").sample(own, min(take, len(own))))
+        return pd.Series(out, dtype=object)
+
+    return rows.withColumn("picked", draw(F.col(scope).cast("string"), F.col(items)))

@@ -125,3 +125,8 @@ def catalog(raw: DataFrame, snapshot: str) -> DataFrame:
         name.alias("scientific_name"), _any(raw, "authorship").alias("authorship"), F.coalesce(canonical_rank(F.coalesce(_any(raw, "rank"), F.lit("species"))), F.lit("species")).alias("rank"), _any(raw, "family").alias("family"),
         _any(raw, "genus").alias("genus"), _any(raw, "wsc_id", "id", "taxon_id").alias("wsc_id"), F.lit(snapshot).alias("snapshot_id"), F.when(status.isin(*CATALOG_STATUSES), status).otherwise("accepted").alias("taxonomic_status"), syn.alias("synonyms"), _any(raw, "accepted_name").alias("accepted_name"),
     ).where("scientific_name <> ''")
+
+
+def reduced_snapshot(raw: DataFrame, fetched_at: str) -> DataFrame:
+    """What a suite freezes of its observations: label, grade, captivity, license and photos, without precise coordinates."""
+    return raw.select("id", "uuid", "quality_grade", "captive", "license_code", "taxon", "photos", F.col("user.id").alias("observer_id"), F.lit(fetched_at).alias("fetched_at"))
