@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from gleanery.llm.common import small_batches, table
 
 SEED, WINDOW = 3, 2
-THRESHOLD = 0.5
+THRESHOLD = 0.4
 MATCH, OTHER, GAP = 2, -1, -1
 #: Items whose words and seeds are held at once.
 BLOCK_ITEMS = 20_000
@@ -127,8 +127,8 @@ def matches(block: Block, words: list[str], threshold: float = THRESHOLD) -> lis
     out = []
     for item, starts in sorted(diagonals.items()):
         own = block.items[item]
-        slack = len(own) // 2 + 8  # an alignment over the threshold shifts by less than half the item
         most, need = (0, 0), threshold * MATCH * len(own)
+        slack = int((MATCH * len(own) - need) / -GAP) + 1  # an alignment over the threshold can afford no more gaps
         starts = sorted(set(starts))
         lo = 0
         for k in range(1, len(starts) + 1):

@@ -24,12 +24,13 @@ from gleanery.session import cut
 LEADING = 3
 MIN_TOKENS = 3
 MIN_FIELDS = 9
+BLANKS = " \t\r\f\x0b"
 SPACE = r"[ \t\r\f\x0B]+"
 
 
 def tokens(line: Column) -> Column:
     """The line's tokens, those with a digit as ``<*>``."""
-    words = F.filter(F.split(line, SPACE), lambda w: w != "")
+    words = F.split(F.btrim(line, F.lit(BLANKS)), SPACE)
     return F.when(line.rlike("[0-9]"), F.transform(words, lambda w: F.when(w.rlike("[0-9]"), "<*>").otherwise(w))).otherwise(words)
 
 
@@ -55,14 +56,14 @@ def drop_lines(docs: DataFrame) -> DataFrame:
     key = F.xxhash64("doc_id", "text")  # tells apart different texts under one id
     lines = docs.where("doc_id is not null and text is not null").select("doc_id", key.alias("k"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     lines = lines.select("doc_id", "k", "pos", tokens(F.col("line")).alias("w")).select("doc_id", "k", "pos", template_keys(F.col("w")).alias("keys"))
-    lines = cut(lines.where(F.size("keys") > 0))
+    lines = cut(lines)  # unfiltered: a filter on keys would be pushed down and work them out a second time
     each = lines.select("doc_id", "k", "pos", F.explode("keys").alias("t"))
     first = each.groupBy("t").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("t", "first")
     drop = each.join(cut(first), "t").where("first < doc_id").groupBy("doc_id", "k").agg(F.collect_set("pos").alias("_drop"))
     old = F.split("text", "\n", -1)
     joined = docs.withColumn("_k", key).join(drop.withColumnsRenamed({"doc_id": "_d", "k": "_k2"}), (F.col("doc_id") == F.col("_d")) & (F.col("_k") == F.col("_k2")), "left")
     kept = F.array_join(F.filter(old, lambda x, i: ~F.array_contains(F.col("_drop"), i)), "\n")
-    out = joined.withColumn("_n_dropped", F.coalesce(F.array_size("_drop"), F.lit(0))).withColumn("_n_lines", F.when(F.col("text").isNotNull(), F.size(old)).otherwise(0))
+    out = joined.withColumn("_n_dropped", F.coalesce(F.array_size("_drop"), F.lit(0))).withColumn("_n_lines", F.when(F.col("text").isNotNull(), F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).otherwise(0))
     out = out.withColumn("text", F.when(F.col("_drop").isNotNull(), kept).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_drop").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
