@@ -18,8 +18,6 @@ import hashlib
 import heapq
 import json
 import os
-import re
-import struct
 import tempfile
 import unicodedata
 from collections.abc import Iterator
@@ -32,10 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.llm.common import small_batches, table
-from gleanery.session import cut
 
 #: Words in the lexicon at most, and how often a word must occur to be one.
-LEXICON_WORDS, MIN_COUNT = 100_000, 4
+LEXICON_WORDS, MIN_COUNT = 50_000, 8
 CACHE_WORDS = 300_000
 TOKENIZER = "word_bpe_49k.json"
 
@@ -83,7 +80,6 @@ class Merger:
 
     def __init__(self, rules: Rules):
         self.rules, self.letters = rules, byte_letters()
-        self.complete = all(x in rules.vocab and x + rules.end in rules.vocab for x in self.letters)
 
     def __call__(self, word: str) -> list[int]:
         ranks, vocab = self.rules.ranks, self.rules.vocab
@@ -91,21 +87,18 @@ class Merger:
         if not parts:
             return []
         parts[-1] += self.rules.end
-        if not self.complete:
-            parts = [p for p in parts if p in vocab]
+        parts = [p for p in parts if p in vocab]
         if len(parts) > 48:
             parts = self._long(parts)
         else:
-            get, none = ranks.get, len(ranks)
-            near = [get(p, none) for p in zip(parts, parts[1:], strict=False)]  # the rank of each part with the next
-            while near and (least := min(near)) != none:
-                k = near.index(least)
-                parts[k] += parts.pop(k + 1)
-                del near[k]
-                if k < len(near):
-                    near[k] = get((parts[k], parts[k + 1]), none)
-                if k:
-                    near[k - 1] = get((parts[k - 1], parts[k]), none)
+            none = len(ranks)
+            while len(parts) > 1:
+                got = [ranks.get(p, none) for p in zip(parts, parts[1:], strict=False)]
+                least = min(got)
+                if least == none:
+                    break
+                k = got.index(least)
+                parts[k : k + 2] = [parts[k] + parts[k + 1]]
         return [vocab[p] for p in parts]
 
     def _long(self, parts: list[str]) -> list[str]:
@@ -238,20 +231,14 @@ class Lexicon:
         return rank
 
 
-#: Words of texts without other numerals, odd controls or code points past Latin: what the standard library's tables agree on with the pattern's.
-PLAIN = re.compile(r"[^\x00-\x1b\x20-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u024f]")
-PLAIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-
-
 class Encoder:
     def __init__(self, rules: Rules, block: bytes):
         self.rules, self.lexicon, self.merge = rules, Lexicon(block), Merger(rules)
         self.find = regex.compile(rules.pattern).findall
-        self.quick = PLAIN_WORDS.findall if rules.pattern == PATTERN else None
         self.tokens = {i: t for t, i in rules.vocab.items()} | {i: t for t, i in rules.special.items()}
         self.special = regex.compile("|".join(map(regex.escape, sorted(rules.special, key=len, reverse=True)))) if rules.special else None
-        self.known: dict[str, tuple[bytes, str]] = {}  # word -> (its ids in bytes, its decoded form)
+        self.coded: dict[str, bytes] = {}
+        self.shown: dict[str, str] = {}
 
     def words(self, text: str) -> list[str]:
         """The text's words, special tokens as they are (no word of the pattern can be one)."""
@@ -268,46 +255,32 @@ class Encoder:
             text = unicodedata.normalize("NFC", text)
             if "Σ" in text:  # letters are lowered one by one: no final form
                 text = text.replace("Σ", "σ")
-        text = text.lower()
-        return self.quick(text) if self.quick and PLAIN.search(text) is None else self.find(text)
+        return self.find(text.lower())
 
-    def learn(self, new: list[str]) -> None:
+    def learn(self, words: list[str]) -> None:
+        if len(self.coded) > CACHE_WORDS:
+            self.coded, self.shown = {}, {}
+        new = [w for w in words if w not in self.coded]
         ranks = self.lexicon.ranks([w.encode("utf-8", "surrogatepass") for w in new])
-        tokens, special = self.tokens, self.rules.special
         for w, r in zip(new, ranks.tolist(), strict=True):
-            if r >= 0:
-                packed = self.lexicon.ids[self.lexicon.offset[r] : self.lexicon.offset[r + 1]]
-                ids, packed = packed.tolist(), packed.tobytes()
+            if w in self.rules.special:
+                ids = [self.rules.special[w]]
+            elif r >= 0:
+                ids = self.lexicon.ids[self.lexicon.offset[r] : self.lexicon.offset[r + 1]].tolist()
             else:
-                ids = [special[w]] if w in special else self.merge(w)
-                packed = struct.pack(f"<{len(ids)}I", *ids)
-            self.known[w] = packed, " ".join([tokens[i] for i in ids])
+                ids = self.merge(w)
+            self.coded[w] = np.array(ids, "<u4").tobytes()
+            self.shown[w] = " ".join([self.tokens[i] for i in ids])
 
     def batch(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         """(ids as little-endian unsigned 32-bit integers, decoded text) of each text."""
         words = [self.words(t) for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known = {}
         new = set()
         for w in words:
             new.update(w)
-        known = self.known
-        self.learn([w for w in new if w not in known])
+        self.learn(list(new) if len(self.coded) > CACHE_WORDS else [w for w in new if w not in self.coded])
         for w in words:
-            pairs = [known[x] for x in w]
-            yield b"".join([p[0] for p in pairs]), " ".join([p[1] for p in pairs if p[1]])
-
-
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def _encoder(rules: Rules, block: bytes) -> Encoder:
-    """The worker process's encoder for a lexicon: what one task has learned serves the next."""
-    key = hashlib.sha256(block).hexdigest() + str(len(rules.vocab))
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(rules, block)
-    return _ENCODERS[key]
+            yield b"".join([self.coded[x] for x in w]), " ".join([s for x in w if (s := self.shown[x])])
 
 
 def decode(rules: Rules, ids: list[int]) -> str:
@@ -320,15 +293,8 @@ def frequent_words(docs: DataFrame, limit: int = LEXICON_WORDS) -> list[str]:
     """The ``limit`` most frequent runs of letters in all lower-cased texts, MIN_COUNT times at least: a lexicon that only
     saves time, so that a word's form here may differ from the encoder's. Counts combine before the one shuffle."""
     runs = docs.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("w"))
-    counted = cut(runs.where("w <> ''").groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_COUNT))
-    # How many words there are for each count's leading bits tells the count to start from, so that no task sends more than its share.
-    step = F.when(F.col("n") < 64, F.col("n")).otherwise(F.expr("cast(64 * pow(1.05, floor(ln(n / 64.0) / ln(1.05))) as bigint)"))
-    least, total = None, 0
-    for r in sorted(counted.groupBy(step.alias("s")).count().collect(), reverse=True):
-        if total + r["count"] > limit:
-            break
-        least, total = r.s, total + r["count"]
-    return sorted(r.w for r in counted.where(step >= least).select("w").collect()) if least is not None else []
+    counted = runs.where("w <> ''").groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_COUNT)
+    return [r.w for r in counted.orderBy(F.desc("n"), "w").limit(limit).collect()]
 
 
 def encode(docs: DataFrame, path: str | None = None, text: str = "text"):
@@ -342,7 +308,7 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text"):
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = _encoder(*shared.value)
+        encoder = Encoder(*shared.value)
         sha = hashlib.sha256
         for s in batches:
             got = [(len(ids) // 4, sha(ids).hexdigest(), sha(shown.encode("utf-8", "surrogatepass")).hexdigest()) for ids, shown in encoder.batch(["" if t is None else t for t in s])]
