@@ -19,6 +19,8 @@ from gleanery.functions import licenses, media
 from gleanery.session import cut, uncut
 
 IN_MEMORY_ROWS = 1_000_000
+#: Rows that an ordered pass over several small groups should take.
+PASS_ROWS = 20_000
 
 
 def select(df: DataFrame, order: list[str], caps: dict[str, tuple[list[str], int]], within: list[str] | None = None, in_memory: int = IN_MEMORY_ROWS) -> DataFrame:
@@ -30,19 +32,20 @@ def select(df: DataFrame, order: list[str], caps: dict[str, tuple[list[str], int
     rest = F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"})
     keys = {f"_k{i}": F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in cols]) for i, (cols, _) in enumerate(caps.values())}
     tagged = cut(df.withColumns(keys | {"_rest": rest}).withColumn("_uid", F.monotonically_increasing_id()))
-    biggest = (tagged.groupBy(*within).count() if within else tagged.groupBy().count()).agg(F.max("count")).first()[0] or 0
+    biggest, total = (tagged.groupBy(*within).count() if within else tagged.groupBy().count()).agg(F.max("count"), F.sum("count")).first()
     limits = [n for _, n in caps.values()]
     names = list(caps)
     ordered = [*order, "_rest", "_uid"]
     slim = tagged.select(*dict.fromkeys([*(within or []), *ordered, *keys]))
-    if biggest <= in_memory:
-        found = _in_groups(slim, ordered, names, limits, within or [])
+    if (biggest or 0) <= in_memory:
+        # Small groups go several to a pass: their counters have keys of their own.
+        found = _in_groups(slim, ordered, names, limits, within or [], 1 + (total or 0) // PASS_ROWS)
     else:
         found = _in_rounds(slim, ordered, names, limits)
     return tagged.join(found, "_uid").drop("_uid", "_rest", *keys)
 
 
-def _in_groups(slim: DataFrame, ordered: list[str], names: list[str], limits: list[int], within: list[str]) -> DataFrame:
+def _in_groups(slim: DataFrame, ordered: list[str], names: list[str], limits: list[int], within: list[str], passes: int) -> DataFrame:
     def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
         columns = [[(x is not None, tuple(x.values()) if isinstance(x, dict) else x) for x in pdf[c]] for c in ordered]
         pdf = pdf.iloc[sorted(range(len(pdf)), key=list(zip(*columns, strict=True)).__getitem__)]
@@ -56,7 +59,8 @@ def _in_groups(slim: DataFrame, ordered: list[str], names: list[str], limits: li
             reasons.append(None if full is None else names[full])
         return pd.DataFrame({"_uid": pdf["_uid"], "reason": pd.Series(reasons, index=pdf.index, dtype=object)})
 
-    return slim.withColumn("_all", F.lit(0)).groupBy("_all", *within).applyInPandas(greedy, "_uid long, reason string")
+    share = F.pmod(F.xxhash64(*within), F.lit(passes)) if within else F.lit(0)
+    return slim.withColumn("_pass", share).groupBy("_pass").applyInPandas(greedy, "_uid long, reason string")
 
 
 def _in_rounds(slim: DataFrame, ordered: list[str], names: list[str], limits: list[int]) -> DataFrame:
