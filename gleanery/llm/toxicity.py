@@ -117,32 +117,45 @@ def curve(lex: Lexicon, mass: float, words: int) -> float:
 
 def learn(sample: list[tuple[str, int]]) -> Lexicon:
     """A word's weight is its smoothed log odds ratio. It counts once for each different preceding word, so
-    copies of one text don't make its words look typical."""
+    copies of one text don't make its words look typical. Texts are held folded, words of clean rows are counted only if toxic rows
+    make them candidates: the driver's memory stays near the sample's size."""
     seen: set[str] = set()
-    rows = [(fold_text(t).split(), y) for t, y in sample if not (t in seen or seen.add(t))]
-    docs = Counter(y for _, y in rows)
-    if len(docs) < 2:
+    rows = [(fold_text(t), y) for t, y in sample if not (t in seen or seen.add(t))]
+    if len({y for _, y in rows}) < 2:
         return Lexicon({fold_text(w).strip(): 2.0 for w in BUILT_IN}, list(BUILT_IN_EXCEPTIONS))
-    contexts: tuple[dict[str, set], dict[str, set]] = (defaultdict(set), defaultdict(set))
-    for words, y in rows:
-        for prev, w in zip(["", *words], words, strict=False):
-            contexts[y][w].add(prev)
-    size = [sum(map(len, c.values())) for c in contexts]
+    size = [0, 0]
+    toxic: dict[str, set[str]] = defaultdict(set)
+    for text, y in rows:
+        words = text.split()
+        size[y] += len(words)
+        for prev, w in zip(["", *words], words, strict=False) if y else ():
+            toxic[w].add(prev)
+    candidates = {w: len(c) for w, c in toxic.items() if len(c) >= MIN_CONTEXTS}
+    del toxic
+    clean: dict[str, set[str]] = {w: set() for w in candidates}
+    for text, y in rows:
+        if not y:
+            words = text.split()
+            for prev, w in zip(["", *words], words, strict=False):
+                # A word with many more contexts in clean rows than it needs to fail the test needn't be followed on.
+                if w in clean and len(clean[w]) < 4 * candidates[w] * (1 + size[0] // max(size[1], 1)):
+                    clean[w].add(prev)
     weights = {}
-    for w, got in contexts[1].items():
-        if len(got) >= MIN_CONTEXTS:
-            odds = math.log((len(got) + 0.5) / (size[1] + 1)) - math.log((len(contexts[0].get(w, ())) + 0.5) / (size[0] + 1))
-            if odds >= MIN_LOG_ODDS:
-                weights[w] = odds
+    for w, n in candidates.items():
+        odds = math.log((n + 0.5) / (size[1] + 1)) - math.log((len(clean[w]) + 0.5) / (size[0] + 1))
+        if odds >= MIN_LOG_ODDS:
+            weights[w] = odds
+    del clean
     weights = weights or {fold_text(w).strip(): 2.0 for w in BUILT_IN}
     # A neighbour pair that holds a lexicon word, recurs in clean rows and never occurs in toxic ones excuses the word.
     pairs: tuple[Counter, Counter] = (Counter(), Counter())
-    for words, y in rows:
+    for text, y in rows:
+        words = text.split()
         pairs[y].update({f"{a} {b}" for a, b in zip(words, words[1:], strict=False) if a in weights or b in weights})
     exceptions = sorted([p for p, n in pairs[0].items() if n >= 3 and p not in pairs[1]] + list(BUILT_IN_EXCEPTIONS))
     best = None
     matcher = Matcher(Lexicon(weights, exceptions))
-    found = [(*matcher.mass(" ".join(words)), y) for words, y in rows]
+    found = [(*matcher.mass(text), y) for text, y in rows]
     y = np.array([f[2] for f in found], float)
     for power in (0.0, 0.25, 0.5, 0.75, 1.0):
         x = np.array([math.log1p(m / max(n, 1) ** power) for m, n, _ in found])
