@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gleanery.llm import bpe, decontaminate, linededup, simhash, toxicity
+from gleanery.llm import bpe, decontaminate, linededup, simhash, similar, toxicity
 from gleanery.llm.common import table
+from gleanery.operators.components import connected_components
 from gleanery.session import cut
 
 
@@ -27,11 +28,22 @@ def dedup_lines(spark, docs, sf_dir):
 
 def dedup_documents(spark, docs, sf_dir):
     """Of each group of near copies the document with the least id stays; of rows that repeat an id, one. Rows
-    without an id stay."""
-    groups = cut(simhash.near_duplicates(docs))
-    gone = cut(groups.where("doc_id <> component_id").select("doc_id").distinct())
+    without an id stay. Links are op10's and those of all pairs whose 5-word shingles are 0.8 alike or more."""
+    rows = cut(docs.select("doc_id", F.xxhash64("text").alias("t"), simhash.fingerprints(docs).alias("fp"), similar.heads(docs).alias("h")).select("doc_id", "t", "fp", "h.*"))
+    groups = rows.select("doc_id", "t", "fp", "key").join(simhash.components(rows), "fp")
+    known = cut(groups.where("doc_id is not null").select("doc_id", "t", "key", F.col("component").alias("c")))
+    # SimHash groups are the nodes; one set of shingles may lie in several of them.
+    of = cut(known.groupBy("key").agg(F.min("c").alias("low")))
+    same = known.join(of, "key").where("low < c").select(F.col("low").alias("u"), F.col("c").alias("v"))
+    alike = similar.links(rows.where("doc_id is not null"), docs.select("doc_id", F.xxhash64("text").alias("t"), "text"))
+    for side in ("u", "v"):
+        alike = alike.join(of.withColumnRenamed("key", side), side).drop(side).withColumnRenamed("low", f"_{side}")
+    edges = cut(same.unionByName(alike.select(F.col("_u").alias("u"), F.col("_v").alias("v"))).where("u <> v").distinct())
+    joined = known.join(connected_components(edges).withColumnRenamed("node", "c"), "c", "left").withColumn("c", F.coalesce("component", "c"))
+    least = joined.groupBy("c").agg(F.min("doc_id").alias("least"))
+    gone = cut(joined.join(least, "c").where("doc_id <> least").select("doc_id").distinct())
     left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    n, ids = groups.where("doc_id is not null").agg(F.count("doc_id"), F.count_distinct("doc_id")).first()
+    n, ids = known.agg(F.count("doc_id"), F.count_distinct("doc_id")).first()
     if n > ids:
         left = left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
     return left

@@ -195,6 +195,13 @@ def links(prints: DataFrame, radius: int = RADIUS, leaf: int = LEAF, sample: int
     return sent.groupBy("tree", "leaf").applyInPandas(search, "u long, v long")
 
 
+def components(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(fp, component): the group of each distinct fingerprint of ``prints``, by its least linked one."""
+    distinct = cut(prints.select("fp").distinct())
+    groups = connected_components(cut(links(distinct, radius).distinct()))
+    return distinct.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, text: str = "text") -> DataFrame:
     """(doc_id, fp, component_id): one row per document; component_id is the least doc_id of its group.
 

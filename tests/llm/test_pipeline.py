@@ -91,3 +91,29 @@ def test_pipeline_of_nothing(spark, folder, tmp_path):
         spark.read.parquet(f"{at}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert P.run(spark, str(tmp_path)).count() == 0
     assert decontaminate.THRESHOLD == 0.4 and toxicity.THRESHOLD == 0.7
+
+
+def test_near_dedup_finds_every_pair_at_four_fifths(spark, folder):
+    at, _, _ = folder
+    rng = random.Random(5)
+    vocab = [f"v{k}" for k in range(4000)]
+    common, docs = [rng.choice(vocab) for _ in range(60)], []
+    for d in range(60):
+        words = [rng.choice(vocab) for _ in range(rng.randrange(60, 200))] + (common if d % 3 == 0 else [])
+        docs.append((d, words))
+        for c in range(1, 4):  # words inserted, deleted and replaced: about 0.6 to 1
+            new = list(words)
+            for _ in range(rng.randrange(1, 2 + len(new) // 40)):
+                k = rng.randrange(len(new))
+                new[k : k + 1] = rng.choice([[], ["x"], ["y", new[k]]])
+            docs.append((100 * c + d, new))
+    texts = [(d, " ".join(w)) for d, w in docs] + [(1000, "one two"), (1001, "One  two"), (1002, "one three"), (1003, ""), (1004, None), (None, docs[1][1][0])]
+    sets = {d: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for d, w in docs}
+    group, prints = {d: d for d, _ in docs}, {d: simhash.fingerprint(t) for d, t in texts}
+    close = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    for _ in range(6):
+        for a, b in close + [(a, b) for a in sets for b in sets if (prints[a] ^ prints[b]).bit_count() <= 3]:
+            group[a] = group[b] = min(group[a], group[b])
+    left = {r.doc_id for r in P.dedup_documents(spark, spark.createDataFrame(texts, "doc_id long, text string"), at).collect()}
+    assert left == {d for d, g in group.items() if d == g} | {1000, 1002, 1003, None}
+    assert sum((prints[a] ^ prints[b]).bit_count() > 3 for a, b in close) > 50
