@@ -1,13 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: word-pair seeds, then Smith-Waterman alignment.
 
-Texts are lower-cased runs of word characters. A first pass counts in how many documents each 3-gram of the test items
-occurs, over the whole corpus. An item's seeds are then the rarest 3-gram of every WINDOW neighbouring ones, so any
-SEED + WINDOW - 1 unedited words in a row hold a seed, however frequent the item itself is in the corpus; no seed and no
-candidate is capped. A second pass joins documents to items on seeds, map-side: the seed table is that of a block of at
-most BLOCK_ITEMS items, so its size is bounded whatever the benchmark's; larger benchmarks take a pass for each block.
+Texts are lower-cased runs of word characters. Items and documents are aligned locally, word by word (match 2, other -1,
+gap -1). The score is the best alignment's, divided by that of the item with itself. From THRESHOLD on, the document holds the item.
 
-Around its seeds, a document is aligned with the item, locally, word by word (match 2, other -1, gap -1). The score
-is the best alignment's, divided by that of the item with itself. From THRESHOLD on, the document holds the item.
+Seeds miss nothing. Of an alignment's matched words, two that follow each other with at most one edit between them stand at
+most 2 apart in item and document: such a pair is a seed. If s of the k - 1 steps between k matches are seeds, the others cost 2 or
+more, so the score is at most 2k - 2(k - 1 - s) = 2 + 2s. From THRESHOLD x 2n on (n words in the item), s is THRESHOLD x n - 1 at
+least: an item is aligned only where so many seeds lie within the longest alignment's reach. No seed and no candidate is
+capped. Documents meet items map-side: the seed table is that of a block of at most BLOCK_ITEMS items, so its size is bounded
+whatever the benchmark's; larger benchmarks take a pass for each block.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import cached_property
 from itertools import repeat
 
 import numpy as np
@@ -47,6 +49,18 @@ class Block:
     vocab: dict[str, int]
     codes: np.ndarray
     places: list[list[tuple[int, int]]]
+    _least: dict[float, np.ndarray] = field(default_factory=dict)
+
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        return pair_table(self)
+
+    def least(self, threshold: float) -> np.ndarray:
+        """For each item, the number of seeds that any alignment at the threshold has; out of reach for items under three words."""
+        if threshold not in self._least:
+            n = np.array([len(x) for x in self.items], np.int64)
+            self._least[threshold] = np.where(n < 3, 1 << 40, np.maximum(1, np.ceil(threshold * n - 1 - 1e-9).astype(np.int64)))
+        return self._least[threshold]
 
     def numbers(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.vocab.get, words, repeat(0)), np.int64, len(words))
@@ -68,7 +82,7 @@ class Block:
 
 
 def block_of(items: list[tuple[int | None, str | None]]) -> Block:
-    """All 3-grams of the items as seeds; ``choose`` then leaves the rare ones."""
+    """Items as numbers, and all their 3-grams (``choose`` leaves the rare ones)."""
     vocab: dict[str, int] = {}
     split = [(i, words_of(t)) for i, t in items]
     for _, words in split:
@@ -113,58 +127,77 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def pair_table(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted codes of the items' word pairs at a distance of 1 and 2, where each one's places start, their items and positions."""
+    base = len(block.vocab) + 1
+    codes, items, places = [], [], []
+    for k, own in enumerate(block.items):
+        for gap in (1, 2):
+            codes.append(own[:-gap] * base + own[gap:])
+            places.append(np.arange(len(codes[-1])))
+            items.append(np.full(len(codes[-1]), k))
+    if not codes:
+        return (np.zeros(0, np.int64),) * 4
+    code, item, place = (np.concatenate(x) for x in (codes, items, places))
+    order = np.lexsort((place, item, code))
+    code, starts = np.unique(code[order], return_index=True)
+    return code, np.append(starts, len(order)), item[order], place[order]
+
+
+def seeds(block: Block, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(item, position in the text), distinct and sorted: where two words of an item stand at most 2 apart in both."""
+    code, starts, item, _ = block.pairs
+    base = len(block.vocab) + 1
+    items, at = [], []
+    for gap in (1, 2):
+        a, b = numbers[:-gap], numbers[gap:]
+        p = np.nonzero((a > 0) & (b > 0))[0]
+        if not len(p) or not len(code):
+            continue
+        wanted = a[p] * base + b[p]
+        k = np.minimum(np.searchsorted(code, wanted), len(code) - 1)
+        same = code[k] == wanted
+        p, k = p[same], k[same]
+        n = starts[k + 1] - starts[k]
+        items.append(item[np.repeat(starts[k] - np.cumsum(n) + n, n) + np.arange(n.sum())])
+        at.append(np.repeat(p, n))
+    if not items:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    both = np.unique(np.concatenate(items) * (len(numbers) + 1) + np.concatenate(at))
+    return both // (len(numbers) + 1), both % (len(numbers) + 1)
+
+
 def matches(block: Block, words: list[str], threshold: float = THRESHOLD) -> list[tuple[int, float, int]]:
     """(index of item, score, words up to the alignment's end) of each item that a document holds, by item."""
     numbers = block.numbers(words)
-    at = block.lookup(block.grams(numbers))
-    hits = np.nonzero(at >= 0)[0]
-    if not len(hits):
+    items, at = seeds(block, numbers)
+    if not len(items):
         return []
-    diagonals: dict[int, list[int]] = defaultdict(list)
-    for p in hits.tolist():
-        for item, q in block.places[at[p]]:
-            diagonals[item].append(p - q)
+    names, starts, counts = np.unique(items, return_index=True, return_counts=True)
+    enough = counts >= block.least(threshold)[names]
     out = []
-    for item, starts in sorted(diagonals.items()):
-        own = block.items[item]
-        most, need = (0, 0), threshold * MATCH * len(own)
-        slack = int((MATCH * len(own) - need) / -GAP) + 1  # an alignment over the threshold can afford no more gaps
-        starts = sorted(set(starts))
-        lo = 0
-        for k in range(1, len(starts) + 1):
-            if k == len(starts) or starts[k] - starts[k - 1] > 2 * slack:
-                a, b = max(0, starts[lo] - slack), starts[k - 1] + len(own) + slack
-                part = numbers[a:b]
-                if MATCH * np.isin(part, own).sum() >= need:  # no alignment scores more than its matches
-                    score, end = align(own, part)
-                    most = max(most, (score, -(a + end)))
-                lo = k
+    for item, lo, n in zip(names[enough].tolist(), starts[enough].tolist(), counts[enough].tolist()):
+        own, p = block.items[item], at[lo : lo + n]
+        most, need, few = (0, 0), threshold * MATCH * len(own), int(block.least(threshold)[item])
+        span = len(own) + int((MATCH * len(own) - need) / -GAP) + 1  # an alignment over the threshold can afford no more gaps
+        dense = np.nonzero(p[few - 1 :] - p[: len(p) - few + 1] <= span)[0]
+        ends = []
+        for k in dense.tolist():
+            a, b = max(0, int(p[k]) - span), int(p[k + few - 1]) + span + 1
+            if ends and a <= ends[-1][1]:
+                ends[-1][1] = b
+            else:
+                ends.append([a, b])
+        for a, b in ends:
+            part = numbers[a:b]
+            if MATCH * np.isin(part, own).sum() >= need:  # no alignment scores more than its matches
+                score, end = align(own, part)
+                most = max(most, (score, -(a + end)))
         if most[0] >= need and most[0] > 0:
             out.append((item, most[0] / (MATCH * len(own)), -most[1]))
     return out
 
 
-def _count(docs: DataFrame, block: Block) -> np.ndarray:
-    """In how many documents each of the block's 3-grams occurs: each task sends one sum for each."""
-    shared = docs.sparkSession.sparkContext.broadcast(block)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block = shared.value
-        total = np.zeros(len(block.codes), np.int64)
-        for pdf in batches:
-            for t in pdf["text"]:
-                at = block.lookup(block.grams(block.numbers(words_of(t))))
-                total[np.unique(at[at >= 0])] += 1
-        some = np.nonzero(total)[0]
-        yield pd.DataFrame({"g": some, "n": total[some]})
-
-    sums = docs.select("text").mapInPandas(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(len(block.codes), np.int64)
-    for r in sums:
-        out[r.g] = r.n
-    return out
-
-
 def held_items(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> Column:
     """A column for ``docs``: array of (item_id, score, end) of the test items that each whole text holds; empty for none and for
     null texts. Items of fewer than three words can't be told and are left out; null item texts likewise. Items that repeat
@@ -177,7 +210,7 @@ def held_items(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     for part in range(parts):
         mine = rows.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == part) if parts > 1 else rows
         block = block_of(sorted((tuple(r) for r in mine.collect()), key=lambda r: (r[0] is None, r)))
-        block = choose(block, _count(docs, block))
+        _ = block.pairs  # made once, here
         columns.append(_find(docs, block, threshold))
     return F.concat(*columns) if len(columns) > 1 else columns[0]
 

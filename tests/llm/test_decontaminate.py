@@ -60,3 +60,25 @@ def test_seeds_cover_every_run_of_four_words():
     few = D.choose(block, np.arange(len(block.codes)) % 5)
     places = sorted(p for ps in few.places for _, p in ps)
     assert all(b - a <= D.WINDOW for a, b in zip(places, places[1:])) and len(places) < 28
+
+
+def test_edited_copies_match_brute_force():
+    rng = random.Random(3)
+    vocab = [f"w{k}" for k in range(90)]
+    items = [(k, " ".join(rng.choice(vocab) for _ in range(rng.randrange(3, 40)))) for k in range(40)]
+    block = D.block_of(items)
+    texts = []
+    for _, t in items:
+        own = t.split()
+        texts += [[w if k % every < every - 1 else "xx" for k, w in enumerate(own)] for every in (3, 4)]  # runs of two and three words
+        texts.append([x for w in own for x in (w, "yy")][:-1])  # no two words in a row
+        texts.append([w for k, w in enumerate(own) if k % 3])
+    found = 0
+    for words in texts:
+        words = [rng.choice(vocab) for _ in range(rng.randrange(0, 50))] + words + [rng.choice(vocab) for _ in range(rng.randrange(0, 50))]
+        got = {k: round(score, 9) for k, score, _ in D.matches(block, words)}
+        numbers = block.numbers(words)
+        want = {k: round(D.align(own, numbers)[0] / (2 * len(own)), 9) for k, own in enumerate(block.items)}
+        assert got == {k: x for k, x in want.items() if x >= D.THRESHOLD}
+        found += len(got)
+    assert found > 140
