@@ -55,6 +55,11 @@ class Block:
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         return pair_table(self)
 
+    @cached_property
+    def short(self) -> list[int]:
+        """Items of one or two words: held only as their whole word sequence."""
+        return [k for k, x in enumerate(self.items) if 0 < len(x) < 3]
+
     def least(self, threshold: float) -> np.ndarray:
         """For each item, the number of seeds that any alignment at the threshold has; out of reach for items under three words."""
         if threshold not in self._least:
@@ -170,12 +175,17 @@ def seeds(block: Block, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def matches(block: Block, words: list[str], threshold: float = THRESHOLD) -> list[tuple[int, float, int]]:
     """(index of item, score, words up to the alignment's end) of each item that a document holds, by item."""
     numbers = block.numbers(words)
+    out = []
+    for item in block.short:
+        own = block.items[item]
+        held = numbers == own[0] if len(own) == 1 else np.append((numbers[:-1] == own[0]) & (numbers[1:] == own[1]), False)[: len(numbers)]
+        if held.any():
+            out.append((item, 1.0, int(held.argmax()) + len(own)))
     items, at = seeds(block, numbers)
     if not len(items):
-        return []
+        return out
     names, starts, counts = np.unique(items, return_index=True, return_counts=True)
     enough = counts >= block.least(threshold)[names]
-    out = []
     for item, lo, n in zip(names[enough].tolist(), starts[enough].tolist(), counts[enough].tolist()):
         own, p = block.items[item], at[lo : lo + n]
         most, need, few = (0, 0), threshold * MATCH * len(own), int(block.least(threshold)[item])
@@ -195,12 +205,13 @@ def matches(block: Block, words: list[str], threshold: float = THRESHOLD) -> lis
                 most = max(most, (score, -(a + end)))
         if most[0] >= need and most[0] > 0:
             out.append((item, most[0] / (MATCH * len(own)), -most[1]))
-    return out
+    return sorted(out)
 
 
 def held_items(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> Column:
     """A column for ``docs``: array of (item_id, score, end) of the test items that each whole text holds; empty for none and for
-    null texts. Items of fewer than three words can't be told and are left out; null item texts likewise. Items that repeat
+    null texts. Items of one or two words are held
+    as their whole word sequence only; items without words and null item texts are left out. Items that repeat
     are each reported. No shuffle of documents."""
     small_batches(docs.sparkSession)
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")

@@ -82,3 +82,10 @@ def test_edited_copies_match_brute_force():
         assert got == {k: x for k, x in want.items() if x >= D.THRESHOLD}
         found += len(got)
     assert found > 140
+
+
+def test_items_of_one_or_two_words():
+    block = D.block_of([(1, "Lone"), (2, "two words"), (3, "a a"), (4, ""), (5, "w1 w2 w3")])
+    held = lambda t: D.matches(block, D.words_of(t))
+    assert held("so lone, two. Words a b") == [(0, 1.0, 2), (1, 1.0, 4)] and held("words two a b a") == [] == held("")
+    assert held("lone") == [(0, 1.0, 1)] and held("x a a a") == [(2, 1.0, 3)] and held("w1 w2 w3")[0][0] == 4
