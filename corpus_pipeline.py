@@ -22,8 +22,8 @@ def drop_toxic(spark, docs, sf_dir):
 
 
 def dedup_lines(spark, docs, sf_dir):
-    """Lines whose template an earlier document has go; every document stays, a copy perhaps without text."""
-    return linededup.drop_lines(docs).select(docs.columns)
+    """Lines whose template an earlier document has go, short ones too; every document stays, a copy perhaps without text."""
+    return linededup.drop_lines(docs, short=True).select(docs.columns)
 
 
 def dedup_documents(spark, docs, sf_dir):

@@ -6,7 +6,8 @@ without digits are generalised too: the tokens after the leading ones are parted
 two of the three are one template (lines of fewer than MIN_FIELDS tokens must agree in all).
 
 A template that two documents or more share is recurring: all but the lines of its first document (least doc_id) are
-dropped. Lines of fewer than MIN_TOKENS tokens have no template and always stay; so do lines repeated within one
+dropped. Lines of fewer than MIN_TOKENS tokens have no template and always stay in op3 (the pipeline's stage takes them
+too, as they stand); so do lines repeated within one
 document only.
 
 A template travels as 64-bit hashes, so no text is shuffled to count it, and the first document is a minimum that
@@ -47,15 +48,26 @@ def template_keys(words: Column) -> Column:
     return F.when(n >= MIN_FIELDS, open_run).when(n >= MIN_TOKENS, whole).otherwise(F.array().cast("array<bigint>"))
 
 
-def drop_lines(docs: DataFrame) -> DataFrame:
+def short_keys(line: Column) -> Column:
+    """A hash of a line of fewer than MIN_TOKENS tokens, as they stand: with digits as variable fields all numbers would be
+    one line. None for blank lines."""
+    words = F.split(F.btrim(line, F.lit(BLANKS)), SPACE)
+    return F.when(F.btrim(line, F.lit(BLANKS)) != "", F.array(F.xxhash64(words, F.lit(4)))).otherwise(F.array().cast("array<bigint>"))
+
+
+def drop_lines(docs: DataFrame, short: bool = False) -> DataFrame:
     """``docs`` with text without the lines that a template of an earlier document covers, n_chars (if there) as it is then,
     and ``_n_lines``, ``_n_dropped``.
 
+    With ``short``, lines of fewer than MIN_TOKENS tokens (blank ones apart) count as well, each as a template of its own.
     Null texts stay null. A text may become empty; no row is lost. Rows that repeat a doc_id are one document. Rows
     without a doc_id lose nothing and cause no loss."""
     key = F.xxhash64("doc_id", "text")  # tells apart different texts under one id
     lines = docs.where("doc_id is not null and text is not null").select("doc_id", key.alias("k"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    lines = lines.select("doc_id", "k", "pos", tokens(F.col("line")).alias("w")).select("doc_id", "k", "pos", template_keys(F.col("w")).alias("keys"))
+    lines = lines.select("doc_id", "k", "pos", "line", tokens(F.col("line")).alias("w"))
+    keys = template_keys(F.col("w"))
+    keys = F.when(F.size("w") < MIN_TOKENS, short_keys(F.col("line"))).otherwise(keys) if short else keys
+    lines = lines.select("doc_id", "k", "pos", keys.alias("keys"))
     lines = cut(lines)  # unfiltered: a filter on keys would be pushed down and work them out a second time
     each = lines.select("doc_id", "k", "pos", F.explode("keys").alias("t"))
     first = each.groupBy("t").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("t", "first")

@@ -117,3 +117,11 @@ def test_near_dedup_finds_every_pair_at_four_fifths(spark, folder):
     left = {r.doc_id for r in P.dedup_documents(spark, spark.createDataFrame(texts, "doc_id long, text string"), at).collect()}
     assert left == {d for d, g in group.items() if d == g} | {1000, 1002, 1003, None}
     assert sum((prints[a] ^ prints[b]).bit_count() > 3 for a, b in close) > 50
+
+
+def test_line_dedup_takes_short_lines(spark, folder):
+    at, _, _ = folder
+    unspaced = "\u5de5" * 50
+    docs = [(1, f"Contents\n\n{unspaced}7\n12\nRead on"), (2, f"Contents\n\n{unspaced}8\n13\nRead  on\nown"), (3, f"x\n{unspaced}7\n12"), (None, "x")]
+    out = P.dedup_lines(spark, spark.createDataFrame(docs, "doc_id long, text string"), at)
+    assert {r.doc_id: r.text for r in out.collect()} == {1: docs[0][1], 2: f"\n{unspaced}8\n13\nown", 3: "x", None: "x"}
