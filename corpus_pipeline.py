@@ -27,7 +27,7 @@ def dedup_lines(spark, docs, sf_dir):
 
 
 def dedup_documents(spark, docs, sf_dir):
-    """Of each group of near copies the document with the least id stays; of rows that repeat an id, one. Rows
+    """Of each group of near copies one row stays, of the least id; different texts under one id are told apart. Rows
     without an id stay. Links are op10's and those of all pairs whose 5-word shingles are 0.8 alike or more."""
     rows = cut(docs.select("doc_id", F.xxhash64("text").alias("t"), simhash.fingerprints(docs).alias("fp"), similar.heads(docs).alias("h")).select("doc_id", "t", "fp", "h.*"))
     groups = rows.select("doc_id", "t", "fp", "key").join(simhash.components(rows), "fp")
@@ -40,12 +40,12 @@ def dedup_documents(spark, docs, sf_dir):
         alike = alike.join(of.withColumnRenamed("key", side), side).drop(side).withColumnRenamed("low", f"_{side}")
     edges = cut(same.unionByName(alike.select(F.col("_u").alias("u"), F.col("_v").alias("v"))).where("u <> v").distinct())
     joined = known.join(connected_components(edges).withColumnRenamed("node", "c"), "c", "left").withColumn("c", F.coalesce("component", "c"))
-    least = joined.groupBy("c").agg(F.min("doc_id").alias("least"))
-    gone = cut(joined.join(least, "c").where("doc_id <> least").select("doc_id").distinct())
-    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    n, ids = known.agg(F.count("doc_id"), F.count_distinct("doc_id")).first()
+    least = joined.groupBy("c").agg(F.min(F.struct("doc_id", "t")).alias("least"))
+    gone = cut(joined.join(least, "c").where(F.struct("doc_id", "t") != F.col("least")).select("doc_id", "t").distinct())
+    left = docs.withColumn("t", F.xxhash64("text")).join(gone, ["doc_id", "t"], "left_anti").select(docs.columns)
+    n, ids = known.agg(F.count("*"), F.count_distinct("doc_id", "t")).first()
     if n > ids:
-        left = left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
+        left = left.where("doc_id is not null").dropDuplicates(["doc_id", "text"]).unionByName(left.where("doc_id is null"))
     return left
 
 

@@ -125,3 +125,10 @@ def test_line_dedup_takes_short_lines(spark, folder):
     docs = [(1, f"Contents\n\n{unspaced}7\n12\nRead on"), (2, f"Contents\n\n{unspaced}8\n13\nRead  on\nown"), (3, f"x\n{unspaced}7\n12"), (None, "x")]
     out = P.dedup_lines(spark, spark.createDataFrame(docs, "doc_id long, text string"), at)
     assert {r.doc_id: r.text for r in out.collect()} == {1: docs[0][1], 2: f"\n{unspaced}8\n13\nown", 3: "x", None: "x"}
+
+
+def test_near_dedup_tells_texts_of_one_id_apart(spark, folder):
+    at, _, _ = folder
+    docs = [(1, "first text of all"), (5, "first text of all"), (5, "another one stands here"), (5, "another one stands here"), (7, "quite different words again"), (7, "nothing in common with it")]
+    left = P.dedup_documents(spark, spark.createDataFrame(docs, "doc_id long, text string"), at).collect()
+    assert sorted((r.doc_id, r.text) for r in left) == sorted({docs[0], docs[2], docs[4], docs[5]})
