@@ -8,8 +8,11 @@ exactly, by rank and then position. Each worker remembers what it has encoded.
 
 The tokenizer file is read as the tokenizers library reads it: NFC, white space to one space, lower case, a split into
 contractions, letters, single digits and other signs, byte-level letters, ``</w>`` on the last, no decoder. The special tokens'
-strings in a text are the special tokens. Letters are told by the regex module's Unicode tables; on about 2,000 code points assigned
-later than the library's own tables, its split differs.
+strings in a text are the special tokens. Where the library's Unicode tables are older or newer than Python's, its own hold.
+
+Null and empty texts have no ids. Texts are taken together up to PIECE code points, and a longer one goes piece by piece, cut at white
+space, so memory is bounded by a piece and the cache besides the text itself. Rows that repeat come out as often as they go in; the result is
+a column, so no name of an input column can clash with it.
 """
 
 from __future__ import annotations
@@ -36,7 +39,8 @@ from gleanery.session import cut
 
 #: Words in the lexicon at most, and how often a word must occur to be one.
 LEXICON_WORDS, MIN_COUNT = 100_000, 4
-CACHE_WORDS = 300_000
+#: Words that a worker remembers, and code points that it takes at once (more only for one run without white space).
+CACHE_WORDS, PIECE = 200_000, 1 << 18
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -74,6 +78,8 @@ class Rules:
         kinds = [n["type"] for n in spec["normalizer"]["normalizers"]]
         if model["type"] != "BPE" or kinds != ["NFC", "Replace", "Lowercase"] or spec["decoder"] or level["type"] != "ByteLevel" or model["unk_token"]:
             raise ValueError(f"{path} isn't a word-level BPE with NFC, one space, lower case and no decoder")
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] or not t["content"] or t["content"].split() != [t["content"]] for t in spec["added_tokens"]):
+            raise ValueError(f"{path} has added tokens that match by more than their own string")
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         return cls(model["vocab"], {m: k for k, m in enumerate(merges)}, split["pattern"]["Regex"], model["end_of_word_suffix"] or "", {t["content"]: t["id"] for t in spec["added_tokens"]})
 
@@ -244,10 +250,42 @@ PLAIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+def _class(ranges: str) -> str:
+    return "".join(f"\\U{int(a, 16):08x}-\\U{int(b or a, 16):08x}" for a, _, b in (r.partition("-") for r in ranges.split()))
+
+
+# What the tokenizers library's Unicode tables have otherwise than Python's or the regex module's.
+#: Letters and numbers to Unicode after version 16, neither to the library's patterns.
+LATER = _class(
+    "558 58b-58c 88f c5c cdc 208f 209d-209f a7ce-a7cf a7d2 a7d4 a7dd a7e2 a7f1 ab6c-ab6d 107bb-107bf 10940-10959 10ec5-10ec7 10ed9-10eee 11b0a "
+    "11db0-11ddb 11de0-11de9 11df1 1246f 12475-1247f 12550-12686 16ea0-16eb8 16ebb-16ed3 16ff2-16ff6 187f8-187ff 18cd6-18cda 18d09-18d20 18d80-18df2 "
+    "18e00-19191 191a0-191d2 1b123-1b128 1b168 1d6a6 1df1f-1df24 1df2b-1df81 1df90-1df96 1dfcd-1dfff 1e6c0-1e6de 1e6e0-1e6e2 1e6e4-1e6e5 1e6e7-1e6ed "
+    "1e6f0-1e6f4 1e6fe-1e6ff 2b73a-2b73f 2b81e 2cea2-2cead 323b0-33479 3d000-3fc3f"
+)
+#: Marks of Unicode after version 9, which the library's NFC neither orders nor composes, and the one letter composed of such.
+MARKS = _class(
+    "7fd 898-89f 8ca-8d3 9fe c3c d3b-d3c eba 1715 1abf-1ace 1df6-1dfa a82c 10d24-10d27 10eab-10eac 10efd-10eff 10f46-10f50 10f82-10f85 11070 1133b 1145e "
+    "11839-1183a 11930 11938 1193d-1193e 11943 119e0 11a34 11a47 11a99 11d42 11d44-11d45 11d97 11f41-11f42 16ff0-16ff1 1e08f 1e130-1e136 1e2ae 1e2ec-1e2ef "
+    "1e4ec-1e4ef"
+)
+#: Capitals that Python's tables of Unicode 15 lack: first, last, small letter of the first.
+CAPITALS = ((0x1C89, 0x1C89, 0x1C8A), (0xA7CB, 0xA7CB, 0x264), (0xA7CC, 0xA7CC, 0xA7CD), (0xA7CE, 0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2, 0xA7D3), (0xA7D4, 0xA7D4, 0xA7D5), (0xA7DA, 0xA7DA, 0xA7DB), (0xA7DC, 0xA7DC, 0x19B), (0x10D50, 0x10D65, 0x10D70), (0x16EA0, 0x16EB8, 0x16EBB))
+_ODD = re.compile(f"[{LATER}{MARKS}{''.join(f'{chr(a)}-{chr(b)}' for a, b, _ in CAPITALS)}]")
+_MARK = re.compile(f"([{MARKS}])")
+_SMALL = {c: small + c - a for a, b, small in CAPITALS for c in range(a, b + 1)}
+
+
+def nfc(text: str) -> str:
+    """NFC by the library's tables: marks that they lack part what is normalised."""
+    return "".join([x if k % 2 else unicodedata.normalize("NFC", x) for k, x in enumerate(_MARK.split(text))])
+
+
 class Encoder:
     def __init__(self, rules: Rules, block: bytes):
         self.rules, self.lexicon, self.merge = rules, Lexicon(block), Merger(rules)
         self.find = regex.compile(rules.pattern).findall
+        old = "".join(f"[{p}--[{LATER}]]" if p in (r"\p{L}", r"\p{N}") else p for p in re.split(r"(\\p\{[LN]\})", rules.pattern))
+        self.find_old = regex.compile(old, regex.V1).findall  # the pattern by the library's tables
         self.quick = PLAIN_WORDS.findall if rules.pattern == PATTERN else None
         self.tokens = {i: t for t, i in rules.vocab.items()} | {i: t for t, i in rules.special.items()}
         self.special = regex.compile("|".join(map(regex.escape, sorted(rules.special, key=len, reverse=True)))) if rules.special else None
@@ -264,12 +302,18 @@ class Encoder:
         return out + self._plain(text[at:])
 
     def _plain(self, text: str) -> list[str]:
+        find = self.find
         if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
+            if odd := _ODD.search(text):
+                text, find = nfc(text), self.find_old
+            else:
+                text = unicodedata.normalize("NFC", text)
             if "Σ" in text:  # letters are lowered one by one: no final form
                 text = text.replace("Σ", "σ")
+            if odd:
+                text = text.translate(_SMALL)
         text = text.lower()
-        return self.quick(text) if self.quick and PLAIN.search(text) is None else self.find(text)
+        return self.quick(text) if self.quick and PLAIN.search(text) is None else find(text)
 
     def learn(self, new: list[str]) -> None:
         ranks = self.lexicon.ranks([w.encode("utf-8", "surrogatepass") for w in new])
@@ -285,19 +329,50 @@ class Encoder:
 
     def batch(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         """(ids as little-endian unsigned 32-bit integers, decoded text) of each text."""
+        near, size = [], 0
+        for t in texts:
+            if near and size + len(t) > PIECE:
+                yield from self._encode(near)
+                near, size = [], 0
+            if len(t) > PIECE:
+                ids, shown = zip(*[x for piece in pieces(t, PIECE) for x in self._encode([piece])], strict=True)
+                yield b"".join(ids), " ".join([x for x in shown if x])
+            else:
+                near.append(t)
+                size += len(t)
+        yield from self._encode(near)
+
+    def _encode(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         words = [self.words(t) for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known = {}
-        new = set()
+        all_ = set()
         for w in words:
-            new.update(w)
+            all_.update(w)
+        new = all_.difference(self.known)
+        if len(self.known) + len(new) > CACHE_WORDS:
+            self.known, new = {}, all_
+        self.learn(list(new))
         known = self.known
-        self.learn([w for w in new if w not in known])
         for w in words:
             pairs = [known[x] for x in w]
             yield b"".join([p[0] for p in pairs]), " ".join([p[1] for p in pairs if p[1]])
 
 
+def pieces(text: str, size: int) -> Iterator[str]:
+    """The text in parts of at most ``size`` code points, each but the last ending in a space or line break; a longer run without
+    any is one part. No word, special token or composed letter reaches over such a place."""
+    lo = 0
+    while len(text) - lo > size:
+        end = max(text.rfind(" ", lo, lo + size), text.rfind("\n", lo, lo + size))
+        if end < 0:
+            far = [k for k in (text.find(" ", lo + size), text.find("\n", lo + size)) if k >= 0]
+            if not far:
+                break
+            end = min(far)
+        yield text[lo : end + 1]
+        lo = end + 1
+    yield text[lo:]
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 

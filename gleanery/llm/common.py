@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of an Arrow batch sent to Python; whole texts go in, so batches are kept small.
-BATCH_ROWS = 1000
+#: Rows and bytes of an Arrow batch sent to Python, at most (a longer row goes alone); whole texts go in, so batches are kept small.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,8 +14,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the memory of a Python worker's batch: long texts come BATCH_ROWS at a time at most."""
+    """Bound the memory of a Python worker's batch, by rows and by bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def fold(doc_id: Column, of: int) -> Column:

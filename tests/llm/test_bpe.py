@@ -65,3 +65,36 @@ def test_query_on_odd_rows(spark, theirs):
         assert (r.n_tokens, r.ids_sha256) == (len(e), hashlib.sha256(np.array(e, "<u4").tobytes()).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(theirs.decode(e, skip_special_tokens=False).encode()).hexdigest()
     assert df.limit(0).select(B.encode(df.limit(0))).count() == 0
+
+
+def test_every_code_point_has_the_library_s_class_case_and_normal_form(rules, theirs):
+    enc = B.Encoder(rules, B.compile_lexicon({}))
+    rng = random.Random(8)
+    points = [c for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3100 or B._ODD.match(chr(c)) or rng.random() < 0.02)]
+    texts = [f"a{chr(c)}{chr(c)}̖! x{chr(c)}" for c in points]
+    odd = [chr(c) for c in points if B._ODD.match(chr(c))]
+    texts += ["".join(rng.choice([rng.choice(odd), chr(rng.randrange(0x300, 0x370)), rng.choice("aΣ 1'é"), chr(rng.randrange(0x20, 0x3000))]) for _ in range(20)) for _ in range(3000)]
+    for t, (ids, shown), e in zip(texts, enc.batch(texts), theirs.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == e.ids, ascii(t)
+        assert shown == theirs.decode(e.ids, skip_special_tokens=False), ascii(t)
+
+
+def test_long_texts_go_in_pieces_within_the_cache_s_bound(rules, theirs, monkeypatch):
+    monkeypatch.setattr(B, "PIECE", 200)
+    monkeypatch.setattr(B, "CACHE_WORDS", 50)
+    rng = random.Random(3)
+    long = "".join(rng.choice("abc  \n̖é<|endoftext|>") for _ in range(5000)) + "x" * 700 + " y's<|endoftext|>"
+    texts = ["", long, "short one", long[:150], " " * 500, "z" * 500]
+    enc = B.Encoder(rules, B.compile_lexicon({}))
+    for t, (ids, shown) in zip(texts, enc.batch(texts), strict=True):
+        want = theirs.encode(t, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want
+        assert shown == theirs.decode(want, skip_special_tokens=False)
+        assert len(enc.known) <= 50 + 200
+    assert "".join(B.pieces(long, 200)) == long
+
+
+def test_clashing_names_stay(spark):
+    df = spark.createDataFrame([(1, "a b", 5, "t")], "doc_id long, text string, e int, n_tokens string")
+    got = df.select("*", B.encode(df).alias("_x")).first()
+    assert (got.e, got.n_tokens, got._x.n_tokens) == (5, "t", 2)
