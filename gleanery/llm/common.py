@@ -13,6 +13,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, *stems: str) -> list[str]:
+    """A column name for each stem that ``df`` doesn't have, whatever the case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for stem in stems:
+        name = stem
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound the memory of a Python worker's batch, by rows and by bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline as P
-from gleanery.llm import decontaminate, simhash, toxicity
+from gleanery.llm import decontaminate, simhash, similar, toxicity
 from gleanery.session import cut
 
 
@@ -109,14 +110,55 @@ def test_near_dedup_finds_every_pair_at_four_fifths(spark, folder):
             docs.append((100 * c + d, new))
     texts = [(d, " ".join(w)) for d, w in docs] + [(1000, "one two"), (1001, "One  two"), (1002, "one three"), (1003, ""), (1004, None), (None, docs[1][1][0])]
     sets = {d: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for d, w in docs}
-    group, prints = {d: d for d, _ in docs}, {d: simhash.fingerprint(t) for d, t in texts}
+    group = {d: d for d, _ in docs}
     close = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
     for _ in range(6):
-        for a, b in close + [(a, b) for a in sets for b in sets if (prints[a] ^ prints[b]).bit_count() <= 3]:
+        for a, b in close:
             group[a] = group[b] = min(group[a], group[b])
     left = {r.doc_id for r in P.dedup_documents(spark, spark.createDataFrame(texts, "doc_id long, text string"), at).collect()}
     assert left == {d for d, g in group.items() if d == g} | {1000, 1002, 1003, None}
-    assert sum((prints[a] ^ prints[b]).bit_count() > 3 for a, b in close) > 50
+    prints = {d: similar.fingerprint_of(similar.shingle_set(t)) for d, t in texts}
+    assert sum(((prints[a] ^ prints[b]) % 2**64).bit_count() > 3 for a, b in close) > 50
+
+
+def test_heads_and_sketches_meet_as_promised():
+    rng = random.Random(9)
+    none = np.zeros(0, np.uint64)
+    for _ in range(300):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(1, 400))]
+        new = [w for w in words if rng.random() > 0.02]
+        a, b = (similar.shingle_set(" ".join(w)) for w in (words, new))
+        common = np.sort(np.array(rng.sample(a.tolist(), len(a) // rng.choice([2, 3, 50])), np.uint64))
+        j = len(np.intersect1d(a, b)) / max(1, len(np.union1d(a, b)))
+        if j >= 0.8:
+            assert similar.likeness(similar.sketch_of(a), similar.sketch_of(b)) >= similar.MAYBE
+            for c in (none, common):
+                assert np.intersect1d(similar.head(a, c), similar.head(b, c)).size
+    assert len(similar.head(np.arange(100_000, dtype=np.uint64), none)) == 13
+    assert similar.shingle_set(None).size == similar.shingle_set(" \n").size == 0 and similar.likeness(b"", b"") == 1
+
+
+def test_groups_without_a_hub_are_found_by_components(spark, monkeypatch):
+    """Texts that all hold one passage, in groups of near copies of their own: links within the groups only."""
+    rng = random.Random(4)
+    passage, docs = " ".join(f"p{k}" for k in range(60)), []
+    for g in range(6):
+        own = [f"g{g}x{k}" for k in range(200)]
+        for c in range(5):
+            words = list(own)
+            words[rng.randrange(200)] = f"edit{c}"
+            docs.append((g * 10 + c, passage + " " + " ".join(words)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r.doc_id: r.component for r in similar.near_copies(df).collect()}
+    assert all((found[a] == found[b]) == (a // 10 == b // 10) for a in found for b in found) and len(found) == 30
+    assert similar.near_copies(df.limit(0)).count() == 0
+
+
+def test_near_dedup_keeps_columns_that_clash(spark, folder):
+    at, _, _ = folder
+    docs = [(1, "one two three four five six", "a", "b", 3), (2, "one two three four five six", "c", "d", 4)]
+    left = P.dedup_documents(spark, spark.createDataFrame(docs, "doc_id long, text string, t string, _t string, component int"), at)
+    assert [tuple(r) for r in left.collect()] == [docs[0]]
 
 
 def test_line_dedup_takes_short_lines(spark, folder):
