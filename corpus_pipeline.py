@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gleanery.llm import bpe, decontaminate, linededup, simhash, similar, toxicity
-from gleanery.llm.common import table
-from gleanery.operators.components import connected_components
+from gleanery.llm import bpe, decontaminate, linededup, similar, toxicity
+from gleanery.llm.common import fresh, table
+from gleanery.operators.skew import join_spread
 from gleanery.session import cut
 
 
@@ -27,24 +27,16 @@ def dedup_lines(spark, docs, sf_dir):
 
 
 def dedup_documents(spark, docs, sf_dir):
-    """Of each group of near copies one row stays, of the least id; different texts under one id are told apart. Rows
-    without an id stay. Links are op10's and those of all pairs whose 5-word shingles are 0.8 alike or more."""
-    rows = cut(docs.select("doc_id", F.xxhash64("text").alias("t"), simhash.fingerprints(docs).alias("fp"), similar.heads(docs).alias("h")).select("doc_id", "t", "fp", "h.*"))
-    groups = rows.select("doc_id", "t", "fp", "key").join(simhash.components(rows), "fp")
-    known = cut(groups.where("doc_id is not null").select("doc_id", "t", "key", F.col("component").alias("c")))
-    # SimHash groups are the nodes; one set of shingles may lie in several of them.
-    of = cut(known.groupBy("key").agg(F.min("c").alias("low")))
-    same = known.join(of, "key").where("low < c").select(F.col("low").alias("u"), F.col("c").alias("v"))
-    alike = similar.links(rows.where("doc_id is not null"), docs.select("doc_id", F.xxhash64("text").alias("t"), "text"))
-    for side in ("u", "v"):
-        alike = alike.join(of.withColumnRenamed("key", side), side).drop(side).withColumnRenamed("low", f"_{side}")
-    edges = cut(same.unionByName(alike.select(F.col("_u").alias("u"), F.col("_v").alias("v"))).where("u <> v").distinct())
-    joined = known.join(connected_components(edges).withColumnRenamed("node", "c"), "c", "left").withColumn("c", F.coalesce("component", "c"))
-    least = joined.groupBy("c").agg(F.min(F.struct("doc_id", "t")).alias("least"))
-    gone = cut(joined.join(least, "c").where(F.struct("doc_id", "t") != F.col("least")).select("doc_id", "t").distinct())
-    left = docs.withColumn("t", F.xxhash64("text")).join(gone, ["doc_id", "t"], "left_anti").select(docs.columns)
-    n, ids = known.agg(F.count("*"), F.count_distinct("doc_id", "t")).first()
-    if n > ids:
+    """Of each group of near copies (5-word shingles, 0.8 or more) one row stays, of the least id; different texts under one id are told
+    apart, rows that repeat are one. Rows without an id stay."""
+    known = cut(similar.near_copies(docs))
+    least = known.groupBy("component").agg(F.min(F.struct("doc_id", "t")).alias("least"), F.count("*").alias("n"))
+    ids = known.count()
+    named = join_spread(known, least, "component", "n", ids)
+    d, t = fresh(docs, "_d", "_t")
+    gone = cut(named.where(F.struct("doc_id", "t") != F.col("least")).select(F.col("doc_id").alias(d), F.col("t").alias(t)))
+    left = docs.join(gone, (F.col("doc_id") == F.col(d)) & (F.xxhash64("text") == F.col(t)), "left_anti")
+    if docs.where("doc_id is not null").count() > ids:
         left = left.where("doc_id is not null").dropDuplicates(["doc_id", "text"]).unionByName(left.where("doc_id is null"))
     return left
 
