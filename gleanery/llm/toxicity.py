@@ -6,7 +6,10 @@ automaton and cancel the lexicon hits that they cover. The weights of the hits l
 text's length in words, go through a logistic curve to give the score.
 
 Lexicon, weights, exceptions and curve are learned from a bounded sample of labelled rows; with no labels a
-short built-in lexicon is used.
+short built-in lexicon is used. Labelled rows that repeat a text count once.
+
+Null and empty texts, and those without words, get the score of no hits, which an empty table of documents has none of. Long texts are matched whole, in time in
+proportion. Rows that repeat come out as often as they go in, with equal scores. The score is a column, so no name can clash.
 """
 
 from __future__ import annotations
@@ -101,15 +104,27 @@ class Matcher:
         hits, excused = [], []
         for end, (n, weight) in self.automaton.iter(folded):
             (hits if weight is not None else excused).append((end - n + 1, end, weight))
-        if excused and hits:
-            hits = [h for h in hits if not any(s <= h[0] and h[1] <= e for s, e, _ in excused)]
-        return sum(w for *_, w in hits), words
+        return sum(w for *_, w in (_uncovered(hits, excused) if excused else hits)), words
 
     def score(self, text: str | None) -> float:
         mass, words = self.mass(text)
         return curve(self.lexicon, mass, words)
 
 
+def _uncovered(hits: list[tuple], excused: list[tuple]) -> list[tuple]:
+    """The hits (start, end, weight) that no excused span covers, in one sweep: the farthest end of the spans that start at a hit's start or
+    before tells whether one covers it."""
+    hits, excused = sorted(hits), sorted(excused, key=lambda e: e[0])
+    out, far, k = [], -1, 0
+    for h in hits:
+        while k < len(excused) and excused[k][0] <= h[0]:
+            far = max(far, excused[k][1])
+            k += 1
+        if h[1] > far:
+            out.append(h)
+    return out
+
+
 def curve(lex: Lexicon, mass: float, words: int) -> float:
     z = lex.intercept + lex.slope * math.log1p(mass / max(words, 1) ** lex.power)
     return 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))

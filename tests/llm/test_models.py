@@ -136,3 +136,27 @@ def test_languages_on_held_out_rows(spark):
     assert by[1000].lang == by[1001].lang == by[1002].lang == "und" and by[1003].lang == "de" and all(0 <= r.f.score <= 1 for r in got)
     nothing = langid.fit(df.limit(0))
     assert {r.f.lang for r in df.select(langid.identify(df, nothing).alias("f")).collect()} == {"und"}
+
+
+def test_lexicon_hits_equal_a_plain_scan():
+    rng = random.Random(2)
+    lex = toxicity.Lexicon({"bad": 1.0, "worse thing": 2.5, "ad": 0.25}, ["not bad", "bad hair day", "worse"], 0.5, 3.0, -1.0)
+    matcher = toxicity.Matcher(lex)
+    for _ in range(400):
+        text = " ".join(rng.choice(["bad", "B4D", "not", "hair", "day", "worse", "thing", "ad", "bаd", "x"]) for _ in range(rng.randrange(0, 25)))
+        folded = toxicity.fold_text(text)
+        spans = lambda word: [(k, k + len(toxicity.fold_text(word))) for k in range(len(folded)) if folded.startswith(toxicity.fold_text(word), k)]
+        excused = [s for e in lex.exceptions for s in spans(e)]
+        want = sum(w for word, w in lex.weights.items() for a, b in spans(word) if not any(x <= a and b <= y for x, y in excused))
+        mass, words = matcher.mass(text)
+        assert abs(mass - want) < 1e-9 and words == len(folded.split())
+
+
+def test_long_texts_full_of_exceptions_take_time_in_proportion():
+    import time
+
+    matcher = toxicity.Matcher(toxicity.Lexicon({"bad": 1.0}, ["not bad"]))
+    began = time.perf_counter()
+    assert matcher.mass("not bad " * 200_000) == (0.0, 400_000)
+    assert matcher.mass("not bad " * 1000 + "bad " * 7)[0] == 7.0
+    assert time.perf_counter() - began < 30
