@@ -10,7 +10,7 @@ at most that far from it go inside, the others outside. By the triangle inequali
 has its outer member at most ``radius`` beyond the threshold, so only that boundary shell is also sent inside,
 as guests. Trees are fitted on a bounded sample and only route: whatever the sample, every pair meets in a leaf.
 
-A leaf holds the fingerprints of one shard. It searches them by their full distance to a vantage point of its own,
+A leaf holds the fingerprints of one shard; where the sample's trees leave it large, trees of its own split it on. It searches them by their full distance to a vantage point of its own,
 comparing only those whose distances differ by RADIUS or less, in blocks of bounded memory, and returns a forest
 of links (at most one link per member), never all pairs.
 """
@@ -34,8 +34,8 @@ RADIUS = 3
 SHINGLE = 3
 #: Distinct fingerprints that fit the trees, at most (about): a bound on what the driver gets.
 TREE_SAMPLE = 20_000
-#: Fingerprints that a leaf should hold.
-LEAF = 1024
+#: Fingerprints that a leaf should hold, and the share of a shard up to which a part of it counts as smaller.
+LEAF, SHRINK = 1024, 0.8
 _POWERS = (1 << np.arange(63, -1, -1, dtype=np.uint64)).astype(np.uint64)
 
 
@@ -165,6 +165,39 @@ def link_forest(values: np.ndarray, radius: int = RADIUS, block: int = 1 << 22)
     return np.array(links, np.int64).reshape(-1, 2)
 
 
+def shard_links(values: np.ndarray, shift: int, radius: int = RADIUS, leaf: int = LEAF, sizes: list[int] | None = None) -> np.ndarray:
+    """Links (i, j) whose components are those of all pairs within ``radius`` bits that differ in radius // 2 bits or less of the half at
+    ``shift``.
+
+    A shard of over 4 x leaf values is split again by trees of its own: first over that half, and what no such tree parts any more, equal or near halves,
+    over the other half, in which a pair differs in ``radius`` bits at most. So time grows with the shard's size, not its square. ``sizes`` collects
+    the sizes that were searched."""
+    out, todo = [], [(np.arange(len(values)), shift, radius // 2, False)]
+    while todo:
+        index, at, reach, other = todo.pop()
+        parts = []
+        if len(index) > 4 * leaf:
+            half = (values[index] >> np.uint64(at)).astype(np.uint32)
+            some = half if len(half) <= TREE_SAMPLE else np.random.default_rng(len(half)).choice(half, TREE_SAMPLE, replace=False)
+            tree, _ = build_tree(some, max(2.0, leaf * len(some) / len(half)))
+            where, leaves, _ = route(tree, half, reach)
+            order = np.argsort(leaves, kind="stable")
+            parts = [index[p] for p in np.split(where[order], np.nonzero(np.diff(leaves[order]))[0] + 1)]
+            if max(map(len, parts)) > SHRINK * len(index):  # hardly parted
+                parts = []
+                if not other:
+                    todo.append((index, 32 - at, radius, True))
+                    continue
+        if parts:
+            todo += [(p, at, reach, other) for p in parts]
+        else:
+            got = link_forest(values[index], radius)
+            out.append(index[got])
+            if sizes is not None:
+                sizes.append(len(index))
+    return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+
+
 def links(prints: DataFrame, radius: int = RADIUS, leaf: int = LEAF, sample: int = TREE_SAMPLE) -> DataFrame:
     """(u, v): links between distinct fingerprints (column ``fp``, bigint, distinct) with the components of all pairs
     within ``radius`` bits."""
@@ -186,9 +219,9 @@ def links(prints: DataFrame, radius: int = RADIUS, leaf: int = LEAF, sample: int
                 yield pd.DataFrame({"tree": np.full(len(at), t, np.int32), "leaf": leaves.astype(np.int32), "home": home, "fp": fp[at]})
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        # Guests needn't be told from residents: a link between two guests is true as well, and the forest stays one.
-        fp = np.sort(pdf["fp"].to_numpy(np.int64))
-        got = link_forest(fp.view(np.uint64), radius)
+        # Guests needn't be told from residents: a link between two guests is true as well.
+        fp = np.unique(pdf["fp"].to_numpy(np.int64))
+        got = shard_links(fp.view(np.uint64), 32 * int(pdf["tree"].iloc[0]), radius, leaf)
         return pd.DataFrame({"u": fp[got[:, 0]], "v": fp[got[:, 1]]})
 
     sent = prints.select("fp").mapInPandas(visits, "tree int, leaf int, home boolean, fp long")
@@ -206,7 +239,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, text: str = "text") -
     """(doc_id, fp, component_id): one row per document; component_id is the least doc_id of its group.
 
     Documents without words share fingerprint 0 and link like any other. Null texts count as empty; repeated rows
-    come out as often as they go in; a null doc_id keeps its fingerprint and gets its group's id. Empty in, empty out."""
+    come out as often as they go in; a null doc_id keeps its fingerprint and gets its group's id. Other columns are never read, whatever
+    their names. Empty in, empty out."""
     prints = cut(docs.select("doc_id", fingerprints(docs, text).alias("fp")))
     distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     groups = connected_components(cut(links(distinct, radius).distinct()))

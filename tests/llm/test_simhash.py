@@ -86,3 +86,26 @@ def test_near_duplicates_match_brute_force(spark):
     assert S.near_duplicates(df.limit(0)).count() == 0
     again = S.near_duplicates(df.where("doc_id = 903").unionByName(df.where("doc_id = 903")))
     assert [r.component_id for r in again.collect()] == [903, 903]
+
+
+def test_large_shards_are_split_without_losing_a_pair():
+    rng = np.random.default_rng(7)
+    flip = lambda v: v ^ (np.uint64(1) << rng.integers(0, 64, len(v)).astype(np.uint64))
+    wide = rng.integers(0, 2**64, 6000, dtype=np.uint64)
+    same_half = (rng.integers(0, 2**32, 3000, dtype=np.uint64) << np.uint64(32)) | np.uint64(77)
+    dense = np.full(2000, 12345678901234567, np.uint64)
+    for _ in range(7):
+        dense = flip(dense)
+    for values in (wide, same_half, dense, np.zeros(1, np.uint64), np.zeros(0, np.uint64)):
+        v = np.unique(np.concatenate([values, flip(flip(values[:600])), flip(flip(flip(values[600:900])))]))
+        sizes = []
+        got = np.concatenate([S.shard_links(v, shift, leaf=64, sizes=sizes) for shift in (0, 32)])
+        comp = [list(range(len(v))) for _ in range(2)]
+        for c, pairs in zip(comp, (got, S.link_forest(v))):
+            while any(c[i] != c[j] for i, j in pairs):
+                for i, j in pairs:
+                    c[i] = c[j] = min(c[i], c[j])
+        assert comp[0] == comp[1]
+        assert all(bin(int(v[i] ^ v[j])).count("1") <= 3 for i, j in got)
+        if values is wide:
+            assert max(sizes) <= 4 * 64
