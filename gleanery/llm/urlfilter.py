@@ -9,24 +9,30 @@ through are level 3's, and so on until none are left. A key belongs to the list
 has an even number, or if no level lacks it and the number of levels is odd. One cascade holds the blocked keys and one the
 allowed ones.
 
-A cascade travels as a literal of at most MAX_FILTER_BYTES a level; beyond that the same keys are looked up by an
-equi-join, which has no such bound.
+A level's rate of false positives follows from how many keys it must keep out, so that about as many pass as it encodes: a cascade has some
+1.5 bits a listed key for each doubling of the universe, whatever the corpus's size. It travels as literals. Lists whose cascades would pass
+MAX_FILTER_BYTES are dealt into parts by key, each with cascades of its own and a pass over the pages, so there is no size at which a join takes over.
+
+Null, malformed and very long URLs, repeated rows and empty tables: see ``judge``. Of a key that is listed twice the first verdict by text counts.
 """
 
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import table
+from gleanery.llm.common import fresh, table
 from gleanery.session import cut
 
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
-BITS_PER_KEY, HASHES = 10, 4
-MAX_FILTER_BYTES = 1 << 20
+#: Hashes of a level at least and at most; each takes 1.5 bits a key.
+HASHES = (4, 30)
+#: Literals of one pass, in all (about).
+MAX_FILTER_BYTES = 16 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -50,52 +56,49 @@ def candidates(host: Column, path: Column, lengths: list[int]) -> Column:
     return F.when(host != "", keys).otherwise(F.array().cast("array<string>"))
 
 
-def _positions(key: Column, bits: int, level: int) -> list[Column]:
+def _positions(key: Column, bits: int, level: int, hashes: int) -> list[Column]:
     a = F.pmod(F.xxhash64(key, F.lit(2 * level)), F.lit(bits))
-    b = F.pmod(F.xxhash64(key, F.lit(2 * level + 1)), F.lit(bits))
-    return [F.pmod(a + F.lit(j) * b, F.lit(bits)) for j in range(HASHES)]
+    b = F.pmod(F.xxhash64(key, F.lit(2 * level + 1)), F.lit(bits - 1)) + 1
+    return [F.pmod(a + F.lit(j) * b, F.lit(bits)) for j in range(hashes)]
 
 
 @dataclass
 class Level:
     bits: int
+    hashes: int
     words: list[int]
 
     def has(self, key: Column, number: int) -> Column:
         array = F.from_json(F.lit(json.dumps(self.words)), "array<bigint>")  # folded into one literal
         hit = F.lit(True)
-        for p in _positions(key, self.bits, number):
+        for p in _positions(key, self.bits, number, self.hashes):
             hit = hit & (F.call_function("getbit", F.get(array, F.shiftright(p, 6).cast("int")), F.pmod(p, F.lit(64)).cast("int")) == 1)
         return hit
 
 
-class TooLarge(Exception):
-    """A level's keys need more than MAX_FILTER_BYTES."""
-
-
-def _encode(keys: DataFrame, n: int, number: int) -> Level:
-    bits = max(64, -(-n * BITS_PER_KEY // 64) * 64)
-    if bits > 8 * MAX_FILTER_BYTES:
-        raise TooLarge
-    spread = keys.select(F.explode(F.array(*_positions(F.col("key"), bits, number))).alias("p"))
+def _encode(keys: DataFrame, n: int, against: int, number: int) -> Level:
+    """The level numbered ``number`` of ``n`` keys, about as many of ``against`` others passing. Later levels have more hashes, so the keys run out."""
+    hashes = min(HASHES[1], max(HASHES[0], math.ceil(math.log2(1 + against / n))) + number // 4)
+    bits = -(-int(n * hashes * 1.5 + 64) // 64) * 64
+    spread = keys.select(F.explode(F.array(*_positions(F.col("key"), bits, number, hashes))).alias("p"))
     mask = F.expr("shiftleft(1L, cast(p % 64 as int))")
     rows = spread.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(mask).alias("m")).collect()  # bits / 64 rows at most
     words = [0] * (bits // 64)
     for r in rows:
         words[r.w] = r.m
-    return Level(bits, words)
+    return Level(bits, hashes, words)
 
 
-def build_cascade(universe: DataFrame, limit: int = 40) -> list[Level]:
+def build_cascade(universe: DataFrame) -> list[Level]:
     """Levels for a table (key, listed) that holds every key that will be asked for, once each."""
     levels: list[Level] = []
     inside, outside = universe.where("listed"), universe.where("not listed")
-    while (n := inside.count()) > 0:
-        if len(levels) == limit:
-            raise TooLarge
-        level = _encode(inside, n, len(levels))
+    n, against = inside.count(), outside.count()
+    while n:
+        level = _encode(inside, n, against, len(levels))
         inside, outside = outside.where(level.has(F.col("key"), len(levels))), inside
         levels.append(level)
+        n, against = inside.count(), n
     return levels
 
 
@@ -119,37 +122,36 @@ def _longest(keys: Column) -> Column:
 def judge(pages: DataFrame, rules=RULES, url: str = "url", default: str = "allow") -> DataFrame:
     """``pages`` with host, path, rule (null if none fits) and verdict. ``rules`` is a list of (verdict, key) or, for
     lists that don't fit the driver, a DataFrame of them. A rule fits its host and all subdomains if the path starts with its path;
-    the longest wins. URLs that no rule fits get ``default``. All rows are kept as they are; of input columns with these four
-    names, the new ones replace them. Null and malformed URLs have an empty host and path and so no rule."""
+    the longest wins. URLs that no rule fits get ``default``. All rows are kept as they are, repeated ones and those with very long URLs too; of input
+    columns with these four names, the new ones replace them, all others stay. Null and malformed URLs have an empty host and path and so
+    no rule."""
     spark = pages.sparkSession
-    listed = rules if isinstance(rules, DataFrame) else spark.createDataFrame(list(rules), "verdict string, key string")
-    listed = listed.toDF("verdict", "key").where("key is not null").dropDuplicates(["key"])
-    lengths = sorted(r.n for r in listed.select((F.length("key") - F.instr("key", "/") + 1).alias("n")).distinct().collect())
+    if not isinstance(rules, DataFrame):
+        one = F.array(*[F.struct(F.lit(v).alias("verdict"), F.lit(k).alias("key")) for v, k in rules] or [F.struct(F.lit(None).cast("string").alias("verdict"), F.lit(None).cast("string").alias("key"))])
+        rules = spark.range(1).select(F.explode(one).alias("r")).select("r.*")
+    listed = rules.toDF("verdict", "key").where("key is not null").groupBy("key").agg(F.min("verdict").alias("verdict"))
+    lengths, n = sorted(r.n for r in listed.select((F.length("key") - F.instr("key", "/") + 1).alias("n")).distinct().collect()), listed.count()
     host, path = url_parts(F.col(url))
     if not lengths:
         return pages.withColumns({"host": host, "path": path, "rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
-    keys = candidates(host, path, lengths)
     seen = pages.select(host.alias("h"), F.substring(path, 1, max(lengths)).alias("p")).distinct()
     universe = seen.select(F.explode(candidates(F.col("h"), F.col("p"), lengths)).alias("key")).select("key", F.lit(None).cast("string").alias("verdict"))
-    universe = cut(universe.unionByName(listed).groupBy("key").agg(F.max("verdict").alias("verdict")))
-    try:
-        cascades = {v: build_cascade(universe.select("key", F.coalesce(F.col("verdict") == v, F.lit(False)).alias("listed"))) for v in ("block", "allow")}
-    except TooLarge:
-        return _judge_by_join(pages, listed, lengths, host, path, default)
-    found = {v: _longest(_kept(keys, c)) for v, c in cascades.items()}
-    hits = F.array(*[F.struct(F.length(k).alias("n"), k.alias("k"), F.lit(v).alias("v")) for v, k in found.items()])
-    best = F.array_max(F.filter(hits, lambda s: s["k"].isNotNull()))
-    out = pages.withColumns({"host": host, "path": path, "_best": best})
-    return out.withColumns({"rule": F.col("_best.k"), "verdict": F.coalesce("_best.v", F.lit(default))}).drop("_best")
-
-
-def _judge_by_join(pages: DataFrame, listed: DataFrame, lengths: list[int], host: Column, path: Column, default: str) -> DataFrame:
-    """The same by an equi-join on distinct (host, path) pairs: for lists beyond the filters' bound."""
-    with_parts = pages.withColumns({"host": host, "path": path})
-    pairs = with_parts.select("host", "path").distinct().withColumn("key", F.explode(candidates(F.col("host"), F.col("path"), lengths)))
-    best = pairs.join(listed, "key").groupBy("host", "path").agg(F.max(F.struct(F.length("key").alias("n"), "key", "verdict")).alias("_best"))
-    out = with_parts.join(best, ["host", "path"], "left")
-    return out.withColumns({"rule": F.col("_best.key"), "verdict": F.coalesce("_best.verdict", F.lit(default))}).select(*pages.columns, "host", "path", "rule", "verdict")
+    universe = cut(universe.unionByName(listed.select("key", "verdict")).groupBy("key").agg(F.max("verdict").alias("verdict")))
+    parts = max(1, math.ceil(n * 1.5 * math.log2(2 + universe.count() / n) / 8 / MAX_FILTER_BYTES))
+    part = lambda key: F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(parts))
+    (best,) = fresh(pages, "best")
+    out = pages.withColumn(best, F.lit(None).cast("struct<n: int, k: string, v: string>"))
+    for number in range(parts):
+        mine = universe.where(part(F.col("key")) == number) if parts > 1 else universe
+        cascades = {v: build_cascade(mine.select("key", F.coalesce(F.col("verdict") == v, F.lit(False)).alias("listed"))) for v in ("block", "allow")}
+        keys = candidates(host, path, lengths)
+        keys = F.filter(keys, lambda k: part(k) == number) if parts > 1 else keys  # noqa: B023  called at once
+        found = {v: _longest(_kept(keys, c)) for v, c in cascades.items()}
+        hits = F.array(F.col(best), *[F.struct(F.length(k).alias("n"), k.alias("k"), F.lit(v).alias("v")) for v, k in found.items()])
+        out = out.withColumn(best, F.array_max(F.filter(hits, lambda s: s["k"].isNotNull())))
+        out = cut(out) if parts > 1 else out
+    out = out.withColumns({"host": host, "path": path, "rule": F.col(best)["k"], "verdict": F.coalesce(F.col(best)["v"], F.lit(default))})
+    return out.drop(best)
 
 
 def op2_urlfilter(spark, sf_dir):

@@ -36,7 +36,7 @@ URLS = [
 ]
 
 
-def test_urls_match_a_plain_loop(spark):
+def test_urls_match_a_plain_loop(spark, monkeypatch):
     rng = random.Random(3)
     hosts = [f"h{k}.example.{t}" for k in range(40) for t in ("net", "com", "org", "io")]
     urls = URLS + [f"http://{rng.choice(['', 'm.'])}{rng.choice(hosts)}/{rng.choice(['en', 'de', 'fr'])}/{k}" for k in range(400)]
@@ -45,10 +45,17 @@ def test_urls_match_a_plain_loop(spark):
     out = urlfilter.judge(df, rules)
     no_python(out)
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in out.collect()}
-    first = dict((k, v) for v, k in reversed(rules))
+    first = {k: min(v for v, other in rules if other == k) for _, k in reversed(rules)}
     assert got == {k: slow_judge(u, [(v, key) for key, v in first.items()]) for k, u in enumerate(urls)}
-    by_join = urlfilter._judge_by_join(df.drop("host"), spark.createDataFrame(rules, "verdict string, key string").dropDuplicates(["key"]), sorted({len(k) - k.index("/") for _, k in rules}), *urlfilter.url_parts(F.col("url")), "allow")
-    assert {r.page_id: (r.host, r.path, r.rule) for r in by_join.collect()} == {k: v[:3] for k, v in got.items()}
+    monkeypatch.setattr(urlfilter, "MAX_FILTER_BYTES", 30)  # several parts, a pass for each
+    clash = df.withColumns({n: F.lit("x") for n in ("best", "_best", "key", "listed", "rule", "best_")})
+    parted = urlfilter.judge(clash, spark.createDataFrame(rules, "verdict string, key string").dropDuplicates(["key"]))
+    assert {r.page_id: (r.host, r.path, r.rule) for r in parted.collect()} == {k: v[:3] for k, v in got.items()}
+    row = parted.first()
+    assert [row[n] for n in ("best", "_best", "key", "listed", "best_")] == ["x"] * 5
+    assert urlfilter.judge(df, []).where("rule is not null or verdict <> 'allow'").count() == 0
+    long = spark.createDataFrame([(1, "http://a.example.net/en/" + "x" * 1_000_000), (2, "http://" + "a." * 300 + "net/")], "page_id long, url string")
+    assert {r.page_id: r.verdict for r in urlfilter.judge(long).collect()} == {1: "allow", 2: "block"}
     assert urlfilter.judge(df.limit(0)).count() == 0
 
 
@@ -66,7 +73,7 @@ def slow_dedup(docs):
         w = [("<*>" if re.search("[0-9]", x) else x) for x in re.split(r"[ \t\r\f\x0B]+", line) if x]
         n = len(w)
         if n < linededup.MIN_TOKENS:
-            return []
+            return [("as it stands", *[x for x in re.split(r"[ \t\r\f\x0B]+", line) if x])] if n else []
         if n < linededup.MIN_FIELDS:
             return [(n, tuple(w))]
         r = n - 3
@@ -97,11 +104,13 @@ def test_lines_match_a_plain_loop(spark):
             lines.append(line if rng.random() < 0.7 else f"own{d} line{d} number{d}x of{d}y")
         docs.append((d, "\n".join(lines)))
     docs += [(None, "All rights reserved."), (500, None), (501, ""), (3, docs[3][1]), (502, "Posted by user9 on 1999\n" * 3), (503, ("word " * 30_000 + "\n") * 2)]
-    df = spark.createDataFrame(docs, "doc_id long, text string").withColumns({"k": F.lit(1), "n_chars": F.length("text").cast("long"), "t": F.lit("x")})
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumns({"k": F.lit(1), "n_chars": F.length("text").cast("long"), "t": F.lit("x"), "_drop": F.lit("y"), "_k": F.lit("z"), "drop": F.lit("w"), "_n_lines": F.lit(-1)})
     out = linededup.drop_lines(df)
     no_python(out)
     got = out.select("doc_id", "text", "n_chars", "_n_lines", "_n_dropped").collect()
     assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(slow_dedup(docs), key=str)
+    assert {(r.k, r.t, r._drop, r._k, r["drop"]) for r in out.collect()} == {(1, "x", "y", "z", "w")}
+    assert all(r._n_lines == (0 if r.text is None else r._n_lines) and r._n_lines >= 0 for r in got)
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in got)
     assert linededup.drop_lines(df.limit(0)).count() == 0
 
