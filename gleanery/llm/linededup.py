@@ -6,11 +6,10 @@ without digits are generalised too: the tokens after the leading ones are parted
 two of the three are one template (lines of fewer than MIN_FIELDS tokens must agree in all).
 
 A template that two documents or more share is recurring: all but the lines of its first document (least doc_id) are
-dropped. Lines of fewer than MIN_TOKENS tokens have no template and always stay in op3 (the pipeline's stage takes them
-too, as they stand); so do lines repeated within one
-document only.
+dropped. Lines of fewer than MIN_TOKENS tokens are templates as they stand, digits and all; blank lines have none. Lines repeated
+within one document only stay.
 
-A template travels as 64-bit hashes, so no text is shuffled to count it, and the first document is a minimum that
+A template travels as two hashes, of 64 and 32 bits, so no text is shuffled to count it, and the first document is a minimum that
 combines map-side: a line shared by a third of all documents costs one row for each task.
 """
 
@@ -19,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import table
+from gleanery.llm.common import fresh, table
 from gleanery.session import cut
 
 LEADING = 3
@@ -35,51 +34,51 @@ def tokens(line: Column) -> Column:
     return F.when(line.rlike("[0-9]"), F.transform(words, lambda w: F.when(w.rlike("[0-9]"), "<*>").otherwise(w))).otherwise(words)
 
 
-def template_keys(words: Column) -> Column:
-    """Hashes of the leaf with each of the three ways to leave one run of tokens open; one hash for short lines;
-    none for lines without a template."""
+def template_keys(words: Column, line: Column) -> Column:
+    """Hashes (t, s) of the leaf with each of the three ways to leave one run of tokens open; of the whole line for short ones, as it stands for those of
+    fewer than MIN_TOKENS tokens; none for blank lines."""
     n = F.size(words)
     rest = n - LEADING
-    lead = F.xxhash64(n, F.slice(words, 1, LEADING))
     a, b = F.floor(rest / 3).cast("int"), F.floor(rest * 2 / 3).cast("int")
-    part = [F.slice(words, F.lit(LEADING + 1), a), F.slice(words, a + LEADING + 1, b - a), F.slice(words, b + LEADING + 1, rest - b)]
-    open_run = F.array(F.xxhash64(lead, part[1], part[2], F.lit(1)), F.xxhash64(lead, part[0], part[2], F.lit(2)), F.xxhash64(lead, part[0], part[1], F.lit(3)))
-    whole = F.array(F.xxhash64(n, words, F.lit(0)))
-    return F.when(n >= MIN_FIELDS, open_run).when(n >= MIN_TOKENS, whole).otherwise(F.array().cast("array<bigint>"))
-
-
-def short_keys(line: Column) -> Column:
-    """A hash of a line of fewer than MIN_TOKENS tokens, as they stand: with digits as variable fields all numbers would be
-    one line. None for blank lines."""
-    words = F.split(F.btrim(line, F.lit(BLANKS)), SPACE)
-    return F.when(F.btrim(line, F.lit(BLANKS)) != "", F.array(F.xxhash64(words, F.lit(4)))).otherwise(F.array().cast("array<bigint>"))
-
-
-def drop_lines(docs: DataFrame, short: bool = False) -> DataFrame:
+    runs = F.array(
+        F.slice(words, 1, LEADING), F.slice(words, F.lit(LEADING + 1), a), F.slice(words, a + LEADING + 1, b - a), F.slice(words, b + LEADING + 1, rest - b)
+    )
+    # Each run is hashed once; the array lets the three keys share that.
+    runs = F.transform(runs, lambda r: F.struct(F.xxhash64(r).alias("t"), F.hash(r).alias("s")))
+    two = lambda h, x, y, k: F.struct(F.xxhash64(n, h[0]["t"], h[x]["t"], h[y]["t"], F.lit(k)).alias("t"), F.hash(n, h[0]["s"], h[x]["s"], h[y]["s"]).alias("s"))
+    open_run = F.transform(F.array(runs), lambda h: F.array(two(h, 2, 3, 1), two(h, 1, 3, 2), two(h, 1, 2, 3)))[0]
+    whole = F.array(F.struct(F.xxhash64(n, words, F.lit(0)).alias("t"), F.hash(words).alias("s")))
+    bare = F.split(F.btrim(line, F.lit(BLANKS)), SPACE)
+    short = F.array(F.struct(F.xxhash64(bare, F.lit(4)).alias("t"), F.hash(bare).alias("s")))
+    none = F.array().cast("array<struct<t: bigint, s: int>>")
+    return F.when(n >= MIN_FIELDS, open_run).when(n >= MIN_TOKENS, whole).when(F.btrim(line, F.lit(BLANKS)) != "", short).otherwise(none)
+
+
+def drop_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with text without the lines that a template of an earlier document covers, n_chars (if there) as it is then,
-    and ``_n_lines``, ``_n_dropped``.
+    and ``_n_lines``, ``_n_dropped``, which replace columns of these names; all others stay.
 
-    With ``short``, lines of fewer than MIN_TOKENS tokens (blank ones apart) count as well, each as a template of its own.
     Null texts stay null. A text may become empty; no row is lost. Rows that repeat a doc_id are one document. Rows
     without a doc_id lose nothing and cause no loss."""
     key = F.xxhash64("doc_id", "text")  # tells apart different texts under one id
     lines = docs.where("doc_id is not null and text is not null").select("doc_id", key.alias("k"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     lines = lines.select("doc_id", "k", "pos", "line", tokens(F.col("line")).alias("w"))
-    keys = template_keys(F.col("w"))
-    keys = F.when(F.size("w") < MIN_TOKENS, short_keys(F.col("line"))).otherwise(keys) if short else keys
-    lines = lines.select("doc_id", "k", "pos", keys.alias("keys"))
+    lines = lines.select("doc_id", "k", "pos", template_keys(F.col("w"), F.col("line")).alias("keys"))
     lines = cut(lines)  # unfiltered: a filter on keys would be pushed down and work them out a second time
-    each = lines.select("doc_id", "k", "pos", F.explode("keys").alias("t"))
-    first = each.groupBy("t").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("t", "first")
-    drop = each.join(cut(first), "t").where("first < doc_id").groupBy("doc_id", "k").agg(F.collect_set("pos").alias("_drop"))
+    each = lines.select("doc_id", "k", "pos", F.inline("keys").alias("t", "s"))
+    first = each.groupBy("t", "s").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("t", "s", "first")
+    d, k, gone = fresh(docs, "_d", "_k", "_drop")
+    drop = each.join(cut(first), ["t", "s"]).where("first < doc_id").groupBy(F.col("doc_id").alias(d), F.col("k").alias(k)).agg(F.collect_set("pos").alias(gone))
     old = F.split("text", "\n", -1)
-    joined = docs.withColumn("_k", key).join(drop.withColumnsRenamed({"doc_id": "_d", "k": "_k2"}), (F.col("doc_id") == F.col("_d")) & (F.col("_k") == F.col("_k2")), "left")
-    kept = F.array_join(F.filter(old, lambda x, i: ~F.array_contains(F.col("_drop"), i)), "\n")
-    out = joined.withColumn("_n_dropped", F.coalesce(F.array_size("_drop"), F.lit(0))).withColumn("_n_lines", F.when(F.col("text").isNotNull(), F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).otherwise(0))
-    out = out.withColumn("text", F.when(F.col("_drop").isNotNull(), kept).otherwise(F.col("text")))
+    joined = docs.join(drop, (F.col("doc_id") == F.col(d)) & (key == F.col(k)), "left")
+    lost = F.col(gone).isNotNull()
+    kept = F.when(lost, F.array_join(F.filter(old, lambda x, i: ~F.array_contains(F.col(gone), i)), "\n")).otherwise(F.col("text"))
+    n_lines = F.when(F.col("text").isNotNull(), F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).otherwise(0)
+    own = [kept.alias(c) if c == "text" else F.col(c) for c in docs.columns if c not in ("_n_lines", "_n_dropped")]
+    out = joined.select(*own, n_lines.alias("_n_lines"), F.coalesce(F.array_size(gone), F.lit(0)).alias("_n_dropped"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_drop").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns, "_n_lines", "_n_dropped")
+        out = out.withColumn("n_chars", F.when(F.col("_n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out
 
 
 def op3_linededup(spark, sf_dir):
@@ -100,7 +99,8 @@ k AS (
            concat('1 ', n, ' ', array_to_string(w[1:3] || ['|'] || w[a + 4:], ' ')),
            concat('2 ', n, ' ', array_to_string(w[1:3 + a] || ['|'] || w[b + 4:], ' ')),
            concat('3 ', n, ' ', array_to_string(w[1:3 + b] || ['|'], ' '))]
-         WHEN n >= 3 THEN [concat('0 ', array_to_string(w, ' '))] ELSE [] END) AS t FROM s),
+         WHEN n >= 3 THEN [concat('0 ', array_to_string(w, ' '))]
+         WHEN n >= 1 THEN [concat('4 ', array_to_string(list_filter(string_split_regex(line, '[ \t\r\f\x0B]+'), lambda x: x <> ''), ' '))] ELSE [] END) AS t FROM s),
 f AS (SELECT t, min(doc_id) AS first FROM k GROUP BY t),
 d AS (SELECT DISTINCT k.doc_id, k.pos FROM k JOIN f USING (t) WHERE f.first < k.doc_id)
 SELECT l.doc_id, coalesce(string_agg(line, chr(10) ORDER BY l.pos) FILTER (WHERE d.pos IS NULL), '') AS text,
