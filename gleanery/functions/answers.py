@@ -66,6 +66,26 @@ def billed_output(base_url: Column, prompt: Column, completion: Column, total: C
     return F.when(base_url.startswith(host) & total.isNotNull() & prompt.isNotNull(), F.greatest(completion, total - prompt)).otherwise(completion)
 
 
+# What marks an error of a model call, and of a download by its type or message, as worth another attempt.
+CALL_MARKERS = ("429", "500", "503", "502", "504", "timeout", "timed out", "connection reset", "overloaded", "rate limit", "try again", "temporarily")
+DOWNLOAD_TYPES = ("timeout", "connect", "network")
+DOWNLOAD_MARKERS = ("timeout", "connection reset", "temporary failure", "try again", "429", "503")
+
+
+def _names_any(text: Column, words: tuple[str, ...]) -> Column:
+    return F.coalesce(F.lower(text).rlike("|".join(words)), F.lit(False))
+
+
+def transient_call(kind: Column, message: Column) -> Column:
+    """Whether a model call's error, told by its type and message together, is worth another attempt."""
+    return _names_any(F.concat_ws(" ", kind, message), CALL_MARKERS)
+
+
+def transient_download(kind: Column, message: Column) -> Column:
+    """Whether a download's error is: by words in its type, else by others in its message."""
+    return _names_any(kind, DOWNLOAD_TYPES) | _names_any(message, DOWNLOAD_MARKERS)
+
+
 def transient(message: Column) -> Column:
-    """Whether an error is worth another attempt."""
+    """Whether an error of unknown origin is worth another attempt."""
     return F.lower(message).rlike("timeout|timed out|temporar|connection|429|500|502|503|504|rate limit|throttl")

@@ -71,6 +71,11 @@ def is_digest(text: Column) -> Column:
     return F.coalesce(text.rlike("^[0-9a-f]{64}$"), F.lit(False))
 
 
+def is_suite_name(text: Column) -> Column:
+    """Whether a suite's name is one folder's name."""
+    return F.coalesce((text != "") & ~text.isin(".", "..") & ~text.rlike(r"[/\\]"), F.lit(False))
+
+
 def search_variants(name: Column) -> Column:
     """Quoted full name, and the quoted first two words of longer names."""
     words = F.split(F.trim(F.regexp_replace(name, r"\s+", " ")), " ")

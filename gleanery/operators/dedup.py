@@ -77,6 +77,12 @@ def clusters(df: DataFrame, threshold: int = 6, source_identity: Column | None =
     return member.select("key", "cluster").join(told, "cluster")
 
 
+def best_canonical(members: DataFrame, group: str, key: str, width: str, height: str) -> DataFrame:
+    """(group, canonical): of each group the member of the largest area (0 if unknown), of those the least key."""
+    area = F.coalesce(F.col(width).cast("long") * F.col(height), F.lit(0))
+    return members.groupBy(group).agg(F.min_by(key, F.struct(-area, key)).alias("canonical"))
+
+
 def group_rows(found: DataFrame) -> DataFrame:
     """One row for each group, with the key under which it is stored: its place by first member, method and canonical member."""
     from pyspark.sql import Window

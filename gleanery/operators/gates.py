@@ -144,9 +144,11 @@ def assessments(rows: DataFrame, src: DataFrame | None = None, taxa: DataFrame |
     return union(parts)
 
 
-def display_ordinal(category: Column) -> Column:
-    """Display order of a category, uncertain last; null for unknown ones, which a gate reports."""
-    return F.nullif(F.array_position(F.array(*[F.lit(c) for c in CATEGORIES]), category) - 1, F.lit(-1))
+def display_ordinal(category: Column, strict: bool = False) -> Column:
+    """Display order of a category, uncertain last; null for unknown ones, which a gate reports. With ``strict`` an unknown one, null too, is an
+    error when it is met."""
+    place = F.nullif(F.array_position(F.array(*[F.lit(c) for c in CATEGORIES]), category) - 1, F.lit(-1))
+    return F.coalesce(place, F.raise_error(F.concat(F.lit("unknown category "), F.coalesce(category, F.lit("null")))).cast("bigint")) if strict else place
 
 
 def transitions(events: DataFrame) -> DataFrame:

@@ -125,3 +125,44 @@ def tree_hash(df: DataFrame, key: Column, text: Column, buckets: int = 1024) ->
     share = own.withColumn("b", F.conv(F.substring("k", 1, 8), 16, 10).cast("long") % buckets)
     each = share.groupBy("b").agg(F.count("*").alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat("k", "t"))), ""), 256).alias("d"))
     return each.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "d"))), lambda s: s["d"]), ""), 256).alias("digest"))
+
+
+def canonical_text(text: Column) -> Column:
+    """A JSON string as sorted-key dumps write it: ASCII only, other characters as UTF-16 escapes; ``null`` for null."""
+    four = lambda n: F.concat(F.lit("\\u"), F.lower(F.lpad(F.hex(n), 4, "0")))
+    pair = lambda n: F.concat(four(F.floor((n - 0x10000) / 0x400) + 0xD800), four(F.pmod(n - 0x10000, F.lit(0x400)) + 0xDC00))
+    short = {'"': '\\"', "\\": "\\\\", "\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
+
+    def one(c: Column) -> Column:
+        n = F.ascii(c)
+        out = F.when((n >= 32) & (n < 128) & ~c.isin('"', "\\"), c)
+        for sign, escape in short.items():
+            out = out.when(c == sign, escape)
+        return out.when(n < 0x10000, four(n)).otherwise(pair(n))
+
+    plain = F.when(text.rlike(r'[^ !#-\[\]-\x7F]'), F.array_join(F.transform(F.split(text, ""), one), "")).otherwise(text)
+    return F.coalesce(F.concat(F.lit('"'), plain, F.lit('"')), F.lit("null"))
+
+
+def canonical_json(**fields: Column) -> Column:
+    """One JSON object with keys in order, as sorted-key dumps write it, of columns that are text already in JSON (numbers as text, ``canonical_text``)."""
+    parts = [F.concat(F.lit(f'"{k}": '), v) for k, v in sorted(fields.items())]
+    return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
+
+
+def run_summary(ledger: DataFrame) -> DataFrame:
+    """One row of a run's numbers from its ledger (task_id, error, attempts): tasks, wrote, errors, retried."""
+    failed = F.coalesce(F.col("error"), F.lit("")) != ""
+    return ledger.agg(F.count_distinct("task_id").alias("tasks"), F.count("*").alias("wrote"), F.count_if(failed).alias("errors"), F.count_if(F.col("attempts") > 1).alias("retried"))
+
+
+def counts_by(df: DataFrame, what: Column, name: str) -> DataFrame:
+    """(name, n): exclusions by reason, a histogram of shortlist sizes."""
+    return df.groupBy(what.alias(name)).agg(F.count("*").alias("n"))
+
+
+def release_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """(artifact, rows) of a release's tables."""
+    from functools import reduce
+
+    return reduce(DataFrame.unionByName, [df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("artifact"), "rows") for name, df in tables.items()])

@@ -68,3 +68,9 @@ def queue_after(queue: DataFrame, outcomes: DataFrame, max_attempts: int = 3) ->
 def pending(tasks: DataFrame, done: DataFrame, key: str = "task_id") -> DataFrame:
     """Tasks that the ledger doesn't have yet."""
     return tasks.join(done.select(key).distinct(), key, "left_anti")
+
+
+def last_lookup(rows: DataFrame, key: str, found: DataFrame, found_key: str, order: str) -> DataFrame:
+    """``rows`` left-joined with ``found`` by key, of rows of ``found`` that share one the last in ``order``: a lookup table filled in that order."""
+    last = found.where(F.col(found_key).isNotNull()).groupBy(F.col(found_key).alias("_key")).agg(F.max_by(F.struct(*[c for c in found.columns if c != found_key]), order).alias("_found"))
+    return rows.join(last, F.col(key) == F.col("_key"), "left").select(*rows.columns, "_found.*")

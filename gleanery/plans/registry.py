@@ -26,4 +26,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from gleanery.plans import catalog, collection, curation, evaluation  # noqa: E402, F401
+from gleanery.plans import catalog, collection, curation, evaluation, predicates  # noqa: E402, F401
