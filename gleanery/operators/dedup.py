@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,13 +26,14 @@ def stars(df: DataFrame, key: str, value: Column) -> DataFrame:
 def near_pairs(df: DataFrame, hashes: list[str], threshold: int) -> DataFrame:
     """(a, b, dist): pairs of different hash tuples that are within ``threshold`` bits on every hash, a before b.
 
-    Equal tuples are collapsed by the caller. The first hash is cut into threshold + 1 bands: a pair within the threshold has a
-    band in common, so an equi-join on bands finds all pairs; the distance is then checked."""
+    Every hash is cut into threshold + 1 bands of nearly equal width: a pair within the threshold has a band in common on each hash, so an equi-join on
+    combinations of bands, one of each hash, finds all pairs; the distance is then checked. Two 64-bit hashes at 6 bits share about 18 bits of such a cell, so by
+    chance one pair in 5,000 is compared."""
     bands = threshold + 1
-    width = -(-64 // bands)
-    mask = (1 << width) - 1
+    edges = [64 * i // bands for i in range(bands + 1)]
     own = df.select(F.struct(*hashes).alias("h")).distinct()
-    cells = [F.struct(F.lit(i).alias("i"), F.shiftrightunsigned(F.col("h")[hashes[0]], i * width).bitwiseAND(F.lit(mask)).alias("x")) for i in range(bands) if i * width < 64]
+    cut_up = lambda name: [F.shiftrightunsigned(F.col("h")[name], lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)) for lo, hi in zip(edges, edges[1:], strict=False)]
+    cells = [F.struct(*[x for i, part in enumerate(chosen) for x in (F.lit(part[0]).alias(f"i{i}"), part[1].alias(f"x{i}"))]) for chosen in product(*[list(enumerate(cut_up(name))) for name in hashes])]
     banded = own.select("h", F.explode(F.array(*cells)).alias("cell"))
     left, right = banded.withColumnRenamed("h", "a"), banded.withColumnRenamed("h", "b")
     far = F.greatest(*[hamming(F.col("a")[h], F.col("b")[h]) for h in hashes]) if len(hashes) > 1 else hamming(F.col("a")[hashes[0]], F.col("b")[hashes[0]])
@@ -84,12 +87,21 @@ def best_canonical(members: DataFrame, group: str, key: str, width: str, height:
 
 
 def group_rows(found: DataFrame) -> DataFrame:
-    """One row for each group, with the key under which it is stored: its place by first member, method and canonical member."""
+    """One row for each group, with the key under which it is stored: its place by first member, method and canonical member. Groups are dealt by range and
+    numbered within each part, so no task holds them all."""
     from pyspark.sql import Window
 
     groups = found.groupBy("cluster", "canonical", "method", "score").agg(F.count("*").alias("members"))
-    place = F.row_number().over(Window.orderBy("cluster")) - 1
-    return groups.withColumn("group_key", F.format_string("g%06d-%s-%s", place, F.col("method"), F.col("canonical")))
+    n = max(1, int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = cut(groups.repartitionByRange(n, "cluster").withColumn("_part", F.spark_partition_id()))
+    sizes = {r._part: r.n for r in parts.groupBy("_part").agg(F.count("*").alias("n")).collect()}  # one row for each part
+    before, total = [], 0
+    for k in sorted(sizes):
+        before += [F.lit(k), F.lit(total)]
+        total += sizes[k]
+    start = F.element_at(F.create_map(*before), F.col("_part")) if before else F.lit(0)
+    place = start + F.row_number().over(Window.partitionBy("_part").orderBy("cluster")) - 1
+    return parts.withColumn("group_key", F.format_string("g%06d-%s-%s", place, F.col("method"), F.col("canonical"))).drop("_part")
 
 
 def duplicate_report(found: DataFrame) -> DataFrame:

@@ -78,7 +78,17 @@ def gate_evidence(spark, d):
     return gates.evidence_sources(table(spark, d, "customer").select(F.col("c_name").alias("id"), F.lit("T").alias("title"), kind.alias("source_type"), doi.alias("doi"), none.alias("pmid"), none.alias("isbn"), url.alias("url")))
 
 
-@register("selection_report")
+@register(
+    "selection_report",
+    """WITH RECURSIVE r AS (SELECT l_partkey AS p, l_orderkey AS o, l_suppkey AS s, CAST(year(l_shipdate) AS INT) AS y, CASE WHEN month(l_shipdate) IN (12, 1, 2) THEN 'winter' WHEN month(l_shipdate) < 6 THEN 'spring' WHEN month(l_shipdate) < 9 THEN 'summer' ELSE 'autumn' END AS e,
+  row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey) AS rn FROM lineitem WHERE l_returnflag = 'A'),
+w AS (SELECT p, CAST(0 AS BIGINT) AS rn, CAST([] AS STRUCT(o BIGINT, s BIGINT, y INT, e VARCHAR)[]) AS acc, CAST(NULL AS BIGINT) AS o, CAST(NULL AS BIGINT) AS s, CAST(NULL AS INT) AS y, CAST(NULL AS VARCHAR) AS e, FALSE AS ok FROM (SELECT DISTINCT p FROM r)
+UNION ALL
+SELECT p, rn, CASE WHEN ok THEN list_append(acc, {'o': o, 's': s, 'y': y, 'e': e}) ELSE acc END, o, s, y, e, ok FROM (
+  SELECT r.p, r.rn, w.acc, r.o, r.s, r.y, r.e, len(w.acc) < 50 AND len(list_filter(w.acc, lambda x: x.o = r.o)) < 2 AND len(list_filter(w.acc, lambda x: x.s = r.s)) < 10 AND len(list_filter(w.acc, lambda x: x.y = r.y)) < 10 AND len(list_filter(w.acc, lambda x: x.e = r.e)) < 15 AS ok
+  FROM w JOIN r ON r.p = w.p AND r.rn = w.rn + 1))
+SELECT (SELECT count(*) FROM lineitem) AS input, (SELECT count(*) FROM r) AS licensed, (SELECT count(*) FROM lineitem WHERE l_returnflag <> 'A') AS rejected_license, (SELECT count_if(ok) FROM w) AS selected, (SELECT count(*) FROM r) - (SELECT count_if(ok) FROM w) AS skipped_caps""",
+)
 def selection_report(spark, d):
     """Greedy per-taxon selection of accepted media, counted."""
     li = table(spark, d, "lineitem")

@@ -117,11 +117,34 @@ def clustered(spark, d):
     return dedup.clusters(rows, 6)
 
 
-@register("dedup_report")
+#: Members of duplicate groups with their group, then each group's method and score.
+GROUPS = (
+    PRINTS
+    + """u AS (SELECT ahash, dhash, min(doc_id) AS k FROM q GROUP BY ALL),
+n AS (SELECT x.k AS a, y.k AS b, greatest(bit_count(xor(x.ahash, y.ahash)), bit_count(xor(x.dhash, y.dhash))) AS dist FROM u x JOIN u y ON x.k <> y.k WHERE bit_count(xor(x.ahash, y.ahash)) <= 6 AND bit_count(xor(x.dhash, y.dhash)) <= 6),
+e AS (SELECT a, b FROM n UNION SELECT q.doc_id, u.k FROM q JOIN u USING (ahash, dhash) UNION SELECT u.k, q.doc_id FROM q JOIN u USING (ahash, dhash)),
+c AS (SELECT doc_id AS node, doc_id AS reach FROM q UNION SELECT c.node, e.b FROM c JOIN e ON c.reach = e.a),
+member AS (SELECT node AS key, min(reach) AS cluster FROM c GROUP BY node HAVING count(*) > 1),
+whole AS (SELECT key, cluster, sha256(text) AS sha, length(text) AS n, ahash, dhash FROM member JOIN documents ON documents.doc_id = key JOIN q ON q.doc_id = key),
+ex AS (SELECT DISTINCT cluster FROM (SELECT cluster, sha, count(*) AS n FROM whole GROUP BY ALL) WHERE n > 1), zero AS (SELECT DISTINCT cluster FROM (SELECT cluster, ahash, dhash, count(*) AS n FROM whole GROUP BY ALL) WHERE n > 1),
+near AS (SELECT cluster, min(dist) AS dist FROM n JOIN member ON key = a GROUP BY cluster),
+told AS (SELECT cluster, arg_min(key, (-n, key)) AS canonical, CASE WHEN cluster IN (SELECT cluster FROM ex) THEN 'sha256' ELSE 'perceptual' END AS method,
+  CASE WHEN cluster IN (SELECT cluster FROM ex) OR cluster IN (SELECT cluster FROM zero) THEN 1.0 ELSE 1 - (SELECT dist FROM near WHERE near.cluster = whole.cluster) / 64.0 END AS score, count(*) AS members FROM whole GROUP BY cluster) """
+)
+
+
+@register("dedup_report", GROUPS + "SELECT method, count(*) AS groups, CAST(sum(members) AS BIGINT) AS members FROM told GROUP BY method")
 def dedup_report(spark, d):
     return dedup.duplicate_report(clustered(spark, d))
 
 
+@register("duplicate_groups", GROUPS + "SELECT format('g{:06d}-{}-{}', row_number() OVER (ORDER BY cluster) - 1, method, canonical) AS group_key, cluster, canonical, method, CAST(score AS DOUBLE) AS score, members FROM told")
+def duplicate_groups(spark, d):
+    from gleanery.session import cut
+
+    return dedup.group_rows(cut(clustered(spark, d))).select("group_key", "cluster", "canonical", "method", "score", "members")
+
+
 @register("dedup_exact", "SELECT sha256(text) AS sha256, min(doc_id) AS first, count(*) AS members FROM documents GROUP BY 1 HAVING count(*) > 1")
 def dedup_exact(spark, d):
     docs = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"))
