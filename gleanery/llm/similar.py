@@ -11,9 +11,12 @@ shingles that aren't common, at most d = n - ceil(0.8 n) differ, so h least hash
 most. The head ends where that is below MISS, 13 shingles if none is common; where d isn't below r it is the full one. Passages that many texts hold are
 common and so lie in few heads.
 
-Of each head shingle's keys, all are first compared with the least key. Then those follow that are in different components still, all but those
-of the shingle's largest component with each other: a group of near copies of one text costs about as many pairs as it has
-members. Before whole sets are compared, sketches of the SKETCH least hashes are: pairs that look less than MAYBE alike go (a pair
+A shingle's place in a head bounds what two texts share if it is the first that they do: no more than the shingles from there on. Pairs that
+this keeps under 0.8 are left out; a true pair's first common shingle never does. So texts with many shingles of their own meet nobody.
+
+Of each head shingle's keys, all are first compared with the one in whose head it stands first. Then those follow that are in different components
+still, all but those of the shingle's largest component with each other: a group of near copies of one text costs about as many pairs as it has
+members. What is left is the square of texts in one family that hold the same shingles early but aren't linked. Before whole sets are compared, sketches of the SKETCH least hashes are: pairs that look less than MAYBE alike go (a pair
 at 0.8 does with a chance under 1e-7).
 
 Null texts count as empty; texts without words are one key, as are texts of fewer than five words with the same words. Rows that repeat are one text. No
@@ -167,10 +170,10 @@ def _confirmed(pairs: DataFrame, keys: DataFrame, docs: DataFrame) -> DataFrame:
     return pairs.join(put("v"), "v").join(put("u"), "u").where(alike("wu", "wv")).select("u", "v")
 
 
-def _fits(x: Column | str, y: Column | str) -> Column:
-    """Whether sets of these sizes can be LEAST alike."""
+def _reach(n: Column, i: Column, m: Column, j: Column) -> Column:
+    """Whether sets of sizes ``n`` and ``m`` can be LEAST alike if the first shingle that they share is at ``i`` in one and ``j`` in the other."""
     a, b = LEAST
-    return F.lit(b) * F.least(x, y) >= F.lit(a) * F.greatest(x, y)
+    return F.lit(a + b) * F.least(n - i, m - j) >= F.lit(a) * (n + m)
 
 
 def _simhash_pairs(keys: DataFrame) -> DataFrame:
@@ -186,23 +189,24 @@ def _simhash_pairs(keys: DataFrame) -> DataFrame:
 def links(keys: DataFrame, docs: DataFrame) -> DataFrame:
     """(u, v): links between keys with the components of all pairs at LEAST or more. ``keys`` has (key, doc_id, t, n, fp, head, sketch), a row
     for each key; ``docs`` the texts by (doc_id, t)."""
-    each = keys.select("key", "n", F.explode("head").alias("s"))
-    hubs = cut(each.groupBy("s").agg(F.min(F.struct("key", "n")).alias("hub"), F.count("*").alias("c")).where("c > 1"))
+    each = keys.select("key", "n", F.posexplode("head").alias("i", "s"))
+    hubs = cut(each.groupBy("s").agg(F.min(F.struct("i", "key", "n")).alias("hub"), F.count("*").alias("c")).where("c > 1"))
     total = hubs.agg(F.sum("c")).first()[0] or 0
-    met = cut(join_spread(each, hubs, "s", "c", total).select("s", "key", "n", F.col("hub.key").alias("hub"), F.col("hub.n").alias("m")))
+    met = cut(join_spread(each, hubs, "s", "c", total).select("s", "key", "n", "i", "hub"))
 
-    first = met.where((F.col("key") != F.col("hub")) & _fits("n", "m")).select(F.col("hub").alias("u"), F.col("key").alias("v"))
+    first = met.where((F.col("key") != F.col("hub.key")) & _reach(F.col("n"), F.col("i"), F.col("hub.n"), F.col("hub.i")))
+    first = first.select(F.least("key", "hub.key").alias("u"), F.greatest("key", "hub.key").alias("v"))
     near = _simhash_pairs(keys).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     tried = cut(first.unionByName(near).distinct())
     found = cut(_confirmed(tried, keys, docs))
 
     part = connected_components(found).withColumnRenamed("node", "key")
-    left = cut(met.select("s", "key", "n").join(part, "key", "left").select("s", "key", "n", F.coalesce("component", "key").alias("c")))
+    left = cut(met.drop("hub").join(part, "key", "left").select("s", "key", "n", "i", F.coalesce("component", "key").alias("c")))
     parts = left.groupBy("s", "c").agg(F.count("*").alias("k")).groupBy("s").agg(F.count("*").alias("cs"), F.sum("k").alias("k"), F.max_by("c", F.struct("k", "c")).alias("most"))
     open_ = cut(parts.where("cs > 1"))
     x = cut(join_spread(left, open_.drop("cs"), "s", "k", open_.agg(F.sum("k")).first()[0] or 0))
-    few = x.where("c <> most").select("s", F.col("key").alias("a"), F.col("n").alias("an"), F.col("c").alias("ac"))
-    more = x.join(few, "s").where((F.col("c") != F.col("ac")) & ((F.col("c") == F.col("most")) | (F.col("key") < F.col("a"))) & _fits("n", "an"))
+    few = x.where("c <> most").select("s", F.col("key").alias("a"), F.col("n").alias("an"), F.col("i").alias("ai"), F.col("c").alias("ac"))
+    more = x.join(few, "s").where((F.col("c") != F.col("ac")) & ((F.col("c") == F.col("most")) | (F.col("key") < F.col("a"))) & _reach(F.col("n"), F.col("i"), F.col("an"), F.col("ai")))
     more = more.select(F.least("key", "a").alias("u"), F.greatest("key", "a").alias("v")).distinct().join(tried, ["u", "v"], "left_anti")
     return found.unionByName(_confirmed(more, keys, docs))
 
