@@ -1,155 +1,202 @@
-"""Paged JSON services as a Spark data source, with an offline transport that reads saved pages.
+"""Paged JSON services as a Spark data source.
 
-``format("paged_json")`` plans one input partition for each page range (offset or page-number paging) or one for a service that can only be
-followed by a continuation token. Transport policy (rate limit, retries, Retry-After) sits here; network access is injected by ``transport``."""
+``scan_service`` reads a service of SERVICES through an injected transport, a function (or its name, ``module:name``) that
+takes (url, params) and returns (status, headers, body), so that no network library is assumed. Services with numbered pages or offsets are
+read by one task for each range of places; those that hand out a token, or are followed by the last id, by one task. Every row carries the
+cursor from which a later scan goes on. Pages saved earlier are read by ``scan_pages``, as any file that Spark reads.
+"""
 
 from __future__ import annotations
 
+import importlib
 import json
 import time
 from collections.abc import Callable, Iterator
-from dataclasses import asdict, dataclass, field
-from pathlib import Path
+from dataclasses import dataclass
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-MAX_BACKOFF = 60.0
+Get = Callable[[str, dict], tuple[int, dict, str]]
 
 
-@dataclass
-class Cursor:
-    """Where a scan stands; the same shape for every service."""
+@dataclass(frozen=True)
+class Service:
+    """``ask``: option -> (parameter, least, most), numbers being held within the bounds. ``size`` and ``place`` are the parameters of a page's length
+    and of where it starts; ``first`` and ``step`` say how places run on, a step of None by token. ``found`` is the way to a page's records."""
 
-    page: int = 1
-    last_id: int | None = None
-    extra: dict = field(default_factory=dict)
-
-    def to_dict(self) -> dict:
-        return asdict(self)
-
-    @classmethod
-    def from_dict(cls, d: dict | None) -> Cursor:
-        return cls(**{k: v for k, v in (d or {}).items() if k in ("page", "last_id", "extra")})
-
-
-class RateLimiter:
-    """At most ``per_second`` calls, by a least interval between them."""
-
-    def __init__(self, per_second: float, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
-        self.gap, self.clock, self.sleep, self.next = 1.0 / max(per_second, 1e-9), clock, sleep, 0.0
-
-    def acquire(self) -> None:
-        now = self.clock()
-        if now < self.next:
-            self.sleep(self.next - now)
-        self.next = max(now, self.next) + self.gap
-
-
-def backoff(attempt: int, base: float = 1.0) -> float:
-    return min(MAX_BACKOFF, base * 2**attempt)
-
-
-def retryable(status: int) -> bool:
-    return status == 429 or 500 <= status < 600
-
-
-def fetch(get: Callable[[str, dict], tuple[int, dict, str]], url: str, params: dict, limiter: RateLimiter | None = None, retries: int = 3, sleep: Callable[[float], None] = time.sleep) -> dict:
-    """JSON of one call; ``get`` returns (status, headers, body). Retries on 429, 5xx and transport errors; a Retry-After header sets the wait."""
-    for attempt in range(retries + 1):
-        if limiter:
-            limiter.acquire()
-        try:
-            status, headers, body = get(url, params)
-        except (TimeoutError, ConnectionError):
-            if attempt == retries:
-                raise
-            sleep(backoff(attempt))
-            continue
-        if status < 400:
-            return json.loads(body)
-        if not retryable(status) or attempt == retries:
-            raise RuntimeError(f"{url}: HTTP {status}")
-        after = str(headers.get("Retry-After", ""))
-        sleep(min(MAX_BACKOFF, float(after)) if after.replace(".", "", 1).isdigit() else backoff(attempt))
-    raise AssertionError
-
-
-def observation_params(taxon: int, place: int, licenses: list[str] | None = None, research: bool = False, per_page: int = 200, page: int = 1, id_above: int | None = None) -> dict:
-    """Query of the observation service: pages of 1 to 200 by id, license codes in their upper-case form."""
-    from gleanery.functions.licenses import CODES
-
-    upper = {v: k for k, v in CODES.items()}
-    out = {"taxon_id": taxon, "place_id": place, "per_page": max(1, min(200, per_page)), "page": max(1, page), "order_by": "id", "order": "asc", "photos": "true"}
-    if research:
-        out["quality_grade"] = "research"
-    if id_above is not None:
-        out["id_above"] = id_above
-    if licenses:
-        out["photo_license"] = ",".join(sorted(upper.get(a, a) for a in licenses))
-    return out
-
-
-def occurrence_params(taxon: int, country: str, limit: int = 300, offset: int = 0) -> dict:
-    return {"taxon_key": taxon, "country": country, "media_type": "StillImage", "limit": max(1, min(1000, limit)), "offset": max(0, offset)}
-
-
-def file_params(search: str, limit: int = 50, offset: int | None = None) -> dict:
-    out = {"action": "query", "generator": "search", "gsrsearch": search, "gsrnamespace": 6, "gsrlimit": max(1, min(50, limit)), "prop": "imageinfo|categories|templates", "format": "json"}
-    return out if offset is None else out | {"gsroffset": offset}
-
-
-@dataclass
-class PageRange(InputPartition):
+    url: str
+    fixed: dict[str, object]
+    ask: dict[str, tuple[str, int | None, int | None]]
+    size: str
+    place: str
     first: int
-    last: int
-
-    def __init__(self, first: int, last: int):
-        self.first, self.last = first, last
-        super().__init__((first, last))
+    step: int | str | None
+    found: tuple[str, ...]
+    after: str | None = None
+
+
+# Addresses, parameter names, bounds and answers' shapes of the three services.
+SERVICES = {
+    "observations": Service(
+        "https://api.inaturalist.org/v1/observations", {"order_by": "id", "order": "asc", "photos": "true"},
+        {"taxon": ("taxon_id", None, None), "place": ("place_id", None, None), "grade": ("quality_grade", None, None), "licenses": ("photo_license", None, None), "pageSize": ("per_page", 1, 200)},
+        "per_page", "page", 1, 1, ("results",), "id_above",
+    ),
+    "occurrences": Service(
+        "https://api.gbif.org/v1/occurrence/search", {"media_type": "StillImage"},
+        {"taxon": ("taxon_key", None, None), "country": ("country", None, None), "pageSize": ("limit", 1, 1000)}, "limit", "offset", 0, "size", ("results",),
+    ),
+    "files": Service(
+        "https://commons.wikimedia.org/w/api.php",
+        {"action": "query", "format": "json", "formatversion": "2", "generator": "search", "gsrnamespace": 6, "prop": "imageinfo|categories|templates", "iiprop": "timestamp|user|url|size|sha1|mime|extmetadata", "cllimit": "50", "tllimit": "50"},
+        {"search": ("gsrsearch", None, None), "pageSize": ("gsrlimit", 1, 50)}, "gsrlimit", "gsroffset", 0, None, ("query", "pages"),
+    ),
+}
+LONGEST_WAIT = 60.0
+
+
+def question(service: Service, options: dict, place: object = None, after: object = None) -> dict:
+    """The parameters of one call."""
+    out = dict(service.fixed)
+    for option, (name, least, most) in service.ask.items():
+        if (value := options.get(option.lower(), options.get(option))) is not None:
+            out[name] = value if least is None else sorted((least, int(value), most))[1]
+    out.setdefault(service.size, next(most for name, _, most in service.ask.values() if name == service.size))
+    if place is not None:
+        out[service.place] = max(service.first, place) if isinstance(place, int) else place
+    return out if after is None else out | {service.after: after}
+
+
+class Caller:
+    """Calls with a least interval between them; 429, server errors and broken connections are tried again, after the wait that the answer asks for or one that
+    doubles."""
+
+    def __init__(self, get: Get, per_second: float = 1.0, retries: int = 4, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
+        self.get, self.gap, self.retries, self.clock, self.sleep = get, 1 / per_second, retries, clock, sleep
+        self.free = float("-inf")
+
+    def __call__(self, url: str, params: dict) -> dict:
+        wait = 1.0
+        for left in range(self.retries, -1, -1):
+            if (early := self.free - self.clock()) > 0:
+                self.sleep(early)
+            self.free = self.clock() + self.gap
+            asked = ""
+            try:
+                status, headers, body = self.get(url, params)
+                if status < 300:
+                    return json.loads(body)
+                problem: Exception = RuntimeError(f"{url}: HTTP {status}")
+                asked = str({k.lower(): v for k, v in headers.items()}.get("retry-after", ""))
+                again = status == 429 or status // 100 == 5
+            except (TimeoutError, ConnectionError) as e:
+                problem, again = e, True
+            if not again or not left:
+                raise problem
+            self.sleep(min(LONGEST_WAIT, float(asked) if asked.isdigit() else wait))
+            wait = min(LONGEST_WAIT, 2 * wait)
+        raise AssertionError
+
+
+def follow(service: Service, call: Caller, options: dict, cursor: dict, most_pages: int | None = None) -> Iterator[tuple[dict, dict]]:
+    """(record, cursor after its page) from a cursor on: {"place": where the next page starts} or {"after": the last id seen}. A page without records ends the
+    scan, so does a service's own end mark, a missing token or a page that isn't full."""
+    place, after, pages = cursor.get("place", service.first if service.step else None), cursor.get("after"), 0
+    while most_pages is None or pages < most_pages:
+        params = question(service, options, service.first if after is not None else place, after)
+        page = call(service.url, params)
+        records: object = page
+        for key in service.found:
+            records = records.get(key) if isinstance(records, dict) else None
+        records = list(records.values()) if isinstance(records, dict) else records or []
+        size, pages = params[service.size], pages + 1
+        if not records:
+            return
+        if after is not None:
+            after = records[-1]["id"]
+        elif service.step is None:
+            place = (page.get("continue") or {}).get(service.place)
+        else:
+            place += size if service.step == "size" else service.step
+        nxt = {"after": after} if after is not None else {"place": place}
+        yield from ((r, nxt) for r in records)
+        if service.step is None and after is None and place is None or page.get("endOfRecords") or service.step is not None and len(records) < size:
+            return
+
+
+class Places(InputPartition):
+    def __init__(self, cursor: dict, pages: int | None):
+        super().__init__(json.dumps([cursor, pages]))
 
 
 class PagedReader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.path, self.key = options["path"], options.get("key", "results")
-        self.pages_per_task, self.cap = int(options.get("pagesPerTask", 10)), int(options.get("maxRecords", -1))
-        self.files = sorted(str(p) for p in Path(self.path).glob("*.json")) if Path(self.path).is_dir() else [self.path]
-
-    def partitions(self) -> list[PageRange]:
-        n, k = len(self.files), self.pages_per_task
-        return [PageRange(i, min(n, i + k)) for i in range(0, n, k)] or [PageRange(0, 0)]
-
-    def read(self, partition: PageRange) -> Iterator[tuple[int, str]]:
-        """(page, record as JSON); a page without records ends the scan, as a service's end mark does."""
-        for number in range(partition.first, partition.last):
-            page = json.loads(Path(self.files[number]).read_text(encoding="utf-8"))
-            records = page.get(self.key) if isinstance(page, dict) else page
-            if isinstance(records, dict):
-                records = list(records.values())
-            if not records or (isinstance(page, dict) and page.get("endOfRecords") and not records):
-                return
-            for r in records:
-                yield number, json.dumps(r, ensure_ascii=False)
-
-
-class PagedJson(DataSource):
-    """Saved pages of a service: options path, key (of a page's records), pagesPerTask."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "paged_json"
-
-    def schema(self) -> str:
-        return "page int, record string"
-
-    def reader(self, schema) -> PagedReader:
-        return PagedReader(self.options)
-
-
-def scan_pages(spark, path: str, ddl: str, key: str = "results", pages_per_task: int = 10, max_records: int | None = None):
-    """Records of saved pages under a declared schema."""
-    from pyspark.sql import functions as F
-
-    spark.dataSource.register(PagedJson)
-    raw = spark.read.format("paged_json").options(path=path, key=key, pagesPerTask=pages_per_task).load()
-    out = raw.select(F.from_json("record", ddl, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+    def __init__(self, options: dict, get: Get):
+        self.options, self.get, self.service = options, get, SERVICES[options["service"]]
+        self.cursor = json.loads(options.get("cursor", "{}"))
+        self.most = int(options["maxRecords"]) if "maxRecords" in options else None
+        self.each = int(options.get("pagesPerTask", 10))
+
+    def partitions(self) -> list[Places]:
+        """Ranges of places up to maxRecords where places can be counted, else one partition for all."""
+        s = self.service
+        if s.step is None or "after" in self.cursor or self.most is None:
+            return [Places(self.cursor, None)]
+        size = question(s, self.options)[s.size]
+        pages, step = -(-self.most // size), size if s.step == "size" else s.step
+        start = self.cursor.get("place", s.first)
+        return [Places({"place": start + k * step}, min(self.each, pages - k)) for k in range(0, pages, self.each)] or [Places({"place": start}, 0)]
+
+    def read(self, partition: Places) -> Iterator[tuple[str, str]]:
+        call = Caller(self.get, float(self.options.get("perSecond", 1)), int(self.options.get("retries", 4)))
+        cursor, pages = json.loads(partition.value)
+        for record, after in follow(self.service, call, self.options, cursor, pages):
+            yield json.dumps(record, ensure_ascii=False), json.dumps(after)
+
+
+def paged_json(transport: str | Get) -> type[DataSource]:
+    """The data source over a transport."""
+
+    def get(url: str, params: dict) -> tuple[int, dict, str]:
+        if callable(transport):
+            return transport(url, params)
+        module, _, name = transport.partition(":")
+        return getattr(importlib.import_module(module), name)(url, params)
+
+    class PagedJson(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return "paged_json"
+
+        def schema(self) -> str:
+            return "record string, cursor string"
+
+        def reader(self, schema) -> PagedReader:
+            return PagedReader(self.options, get)
+
+    return PagedJson
+
+
+def parsed(raw: DataFrame, ddl: str) -> DataFrame:
+    """Records (column ``record``) under a declared schema; a record that doesn't fit is an error."""
+    return raw.select(F.from_json("record", ddl, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+
+
+def scan_service(spark: SparkSession, service: str, transport: str | Get, max_records: int | None = None, cursor: dict | None = None, **options) -> DataFrame:
+    """(record, cursor) of a live service."""
+    spark.dataSource.register(paged_json(transport))
+    given = {"service": service, "cursor": json.dumps(cursor or {})} | {k: str(v) for k, v in options.items()}
+    out = spark.read.format("paged_json").options(**given, **({} if max_records is None else {"maxRecords": str(max_records)})).load()
+    return out if max_records is None else out.limit(max_records)
+
+
+def scan_pages(spark: SparkSession, path: str, ddl: str, key: str = "results", max_records: int | None = None) -> DataFrame:
+    """Records of saved pages, one JSON file a page, on any file system that Spark reads: a page is an array, or an object with the records under ``key``, as an
+    array or by name."""
+    text = spark.read.option("wholetext", True).text(path, pathGlobFilter="*.json")
+    under = F.get_json_object("value", f"$.{key}")
+    body = F.when(F.ltrim("value").startswith("["), F.col("value")).otherwise(under)
+    many = F.when(F.ltrim(body).startswith("{"), F.map_values(F.from_json(body, "map<string,string>"))).otherwise(F.from_json(body, "array<string>"))
+    out = parsed(text.select(F.explode(many).alias("record")), ddl)
     return out.limit(max_records) if max_records is not None else out

@@ -36,29 +36,82 @@ def test_transforms(spark):
     assert "latitude" not in transforms.reduced_snapshot(raw(spark, OBS, transforms.OBSERVATION), "now").columns
 
 
-def test_paged_source(spark, tmp_path):
+def test_saved_pages(spark, tmp_path):
     for n, ids in enumerate(([1, 2], [3], [])):
         (tmp_path / f"page{n}.json").write_text(json.dumps({"results": [OBS | {"id": i} for i in ids]}))
-    df = rest.scan_pages(spark, str(tmp_path), transforms.OBSERVATION, pages_per_task=1)
-    assert sorted(r.id for r in df.collect()) == [1, 2, 3] and df.rdd.getNumPartitions() == 3
+    (tmp_path / "bare.json").write_text(json.dumps([OBS | {"id": 4}]))
+    (tmp_path / "named.json").write_text(json.dumps({"results": {"5": OBS | {"id": 5}}}))
+    df = rest.scan_pages(spark, str(tmp_path), transforms.OBSERVATION)
+    assert sorted(r.id for r in df.collect()) == [1, 2, 3, 4, 5]
     assert rest.scan_pages(spark, str(tmp_path), transforms.OBSERVATION, max_records=2).count() == 2
 
 
-def test_transport_policy():
-    waits, answers = [], [(429, {"Retry-After": "7"}, ""), (503, {}, ""), (200, {}, '{"a": 1}')]
-    assert rest.fetch(lambda u, p: answers.pop(0), "u", {}, sleep=waits.append) == {"a": 1} and waits == [7.0, 2.0]
-    with pytest.raises(RuntimeError):
-        rest.fetch(lambda u, p: (404, {}, ""), "u", {}, sleep=waits.append)
-    now = [0.0]
-    slept = []
-    limiter = rest.RateLimiter(2.0, clock=lambda: now[0], sleep=slept.append)
-    limiter.acquire()
-    limiter.acquire()
-    assert slept == [0.5] and rest.backoff(10) == 60.0
-    assert rest.observation_params(1, 2, ["cc0", "cc-by"], per_page=999)["photo_license"] == "CC-BY,CC0" and rest.observation_params(1, 2, per_page=999)["per_page"] == 200
-    assert rest.occurrence_params(1, "PL", 0, -5)["offset"] == 0 and rest.file_params("x", 99)["gsrlimit"] == 50
-    c = rest.Cursor(3, 9, {"offset": 5})
-    assert rest.Cursor.from_dict(c.to_dict()) == c
+def test_calls_are_paced_and_tried_again():
+    now, slept = [0.0], []
+
+    def sleep(s):
+        slept.append(s)
+        now[0] += s
+
+    answers = [(429, {"Retry-After": "7"}, ""), (503, {}, ""), TimeoutError(), (200, {}, '{"a": 1}')]
+
+    def get(url, params):
+        a = answers.pop(0)
+        if isinstance(a, Exception):
+            raise a
+        return a
+
+    call = rest.Caller(get, per_second=2.0, clock=lambda: now[0], sleep=sleep)
+    assert call("u", {}) == {"a": 1} and slept == [7.0, 2.0, 4.0]
+    for wrong, tries in (((404, {}, ""), 1), ((500, {}, ""), 5)):
+        answers[:] = [wrong] * 5
+        with pytest.raises(RuntimeError):
+            call("u", {})
+        assert len(answers) == 5 - tries
+    answers[:], slept[:] = [(200, {}, "{}")] * 2, []
+    call("u", {})
+    call("u", {})
+    assert slept[-1] == 0.5
+
+
+def test_questions_of_the_services():
+    s = rest.SERVICES
+    q = rest.question(s["observations"], {"taxon": 1, "place": 2, "pageSize": 999, "licenses": "CC-BY,CC0"}, -3)
+    assert (q["per_page"], q["page"], q["photo_license"], q["taxon_id"], q["order_by"]) == (200, 1, "CC-BY,CC0", 1, "id") and "id_above" not in q
+    assert rest.question(s["observations"], {}, 1, 55)["id_above"] == 55
+    assert rest.question(s["occurrences"], {"country": "PL", "pagesize": 0}, -5) | {"limit": 1, "offset": 0} == rest.question(s["occurrences"], {"country": "PL", "pagesize": 0}, -5)
+    assert rest.question(s["files"], {"search": "x", "pageSize": 99})["gsrlimit"] == 50
+
+
+TOTAL = 23
+
+
+def test_live_scans_page_and_go_on(spark):
+    total = TOTAL
+
+    def fake_service(url, params):
+        """Offline: total records by id, in the paging of each service."""
+        ids = list(range(1, total + 1))
+        if "inaturalist" in url:
+            low = [i for i in ids if i > int(params.get("id_above", 0))]
+            n, page = int(params["per_page"]), int(params["page"])
+            return 200, {}, json.dumps({"results": [{"id": i} for i in low[(page - 1) * n : page * n]]})
+        if "gbif" in url:
+            n, at = int(params["limit"]), int(params["offset"])
+            return 200, {}, json.dumps({"results": [{"id": i} for i in ids[at : at + n]], "endOfRecords": at + n >= total})
+        n, at = int(params["gsrlimit"]), int(params.get("gsroffset", 0))
+        more = {"continue": {"gsroffset": at + n}} if at + n < total else {}
+        return 200, {}, json.dumps({"query": {"pages": [{"id": i} for i in ids[at : at + n]]}} | more)
+
+    ids = lambda df: sorted(json.loads(r.record)["id"] for r in df.collect())
+    for service in rest.SERVICES:
+        rows = rest.scan_service(spark, service, fake_service, pageSize=5, perSecond=10_000).collect()
+        assert sorted(json.loads(r.record)["id"] for r in rows) == list(range(1, TOTAL + 1))
+        middle = json.loads(next(r.cursor for r in rows if json.loads(r.record)["id"] == 10))
+        assert ids(rest.scan_service(spark, service, fake_service, cursor=middle, pageSize=5, perSecond=10_000)) == list(range(11, TOTAL + 1))
+    paged = rest.scan_service(spark, "occurrences", fake_service, max_records=20, pageSize=5, pagesPerTask=2, perSecond=10_000)
+    assert ids(paged) == list(range(1, 21)) and len(rest.PagedReader({"service": "occurrences", "maxRecords": "20", "pageSize": "5", "pagesPerTask": "2"}, fake_service).partitions()) == 2
+    assert ids(rest.scan_service(spark, "observations", fake_service, cursor={"after": 17}, pageSize=5, perSecond=10_000)) == list(range(18, TOTAL + 1))
 
 
 def test_release_round_trip(spark, tmp_path):
