@@ -102,6 +102,31 @@ def suite(tasks: DataFrame, n_shortlist: int = 20) -> DataFrame:
     return union(parts)
 
 
+def suite_manifest(tasks: DataFrame, manifest: dict, digest: str, protocol: int = 5) -> DataFrame:
+    """Violations of a suite's manifest (protocol_version, tasks_hash, tasks) by its tasks; ``digest`` is that of their canonical rows (``score.rows_hash``)."""
+    n = tasks.agg(F.count("*").alias("n"))
+    rules = F.array(
+        F.when(F.lit(manifest.get("protocol_version") != protocol), "other protocol"), F.when(F.lit(manifest.get("tasks_hash") != digest), "other tasks_hash"),
+        F.when((F.col("n") == 0) | (F.col("n") != F.lit(manifest.get("tasks") or 0)), "other number of tasks"),
+    )
+    return found(n.select(F.explode(F.filter(rules, lambda r: r.isNotNull())).alias("m")), "manifest", F.lit(""), F.col("m"))
+
+
+def suite_rows(tasks: DataFrame, expected: DataFrame, prompt: Column, max_bytes: int = 3_000_000) -> DataFrame:
+    """Violations of tasks (task_id, candidates, user_prompt, image_sha256, source_snapshot_sha256, reason) by what they must be: ``expected`` (task_id,
+    candidates, image_digest, image_bytes, snapshot_digest) has the shortlist computed anew and the stored objects' digests, ``prompt`` is the prompt that the
+    task's columns give, ``reason`` the first rule of eligibility that its source breaks."""
+    want = expected.select("task_id", F.col("candidates").alias("_c"), F.col("image_digest").alias("_i"), F.col("image_bytes").alias("_b"), F.col("snapshot_digest").alias("_s"))
+    j = tasks.withColumn("_prompt", prompt).join(want, "task_id", "left")
+    differs = lambda a, b: ~F.col(a).eqNullSafe(F.col(b))
+    rules = F.array(
+        F.when(differs("candidates", "_c"), "other shortlist"), F.when(differs("user_prompt", "_prompt"), "other prompt"),
+        F.when(differs("image_sha256", "_i") | (F.coalesce("_b", F.lit(0)) > max_bytes), "other image"), F.when(differs("source_snapshot_sha256", "_s"), "other source snapshot"),
+        F.when(F.col("reason").isNotNull(), F.concat(F.lit("source: "), F.col("reason"))),
+    )
+    return found(j.select("task_id", F.explode(F.filter(rules, lambda r: r.isNotNull())).alias("m")), "suite_row", F.col("task_id"), F.col("m"))
+
+
 def normalize_doi(raw: Column) -> Column:
     return F.nullif(F.regexp_replace(F.trim(raw), r"(?i)^(?:https?://doi\.org/|doi:)", ""), F.lit(""))
 

@@ -302,3 +302,25 @@ def canonical_json(spark, d):
 def suite_hash(spark, d):
     """The digest of a suite's tasks: sha256 over their canonical rows in order of id."""
     return score.rows_hash(table(spark, d, "benchmark"), "item_id", canonical_rows(None, "item_id"))
+
+
+@register(
+    "gate_suite_rows",
+    """WITH t AS (SELECT o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS entity FROM orders)
+SELECT 'suite_row' AS gate, entity, 'other shortlist' AS message FROM t WHERE k % 10 IN (1, 9) UNION ALL SELECT 'suite_row', entity, 'other prompt' FROM t WHERE k % 10 = 2 UNION ALL SELECT 'suite_row', entity, 'other image' FROM t WHERE k % 10 IN (3, 4, 9)
+UNION ALL SELECT 'suite_row', entity, 'other source snapshot' FROM t WHERE k % 10 IN (5, 9) UNION ALL SELECT 'suite_row', entity, 'source: captive_observation' FROM t WHERE k % 10 = 6
+UNION ALL SELECT 'manifest', '', 'other tasks_hash'""",
+)
+def gate_suite_rows(spark, d):
+    """Orders as tasks against shortlists, prompts, images and snapshots computed anew, and against a manifest of another digest."""
+    k = F.col("o_orderkey") % 10
+    names = F.array(F.col("o_orderpriority"), F.lit("b"), F.lit("a"))
+    digest = F.sha2(F.col("o_orderkey").cast("string"), 256)
+    orders = table(spark, d, "orders")
+    tasks = orders.select(
+        F.col("o_orderkey").alias("task_id"), F.when(k == 1, F.reverse(names)).otherwise(names).alias("candidates"), F.when(k == 1, answers.user_prompt(F.reverse(names))).when(k == 2, "who?").otherwise(answers.user_prompt(names)).alias("user_prompt"),
+        F.when(k == 3, "x").otherwise(digest).alias("image_sha256"), F.when(k == 5, "x").otherwise(digest).alias("source_snapshot_sha256"), F.when(k == 6, "captive_observation").alias("reason"),
+    )
+    expected = orders.where(k != 9).select(F.col("o_orderkey").alias("task_id"), names.alias("candidates"), digest.alias("image_digest"), F.when(k == 4, 3_000_001).otherwise(99).alias("image_bytes"), digest.alias("snapshot_digest"))
+    n = orders.count()
+    return gates.suite_rows(tasks, expected, answers.user_prompt(F.col("candidates"))).unionByName(gates.suite_manifest(tasks, {"protocol_version": 5, "tasks_hash": "a", "tasks": n}, "b"))

@@ -162,6 +162,36 @@ def verified_objects(files: DataFrame, expected: DataFrame) -> tuple[DataFrame,
     return good, expected.join(files, ["name", "sha256", "bytes"], "left_anti")
 
 
+def run_hash(tasks_hash: str, adapter: dict, params: dict, code_hash: str) -> str:
+    """The fingerprint of a run: what must be the same for it to be gone on with."""
+    from gleanery.sources.config import canonical_json
+
+    return hashlib.sha256(canonical_json({"tasks_hash": tasks_hash, "adapter": adapter, "params": params, "code_hash": code_hash}).encode()).hexdigest()
+
+
+def may_go_on(previous: dict | None, fingerprint: str, resume: bool, has_predictions: bool) -> None:
+    """Raise unless a run may start (nothing there) or go on: the same fingerprint, asked for, and not complete."""
+    if previous is None:
+        if has_predictions:
+            raise ValueError("there are predictions without a manifest")
+    elif not resume or previous.get("run_hash") != fingerprint:
+        raise ValueError("the run exists with another configuration")
+    elif previous.get("status") == "complete":
+        raise ValueError("the run is complete")
+
+
+def checked_object(cached: bytes | None, digest: str, fetch) -> tuple[bytes, bool]:
+    """(content, repaired) of an object by its digest: the cached copy if it is that, else what ``fetch`` gives, which must be."""
+    if not (len(digest) == 64 and set(digest) <= set("0123456789abcdef")):
+        raise ValueError(f"no digest: {digest!r}")
+    if cached is not None and hashlib.sha256(cached).hexdigest() == digest:
+        return cached, False
+    content = fetch(digest)
+    if hashlib.sha256(content).hexdigest() != digest:
+        raise ValueError(f"stored object differs from its digest {digest}")
+    return content, True
+
+
 def append_ledger(rows: DataFrame, path: str) -> None:
     """Append predictions to a run's ledger."""
     rows.write.mode("append").json(path)

@@ -190,3 +190,24 @@ def test_names_and_labels(spark):
 
     got = tasks.python_order(rows, 42, "task_id", "candidates", 2).first().picked
     assert got == random.Random("42:t").sample(["A b", "C d"], 2)
+
+
+def test_runs_go_on_only_as_they_were():
+    h = files.run_hash("t", {"model": "m"}, {"seed": 1}, "c")
+    assert h == files.run_hash("t", {"model": "m"}, {"seed": 1}, "c") != files.run_hash("t", {"model": "n"}, {"seed": 1}, "c")
+    files.may_go_on(None, h, False, False)
+    files.may_go_on({"run_hash": h, "status": "running"}, h, True, True)
+    for previous, resume, there in ((None, True, True), ({"run_hash": h}, False, True), ({"run_hash": "x"}, True, True), ({"run_hash": h, "status": "complete"}, True, True)):
+        with pytest.raises(ValueError):
+            files.may_go_on(previous, h, resume, there)
+
+
+def test_objects_are_checked_and_repaired():
+    import hashlib
+
+    good = hashlib.sha256(b"x").hexdigest()
+    assert files.checked_object(b"x", good, None) == (b"x", False)
+    assert files.checked_object(b"broken", good, lambda d: b"x") == (b"x", True) == files.checked_object(None, good, lambda d: b"x")
+    for digest, stored in ((good, b"y"), (good.upper(), b"x"), ("../up", b"x")):
+        with pytest.raises(ValueError):
+            files.checked_object(None, digest, lambda d, s=stored: s)
