@@ -7,14 +7,16 @@ Seeds miss nothing. Of an alignment's matched words, two that follow each other
 most 2 apart in item and document: such a pair is a seed. If s of the k - 1 steps between k matches are seeds, the others cost 2 or
 more, so the score is at most 2k - 2(k - 1 - s) = 2 + 2s. From THRESHOLD x 2n on (n words in the item), s is THRESHOLD x n - 1 at
 least: an item is aligned only where so many seeds lie within the longest alignment's reach. No seed and no candidate is
-capped. Documents meet items map-side: the seed table is that of a block of at most BLOCK_ITEMS items, so its size is bounded
-whatever the benchmark's; larger benchmarks take a pass for each block.
+capped. Documents meet items map-side: the seed table is that of a block of about BLOCK_ITEMS items and BLOCK_WORDS words, so its size is bounded
+whatever the benchmark's; a larger benchmark has several blocks, and each document is held against all of them.
+
+Null and empty texts hold nothing, nor does anything where either table is empty; long texts are searched whole, windows of an alignment's reach at a time;
+repeated rows and items are each reported; equal scores go to the first place in the text. The result is a column, so no name can clash.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -27,11 +29,10 @@ from pyspark.sql import functions as F
 
 from gleanery.llm.common import small_batches, table
 
-SEED, WINDOW = 3, 2
 THRESHOLD = 0.4
 MATCH, OTHER, GAP = 2, -1, -1
-#: Items whose words and seeds are held at once.
-BLOCK_ITEMS = 20_000
+#: Items, and words of items, that are held at once (about: a block has at least one item).
+BLOCK_ITEMS, BLOCK_WORDS = 20_000, 2_000_000
 _WORDS = re.compile(r"\w+").findall
 
 
@@ -41,14 +42,12 @@ def words_of(text: str | None) -> list[str]:
 
 @dataclass
 class Block:
-    """Some test items: their ids, words as numbers (from 1), the vocabulary, the sorted codes of their seeds and where
-    each seed stands: (item, position)."""
+    """Some test items: their ids, words as numbers (from 1) and the vocabulary. A pair of words has the code a * base + b, far below 2^63 for the
+    words of a block."""
 
     ids: list[int | None]
     items: list[np.ndarray]
     vocab: dict[str, int]
-    codes: np.ndarray
-    places: list[list[tuple[int, int]]]
     _least: dict[float, np.ndarray] = field(default_factory=dict)
 
     @cached_property
@@ -70,53 +69,19 @@ class Block:
     def numbers(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.vocab.get, words, repeat(0)), np.int64, len(words))
 
-    def grams(self, numbers: np.ndarray) -> np.ndarray:
-        """The code of the 3-gram at each position, -1 where it has a word that no item has."""
-        if len(numbers) < SEED:
-            return np.zeros(0, np.int64)
-        base = len(self.vocab) + 1
-        a, b, c = numbers[:-2], numbers[1:-1], numbers[2:]
-        return np.where((a > 0) & (b > 0) & (c > 0), (a * base + b) * base + c, -1)
-
-    def lookup(self, codes: np.ndarray) -> np.ndarray:
-        """Each code's index among the block's, -1 for others."""
-        if not len(self.codes):
-            return np.full(len(codes), -1)
-        k = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-        return np.where(self.codes[k] == codes, k, -1)
-
 
 def block_of(items: list[tuple[int | None, str | None]]) -> Block:
-    """Items as numbers, and all their 3-grams (``choose`` leaves the rare ones)."""
+    """Items as numbers."""
     vocab: dict[str, int] = {}
     split = [(i, words_of(t)) for i, t in items]
     for _, words in split:
         for w in words:
             vocab.setdefault(w, len(vocab) + 1)
-    block = Block([i for i, _ in split], [], vocab, np.zeros(0, np.int64), [])
+    block = Block([i for i, _ in split], [], vocab)
     block.items = [block.numbers(w) for _, w in split]
-    found = defaultdict(list)
-    for k, numbers in enumerate(block.items):
-        for p, code in enumerate(block.grams(numbers).tolist()):
-            found[code].append((k, p))
-    block.codes = np.array(sorted(found), np.int64)
-    block.places = [found[c] for c in block.codes.tolist()]
     return block
 
 
-def choose(block: Block, documents_with: np.ndarray, window: int = WINDOW) -> Block:
-    """Keep as seeds the rarest (of equals the first) of every ``window`` neighbouring 3-grams of each item."""
-    keep: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    for k, numbers in enumerate(block.items):
-        at = block.lookup(block.grams(numbers))
-        n = len(at)
-        chosen = {min(range(s, min(n, s + window)), key=lambda p: (documents_with[at[p]], p)) for s in range(max(1, n - window + 1))} if n else ()
-        for p in sorted(chosen):
-            keep[int(at[p])].append((k, p))
-    order = sorted(keep)
-    return Block(block.ids, block.items, block.vocab, block.codes[order], [keep[c] for c in order])
-
-
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     """Smith-Waterman: (best score, position in ``text`` just after its alignment). Number 0 matches nothing."""
     n = len(text)
@@ -215,11 +180,11 @@ def held_items(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     are each reported. No shuffle of documents."""
     small_batches(docs.sparkSession)
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
-    n = rows.count()
-    parts = max(1, -(-n // BLOCK_ITEMS))
+    n, words = rows.agg(F.count("*"), F.coalesce(F.sum(F.size(F.split("text", r"\W+"))), F.lit(0))).first()
+    parts = max(1, -(-n // BLOCK_ITEMS), -(-words // BLOCK_WORDS))
     columns = []
     for part in range(parts):
-        mine = rows.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == part) if parts > 1 else rows
+        mine = rows.where(F.pmod(F.xxhash64("text", "item_id"), F.lit(parts)) == part) if parts > 1 else rows
         block = block_of(sorted((tuple(r) for r in mine.collect()), key=lambda r: (r[0] is None, r)))
         _ = block.pairs  # made once, here
         columns.append(_find(docs, block, threshold))

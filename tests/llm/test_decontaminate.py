@@ -55,11 +55,15 @@ def test_query_matches_brute_force(spark):
     assert df.select(D.F.size(D.held_items(df, bench.limit(0))).alias("n")).where("n > 0").count() == 0
 
 
-def test_seeds_cover_every_run_of_four_words():
-    block = D.block_of([(1, " ".join(f"a{k}" for k in range(30)))])
-    few = D.choose(block, np.arange(len(block.codes)) % 5)
-    places = sorted(p for ps in few.places for _, p in ps)
-    assert all(b - a <= D.WINDOW for a, b in zip(places, places[1:])) and len(places) < 28
+def test_large_benchmarks_go_in_blocks(spark, monkeypatch):
+    rng = random.Random(6)
+    items = [(k, " ".join(f"w{rng.randrange(500)}" for _ in range(30))) for k in range(40)]
+    docs = [(d, "lead words " + items[d % 40][1] + " and the rest") for d in range(60)]
+    bench, df = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string")
+    ids = lambda: {r.doc_id: sorted(h.item_id for h in r.h) for r in df.select("doc_id", D.held_items(df, bench).alias("h")).collect()}
+    whole = ids()
+    monkeypatch.setattr(D, "BLOCK_WORDS", 300)
+    assert ids() == whole and all(d % 40 in whole[d] for d in whole)
 
 
 def test_edited_copies_match_brute_force():
