@@ -6,7 +6,8 @@ the K least of their union; the number of distinct shingles is estimated from th
 from both. Texts with at most K different shingles have exact sketches.
 
 Words are what white space parts (ASCII space and control white space), taken as they are. A text of fewer than five words is one shingle
-of all its words; one without words has an empty sketch.
+of all its words; one without words has an empty sketch. Long texts are read whole; of an equal hash one counts. What ``edited_pairs`` does with nulls, repeated
+ids and empty tables stands there; it reads doc_id and text alone, so no other column's name can clash.
 """
 
 from __future__ import annotations

@@ -8,6 +8,10 @@ numpy stochastic gradient descent on a bounded sample of labelled rows.
 The output layer is linear in the average, so for scoring each bucket needs only its projection on the
 difference of the two output rows: one float per bucket goes to the executors, and a word's whole subword sum
 is computed once and remembered.
+
+Null texts, empty ones and those without words get the probability of no features; without two different labels (an empty table too) every text gets the
+smoothed base rate. Long texts are scored whole. Labelled rows that share an id are drawn once; documents that repeat come out as often as they go in, with
+equal scores. The score is a column, so no name can clash.
 """
 
 from __future__ import annotations

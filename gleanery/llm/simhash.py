@@ -12,7 +12,10 @@ as guests. Trees are fitted on a bounded sample and only route: whatever the sam
 
 A leaf holds the fingerprints of one shard; where the sample's trees leave it large, trees of its own split it on. It searches them by their full distance to a vantage point of its own,
 comparing only those whose distances differ by RADIUS or less, in blocks of bounded memory, and returns a forest
-of links (at most one link per member), never all pairs.
+of links (at most one link per member and part), never all pairs.
+
+Nulls, ids that repeat, empty tables and other columns: see ``near_duplicates``. Long texts are read whole, 65,536 hashes at a time; a bit that is set in exactly half of
+the hashes is 0.
 """
 
 from __future__ import annotations
