@@ -108,7 +108,7 @@ def cohorts(runs: DataFrame) -> DataFrame:
 def usage_cost(ledger: DataFrame, prices: DataFrame) -> DataFrame:
     """(model_id, requests, tokens, cost) of a ledger's rows without error, under (model_id, p_request, p_in, p_cached, p_out)."""
     used = ledger.groupBy("model_id").agg(F.count_if(F.col("error").isNull()).alias("requests"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("input_tokens", "cached_tokens", "output_tokens")])
-    priced = used.join(F.broadcast(prices), "model_id", "left")
+    priced = used.join(prices, "model_id", "left")
     return priced.select("model_id", "requests", "input_tokens", "cached_tokens", "output_tokens", F.round(cost(F.col("requests"), F.col("input_tokens"), F.col("cached_tokens"), F.col("output_tokens"), F.col("p_request"), F.col("p_in"), F.col("p_cached"), F.col("p_out")), 4).alias("cost"))
 
 

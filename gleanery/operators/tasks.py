@@ -94,12 +94,14 @@ def build_tasks(taxa: DataFrame, media: DataFrame, suite: str, imaged_only: bool
 
 def relabel(rows: DataFrame, names: DataFrame) -> DataFrame:
     """Tasks (task_id, correct_taxon, candidates) with every candidate and the answer as ``Common (Latin)`` where a common name is known; ``latin`` keeps the answer's
-    own name. ``names``: (taxon, common_name); its size is the suite's list of taxa, which every task may show whole, so it is broadcast as one map."""
-    pairs = names.where("common_name <> ''").groupBy().agg(F.map_from_entries(F.collect_list(F.struct("taxon", "common_name"))).alias("_m"))
-    known = pairs.first()._m or {}
-    lookup = F.map_from_arrays(F.array(*[F.lit(k) for k in known]), F.array(*[F.lit(v) for v in known.values()])) if known else F.lit(None).cast("map<string,string>")
-    label = lambda c: F.coalesce(F.concat(F.try_element_at(lookup, c), F.lit(" ("), c, F.lit(")")), c)
-    return rows.select(*[c for c in rows.columns if c not in ("correct_taxon", "candidates")], label(F.col("correct_taxon")).alias("correct_taxon"), F.transform("candidates", label).alias("candidates"), F.col("correct_taxon").alias("latin"))
+    own name. ``names``: (taxon, common_name), of repeated taxa the least common name. A join on names of any number: the planner broadcasts them if they are few."""
+    known = names.where("common_name <> ''").groupBy(F.col("taxon").alias("_taxon")).agg(F.min("common_name").alias("_common"))
+    each = rows.select("task_id", F.posexplode(F.concat(F.array("correct_taxon"), "candidates")).alias("_at", "_name"))
+    label = F.coalesce(F.concat("_common", F.lit(" ("), "_name", F.lit(")")), F.col("_name"))
+    told = each.join(known, F.col("_name") == F.col("_taxon"), "left").groupBy("task_id").agg(F.array_sort(F.collect_list(F.struct("_at", label.alias("label")))).alias("_all"))
+    labels = F.transform("_all", lambda x: x["label"])
+    others = [c for c in rows.columns if c not in ("correct_taxon", "candidates")]
+    return rows.join(told, "task_id").select(*others, F.get(labels, F.lit(0)).alias("correct_taxon"), F.slice(labels, F.lit(2), F.size("candidates")).alias("candidates"), F.col("correct_taxon").alias("latin"))
 
 
 def python_order(rows: DataFrame, seed: int, scope: str, items: str, take: int) -> DataFrame:

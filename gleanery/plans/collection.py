@@ -16,7 +16,7 @@ SELECT n_name AS taxon, CASE WHEN e.taxon IS NOT NULL THEN e.c ELSE a.c END AS c
 )
 def common_names(spark, d):
     nation = table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("taxon"))
-    c = table(spark, d, "customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    c = table(spark, d, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     found = c.select("taxon", F.col("c_custkey").alias("place"), F.when(F.col("c_custkey") % 70 == 0, F.lower("taxon")).otherwise(F.col("c_name")).alias("name"), F.nullif("c_mktsegment", F.lit("BUILDING")).alias("common_name"))
     return coverage.common_names(nation.select("taxon"), found)
 

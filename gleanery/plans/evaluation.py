@@ -96,7 +96,7 @@ RUNS = """WITH runs AS (SELECT n_name AS run_id, count(*) AS tasks, count_if(o_o
 
 
 def runs(spark, d):
-    cust = table(spark, d, "customer").select("c_custkey", "c_nationkey").join(F.broadcast(table(spark, d, "nation").select("n_nationkey", "n_name")), F.col("c_nationkey") == F.col("n_nationkey"))
+    cust = table(spark, d, "customer").select("c_custkey", "c_nationkey").join(table(spark, d, "nation").select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"))
     o = table(spark, d, "orders").select("o_custkey", "o_orderstatus").join(cust, F.col("o_custkey") == F.col("c_custkey"))
     return o.groupBy(F.col("n_name").alias("run_id")).agg(F.count("*").alias("tasks"), (F.count_if(F.col("o_orderstatus") == "F") / F.count("*")).alias("top1"))
 
@@ -242,7 +242,7 @@ def random_shortlist(spark, d):
 )
 def build_min_media_tasks(spark, d):
     nation = table(spark, d, "nation")
-    media = table(spark, d, "customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("taxon"), F.sha2("c_name", 256).alias("sha256"))
+    media = table(spark, d, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("taxon"), F.sha2("c_name", 256).alias("sha256"))
     return tasks.build_tasks(nation.select(F.col("n_name").alias("taxon"), F.col("n_regionkey").cast("string").alias("family")), media, "suite")
 
 
