@@ -40,7 +40,7 @@ from gleanery.session import cut
 #: Words in the lexicon at most, and how often a word must occur to be one.
 LEXICON_WORDS, MIN_COUNT = 100_000, 4
 #: Words that a worker remembers, and code points that it takes at once (more only for one run without white space).
-CACHE_WORDS, PIECE = 200_000, 1 << 18
+CACHE_WORDS, PIECE = 400_000, 1 << 18
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -85,54 +85,59 @@ class Rules:
 
 
 class Merger:
-    """Exact merges of one word, the pair of least rank first and the leftmost of equals."""
+    """Exact merges of one word, the pair of least rank first and the leftmost of equals. Pairs are whole numbers made of two ids, and what a pair gives is its rank
+    followed by the id of the two together, so that the least is the next to be merged."""
 
     def __init__(self, rules: Rules):
-        self.rules, self.letters = rules, byte_letters()
-        self.complete = all(x in rules.vocab and x + rules.end in rules.vocab for x in self.letters)
+        vocab, letters = rules.vocab, byte_letters()
+        self.bits = max(vocab.values(), default=1).bit_length()
+        self.first = [vocab.get(x, -1) for x in letters]
+        self.last = [vocab.get(x + rules.end, -1) for x in letters]
+        self.complete = min(self.first + self.last) >= 0
+        self.pairs = {vocab[x] << self.bits | vocab[y]: rank << self.bits | vocab[x + y] for (x, y), rank in rules.ranks.items()}
+        self.none = (len(rules.ranks) + 1) << self.bits
 
     def __call__(self, word: str) -> list[int]:
-        ranks, vocab = self.rules.ranks, self.rules.vocab
-        parts = [self.letters[b] for b in word.encode("utf-8", "surrogatepass")]
-        if not parts:
+        coded = word.encode("utf-8", "surrogatepass")
+        if not coded:
             return []
-        parts[-1] += self.rules.end
+        ids = [self.first[b] for b in coded]
+        ids[-1] = self.last[coded[-1]]
         if not self.complete:
-            parts = [p for p in parts if p in vocab]
-        if len(parts) > 48:
-            parts = self._long(parts)
-        else:
-            get, none = ranks.get, len(ranks)
-            near = [get(p, none) for p in zip(parts, parts[1:], strict=False)]  # the rank of each part with the next
-            while near and (least := min(near)) != none:
-                k = near.index(least)
-                parts[k] += parts.pop(k + 1)
-                del near[k]
-                if k < len(near):
-                    near[k] = get((parts[k], parts[k + 1]), none)
-                if k:
-                    near[k - 1] = get((parts[k - 1], parts[k]), none)
-        return [vocab[p] for p in parts]
-
-    def _long(self, parts: list[str]) -> list[str]:
-        ranks, n = self.rules.ranks, len(parts)
+            ids = [i for i in ids if i >= 0]
+        if len(ids) > 48:
+            return self._long(ids)
+        get, none, bits, mask = self.pairs.get, self.none, self.bits, (1 << self.bits) - 1
+        near = [get(a << bits | b, none) for a, b in zip(ids, ids[1:], strict=False)]  # what each gives with the next
+        while near and (least := min(near)) != none:
+            k = near.index(least)
+            ids[k] = new = least & mask
+            del ids[k + 1], near[k]
+            if k < len(near):
+                near[k] = get(new << bits | ids[k + 1], none)
+            if k:
+                near[k - 1] = get(ids[k - 1] << bits | new, none)
+        return ids
+
+    def _long(self, ids: list[int]) -> list[int]:
+        pairs, bits, mask, n = self.pairs, self.bits, (1 << self.bits) - 1, len(ids)
         nxt, prev, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-        heap = [(ranks[p], k, p) for k, p in enumerate(zip(parts, parts[1:], strict=False)) if p in ranks]
+        heap = [(pairs[p], k, p) for k, p in enumerate(a << bits | b for a, b in zip(ids, ids[1:], strict=False)) if p in pairs]
         heapq.heapify(heap)
         while heap:
-            _, k, pair = heapq.heappop(heap)
+            gives, k, pair = heapq.heappop(heap)
             j = nxt[k] if alive[k] else n
-            if j >= n or (parts[k], parts[j]) != pair:
+            if j >= n or ids[k] << bits | ids[j] != pair:
                 continue
-            parts[k] += parts[j]
+            ids[k] = gives & mask
             alive[j] = False
             nxt[k] = nxt[j]
             if nxt[k] < n:
                 prev[nxt[k]] = k
             for a, b in ((prev[k], k), (k, nxt[k])):
-                if a >= 0 and b < n and (p := (parts[a], parts[b])) in ranks:
-                    heapq.heappush(heap, (ranks[p], a, p))
-        return [p for p, live in zip(parts, alive, strict=True) if live]
+                if a >= 0 and b < n and (p := ids[a] << bits | ids[b]) in pairs:
+                    heapq.heappush(heap, (pairs[p], a, p))
+        return [i for i, live in zip(ids, alive, strict=True) if live]
 
 
 def compile_lexicon(words: dict[bytes, list[int]]) -> bytes:
@@ -246,6 +251,8 @@ class Lexicon:
 
 #: Words of texts without other numerals, odd controls or code points past Latin: what the standard library's tables agree on with the pattern's.
 PLAIN = re.compile(r"[^\x00-\x1b\x20-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u024f]")
+#: Of these code points, those whose small letters are not among them.
+LEAVING = re.compile(f"[{''.join(c for c in map(chr, range(0x250)) if PLAIN.search(c) is None and PLAIN.search(c.lower()))}]")
 PLAIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -302,6 +309,9 @@ class Encoder:
         return out + self._plain(text[at:])
 
     def _plain(self, text: str) -> list[str]:
+        if PLAIN.search(text) is None:  # neither odd, to be composed nor of other classes
+            quick = self.quick is not None and (text.isascii() or LEAVING.search(text) is None)
+            return (self.quick if quick else self.find)(text.lower())
         find = self.find
         if not text.isascii():
             if odd := _ODD.search(text):
