@@ -16,6 +16,8 @@ COLUMNS = {
     "op7_toxicity": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
     "op9_fingerprint": {"doc_id": "bigint", "n_chars": "bigint", "edited_sha256": "string", "fingerprint": "string", "edited_fingerprint": "string", "near_edited": "double", "near_next": "double"},
     "op10_simhash": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
+    "op11_qualityrules": {"doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint", "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean", "votes": "string", "posterior": "double"},
+    "op12_tokenalign": {"doc_id": "bigint", "n_a": "bigint", "n_b": "bigint", "n_groups": "bigint", "n_links": "bigint", "n_best": "bigint", "count_sum": "bigint", "groups_sha256": "string"},
 }
 THRESHOLDS = {"op1_quality": 0.3, "op7_toxicity": 0.7}
 
@@ -42,5 +44,7 @@ def test_query_keeps_its_contract(spark, name):
         assert all(r.n_chars == len(r.text) for r in rows)
     if name == "op9_fingerprint":
         assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in rows)
+    if name == "op11_qualityrules":
+        assert all(r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words) and r.kept == (not r.base_failed and r.posterior >= 0.5) for r in rows)
     if name == "op10_simhash":
         assert all(len(r.fingerprint) == 16 and r.component_id <= r.doc_id for r in rows)
