@@ -188,7 +188,7 @@ def count_segments(docs: DataFrame, text: str, before: str) -> DataFrame:
         split, seen = Splitter(before), Counter()
 
         def out() -> pd.DataFrame:
-            return pd.DataFrame({"segment": list(seen), "n": np.fromiter(seen.values(), np.int64, len(seen))})
+            return pd.DataFrame({"segment": pd.Series(list(seen), dtype=object), "n": np.fromiter(seen.values(), np.int64, len(seen))})
 
         for batch in batches:
             for t in batch["t"]:
@@ -209,7 +209,7 @@ def align_segments(counted: DataFrame, paths: tuple[str, str]) -> DataFrame:
         for batch in batches:
             segments = batch["segment"].tolist()
             got = [(len(a), *aligner.align(s, a, b)) for s, (a, b) in zip(segments, aligner.encode(segments), strict=True)]
-            yield pd.DataFrame({"segment": segments, "n": batch["n"], "n_a": [a for a, _, _ in got], "groups": [g for _, g, _ in got], "links": [k for _, _, k in got]})
+            yield pd.DataFrame({"segment": batch["segment"], "n": batch["n"], "n_a": [a for a, _, _ in got], "groups": pd.Series([g for _, g, _ in got], dtype=object), "links": pd.Series([k for _, _, k in got], dtype=object)})
 
     return counted.mapInPandas(run, "segment string, n long, n_a int, groups string, links array<long>")
 
@@ -326,7 +326,7 @@ def compose(texts: DataFrame, known: DataFrame, before: str, limit: int) -> Data
                     out.append(digest([have.get(s) or own[s] for s in segments]))
                 else:
                     out.append(digest([have[s] for s in segments]))
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in RESULT.split(", ")])
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in RESULT.split(", ")]).astype({"groups_sha256": object})
 
     return texts.join(infos, "h", "left").withColumn("r", run("t", "x")).drop("t", "x")
 

@@ -104,8 +104,9 @@ def test_texts_match_both_libraries(spark, plain, how, monkeypatch):
 
 def test_rows_without_id_and_empty_tables(spark, plain):
     df = spark.createDataFrame([(None, "the end"), (None, None), (1, "the end"), (1, "the end")], "doc_id long, text string")
-    want = plain(["the end"] * 3 + [None])
-    assert found(tokenalign.align_texts(df)) == {None: [want[0], want[3]] if found(tokenalign.align_texts(df))[None][0] == want[0] else [want[3], want[0]], 1: [want[0]] * 2}
+    one, _, _, none = plain(["the end"] * 3 + [None])
+    got = found(tokenalign.align_texts(df))
+    assert sorted(got[None]) == sorted([one, none]) and got[1] == [one] * 2
     assert tokenalign.align_texts(df.where("text is null")).select("n_a", "groups_sha256").first() == (0, "")
     assert tokenalign.align_texts(df.limit(0)).count() == 0
 
