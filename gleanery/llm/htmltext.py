@@ -6,12 +6,15 @@ elements that only some pages have into optional groups, those that some pages r
 wrapper (``expression`` writes it out).
 
 Each task aligns the pages it reads and sends one wrapper for each host; wrappers of a host are aligned in turn, in any order with the same
-result. So a host with a third of all pages costs one small row for each task, no page is shuffled for inference, and a wrapper has
-at most POSITIONS.
+result. So a host with a third of all pages costs one small row for each task, and no page is shuffled for inference. Elements deeper than
+DEEP lie at one position for each name. A wrapper has at most POSITIONS, the least by depth and then by hash: that choice is
+the same in any order, and what holds a position is always kept with it.
 
 The wrapper says where the host keeps its article and which texts there are its own (``reading``). A page is then matched with it: its text is
-what stands in slots at and under the content's positions, and under no menu, header, footer, sidebar, notice, advert, form or comment list.
-Fixed lists of tags and class words name these and seed the choice of the content; where no name helps, slots alone decide.
+what stands at and under the content's positions, and under no menu, header, footer, sidebar, notice, advert, form or comment list.
+Fixed lists of tags and class words name these and seed the choice of the content; where no name helps, slots alone decide. Inside a content that
+was found by its name, a word among others, or one on prose or a table, cuts nothing unless the wrapper agrees: what it names holds links nearly alone or never varies.
+Prose (paragraphs, headings, entries, cells, quotations) never loses a text to the template.
 
 Null and empty pages have an empty text, so have pages of markup alone. Nothing is recursive: nesting and length have no bound.
 """
@@ -33,14 +36,19 @@ from pyspark.sql import functions as F
 
 from gleanery.llm.common import fresh, small_batches, table
 from gleanery.llm.urlfilter import url_parts
+from gleanery.operators.skew import join_spread
 from gleanery.session import cut
 
 #: Wrappers up to this size in all are broadcast; beyond it they are joined by host.
 BROADCAST_BYTES = 32 << 20
+#: Hosts that are broadcast with their rules even then.
+HOT_HOSTS = 100
 #: Different pages that must agree on a text for it to count as the template's.
 CONSTANT_PAGES = 5
-#: Positions of a wrapper at most, and those of all wrappers that a task holds before it sends them.
-POSITIONS, HELD = 20_000, 200_000
+#: Positions of a wrapper at most, those of all wrappers that a task holds before it sends them, and the depth below which positions aren't told apart by their paths.
+POSITIONS, HELD, DEEP = 20_000, 200_000, 256
+#: Different texts of a page at one position, beyond which it counts as a slot.
+TEXTS = 256
 #: Share of the varying text that makes a container the content's, and of link text that makes a repeated group a menu.
 SHARE, LINKED = 0.7, 0.8
 #: Parts in which a host's wrappers are aligned before the last step.
@@ -59,6 +67,10 @@ BLOCK = frozenset(
 )
 #: Elements that hold blocks.
 HOLDERS = frozenset("div section table tbody tr td center ul ol dl body main article".split())
+#: Elements that hold an article's own words.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th caption figcaption blockquote pre".split())
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6".split())
+TABLES = frozenset("table thead tbody tfoot tr".split())
 #: Unclosed elements that end where one of the key's opens.
 CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
 OUT_TAGS = frozenset("nav aside footer form button select menu dialog svg canvas object audio video map head search".split())
@@ -68,6 +80,8 @@ OUT_NAMES = frozenset(
     "sidebar widget widgets menu nav navbar navigation navbox breadcrumb breadcrumbs comment comments reply replies respond disqus footer masthead "
     "login search pagination pager skip toolbar complementary contentinfo noprint".split()
 )
+#: Words beside those that say nothing about what an element is for.
+NEUTRAL = frozenset("area articles block body box button buttons col column container group holder icon icons inner item items link links list outer panel posts row section stories text wrap wrapper".split())
 MAIN_NAMES = frozenset("article content story post entry maintext articlebody".split())
 
 
@@ -128,12 +142,15 @@ def pairs(stream: list[tuple[str, str, str]]) -> dict[int, int]:
 class Frame:
     """An open element: its tag, name, position (a hash of the names on its path) and depth, whether it is closed somewhere, and what holds it."""
 
-    __slots__ = ("above", "at", "closed", "depth", "name", "state", "tag")
+    __slots__ = ("above", "at", "closed", "depth", "floor", "name", "state", "tag")
 
     def __init__(self, tag: str, name: str, closed: bool, above: Frame | None):
         self.tag, self.name, self.closed, self.above, self.state = tag, name, closed, above, None
         self.depth = above.depth + 1 if above else 0
-        self.at = _position(above.at, name) if above else ROOT
+        # Containers of an article lie together whatever other words they have, and so does what is very deep.
+        key = f"{tag}.{word}" if (word := _seed(name)) else name
+        self.floor = above.floor if above and self.depth > DEEP else self
+        self.at = _position((self.floor if self.floor is not self else above).at, key) if above else ROOT
 
 
 ROOT = 0
@@ -210,31 +227,38 @@ def _holds(frame: Frame) -> bool:
 
 
 @lru_cache(1 << 16)
-def _is_out(name: str) -> bool:
+def _is_out(name: str) -> int:
+    """Whether a name is that of a menu, advert and the like: 2 by its tag or by all of its words, 1 by a word among others, or of prose or a table; else 0."""
     tag, names = _names(name)
-    return tag in OUT_TAGS or tag in RAW or "hidden" in names or bool(OUT_NAMES & names) and tag not in ("body", "html")
+    if tag in OUT_TAGS or tag in RAW or "hidden" in names:
+        return 2
+    if not OUT_NAMES & names or tag in ("body", "html"):
+        return 0
+    return 1 if names - OUT_NAMES - NEUTRAL or tag in PROSE or tag in TABLES else 2
 
 
 def _crc(text: str) -> int:
     return zlib.crc32(text.strip().encode("utf-8", "surrogatepass"))
 
 
-# A wrapper is a dict from position to [position above, name, depth, pages, repeated, signs, characters, those in links, same texts].
-ABOVE, NAME, DEPTH, PAGES, REPEATED, SIGNS, CHARS, LINKS, SAME = range(9)
+# A wrapper is a dict from position to [position above, name, depth, pages, repeated, signs, characters, those in links, texts that all pages have, whether some have others].
+ABOVE, NAME, DEPTH, PAGES, REPEATED, SIGNS, CHARS, LINKS, SAME, VARY = range(10)
 
 
 def infer(page: str) -> dict[int, list]:
     """A page's wrapper of its own: siblings that begin alike lie at one position, a repeated group if a page has several."""
-    found: dict[int, list] = {ROOT: [ROOT, "", 0, 1, False, [], 0, 0, set()]}
+    found: dict[int, list] = {ROOT: [ROOT, "", 0, 1, False, [], 0, 0, set(), False]}
     last: dict[int, Frame] = {}
     sign = 0  # of the texts that aren't links, menus, adverts and the like
     for kind, frame, text in walk(page):
         if kind == "o":
             link, out = frame.above.state or (False, False)
-            frame.state = (link or frame.tag == "a", out or _is_out(frame.name))
+            frame.state = (link or frame.tag == "a", out or bool(_is_out(frame.name)))
             node = found.get(frame.at)
             if node is None:
-                found[frame.at] = [frame.above.at, frame.name, frame.depth, 1, False, [], 0, 0, set()]
+                above = frame.above if frame.floor is frame else frame.floor
+                name = f"{frame.tag}.{word}" if (word := _seed(frame.name)) else frame.name
+                found[frame.at] = [above.at, name, above.depth + 1, 1, False, [], 0, 0, set(), False]
             elif text != "again" and last.get(frame.at) is frame.above:
                 node[REPEATED] = True
             last[frame.at] = frame.above
@@ -244,18 +268,27 @@ def infer(page: str) -> dict[int, list]:
             crc = _crc(text)
             node[CHARS] += len(text)
             node[LINKS] += len(text) if link else 0
-            node[SAME].add(crc)
+            if len(node[SAME]) <= TEXTS:
+                node[SAME].add(crc)
             sign = sign if link or out else (sign * 1_000_003 + crc) & 0xFFFFFFFF
     for node in found.values():
         node[SIGNS] = [sign]
-        node[SAME] = sorted(node[SAME])
-    return found
+        node[VARY] = len(node[SAME]) > TEXTS
+        node[SAME] = [] if node[VARY] else sorted(node[SAME])
+    return _trimmed(found)
+
+
+def _trimmed(wrapper: dict[int, list]) -> dict[int, list]:
+    if len(wrapper) > POSITIONS:
+        for at in sorted(wrapper, key=lambda at: (wrapper[at][DEPTH], at))[POSITIONS:]:
+            del wrapper[at]
+    return wrapper
 
 
 def merge(a: dict[int, list], b: dict[int, list]) -> dict[int, list]:
-    """Align two wrappers (in any order with the same result, up to POSITIONS): positions of both meet, one that some pages lack is optional, texts that differ are slots.
-    ``a`` is changed. Signs are of pages that differ in what they say outside links, menus and adverts, CONSTANT_PAGES of them at most. A wrapper of more than
-    POSITIONS keeps the half that most pages have; no page's text depends on a position that is gone but by what is constant there."""
+    """Align two wrappers, in any order with the same result: positions of both meet, one that some pages lack is optional, texts that differ are slots.
+    ``a`` is changed. Signs are of pages that differ in what they say outside links, menus and adverts, CONSTANT_PAGES of them at most. Of more than
+    POSITIONS the least by depth and hash are kept (twice as many for a while, so that they aren't sorted for each page): a position that is kept in the end was kept by all."""
     for at, y in b.items():
         x = a.get(at)
         if x is None:
@@ -266,12 +299,11 @@ def merge(a: dict[int, list], b: dict[int, list]) -> dict[int, list]:
         x[SIGNS] = sorted({*x[SIGNS], *y[SIGNS]})[:CONSTANT_PAGES]
         x[CHARS] += y[CHARS]
         x[LINKS] += y[LINKS]
-        if x[SAME] and x[SAME] != y[SAME]:
+        x[VARY] |= y[VARY]
+        if x[SAME] != y[SAME]:
+            x[VARY] = True
             x[SAME] = sorted(set(x[SAME]).intersection(y[SAME]))
-    if len(a) > POSITIONS:
-        for at in sorted(a, key=lambda at: (-a[at][PAGES], a[at][DEPTH], at))[POSITIONS // 2 :]:
-            del a[at]
-    return a
+    return _trimmed(a) if len(a) > 2 * POSITIONS else a
 
 
 def expression(wrapper: dict[int, list]) -> str:
@@ -301,19 +333,21 @@ def _constant(node: list) -> bool:
 
 @dataclass
 class Rule:
-    """How a host's pages are read: positions of the article's containers, of link lists in them, and the template's own texts by position."""
+    """How a host's pages are read: positions of the article's containers, of what else to leave out in them, the template's own texts by position, and whether
+    a name told the containers."""
 
     content: frozenset[int]
     out: frozenset[int]
     constants: dict[int, frozenset[int]]
+    named: bool
 
     def dumps(self) -> str:
-        return json.dumps([sorted(self.content), sorted(self.out), [[k, *sorted(v)] for k, v in sorted(self.constants.items())]])
+        return json.dumps([sorted(self.content), sorted(self.out), [[k, *sorted(v)] for k, v in sorted(self.constants.items())], self.named])
 
     @classmethod
     def loads(cls, text: str) -> Rule:
-        content, out, constants = json.loads(text)
-        return cls(frozenset(content), frozenset(out), {k: frozenset(v) for k, *v in constants})
+        content, out, constants, named = json.loads(text)
+        return cls(frozenset(content), frozenset(out), {k: frozenset(v) for k, *v in constants}, named)
 
 
 def reading(wrapper: dict[int, list]) -> Rule:
@@ -321,15 +355,16 @@ def reading(wrapper: dict[int, list]) -> Rule:
 
     Its content is a position with a name for an article's container: ``article``, else ``main``, else the naming word under which
     most text varies. Without any, it is found from the slots: from the body on, down to the container that holds most of the text that varies
-    and stands in no link; there, repeated groups that are links nearly alone are out. Texts at a position of the content that are the same on
-    every page that has it, on CONSTANT_PAGES different ones at least, are the template's, if anything in the content varies; blocks of such
-    texts alone go (``extract``), a word in a block that varies stays."""
+    and stands in no link; there, repeated groups that are links nearly alone are out. In the content, a container that says the same on
+    every page that has it, on CONSTANT_PAGES different ones at least, is the template's, if anything else in the content varies: its texts go but for
+    prose. Texts that stand in no container within the content never go."""
     order = sorted(wrapper, key=lambda at: wrapper[at][DEPTH])
     below = _below(wrapper)
-    out, mass, chars, links, looped = {}, {}, {}, {}, {}
+    out, mass, chars, links, looped, vary = {}, {}, {}, {}, {}, {}
     for at in order:
         x = wrapper[at]
-        out[at] = at != ROOT and (out.get(x[ABOVE], False) or _is_out(x[NAME]))
+        out[at] = at != ROOT and (out.get(x[ABOVE], False) or bool(_is_out(x[NAME])))
+        vary[at] = x[CHARS] > 0 and (x[VARY] or not _constant(x))
         chars[at], links[at] = x[CHARS], x[LINKS]
         mass[at] = 0 if out[at] or _constant(x) and not x[REPEATED] else x[CHARS] - x[LINKS]
         looped[at] = x[REPEATED]
@@ -341,6 +376,7 @@ def reading(wrapper: dict[int, list]) -> Rule:
             chars[up] += chars[at]
             links[up] += links[at]
             looped[up] |= looped[at]
+            vary[up] |= vary[at]
     seeds: dict[str, list[int]] = {}
     for at in order[1:]:
         if not out[at] and mass[at] and (word := _seed(wrapper[at][NAME])):
@@ -358,15 +394,27 @@ def reading(wrapper: dict[int, list]) -> Rule:
                 break
             at = best
         content = {at}
-    inside = set()
+    # Of each position inside: the prose that holds it, the container that it stands in, and whether it is out.
+    inside: dict[int, tuple[str, int | None, bool]] = {}
     for at in order:
-        if at in content or wrapper[at][ABOVE] in inside and at != ROOT:
-            inside.add(at)
-            if not word and at not in content and wrapper[at][NAME].partition(".")[0] in HOLDERS and looped[at] and links[at] >= LINKED * chars[at] > 0:
+        if at in content:
+            inside[at] = ("", None, False)
+        elif at != ROOT and wrapper[at][ABOVE] in inside:
+            prose, holder, gone = inside[wrapper[at][ABOVE]]
+            tag = wrapper[at][NAME].partition(".")[0]
+            if prose and tag in HOLDERS and prose in PARAGRAPHS:  # left open: a container ends it
+                prose = ""
+            weak, link_list = _is_out(wrapper[at][NAME]), links[at] >= LINKED * chars[at] > 0
+            if not word and tag in HOLDERS and looped[at] and link_list or word and weak == 1 and (link_list or not vary[at] and not prose and tag not in PROSE):
                 menus.add(at)
+            inside[at] = (tag if tag in PROSE else prose, at if tag in HOLDERS else holder, gone or at in menus or weak == 2 or weak == 1 and not word)
     varies = any(mass[at] for at in content)
-    constants = {at: frozenset(wrapper[at][SAME]) for at in inside if varies and not out[at] and _constant(wrapper[at])}
-    return Rule(frozenset(content), frozenset(menus), constants)
+    constants = {
+        at: frozenset(wrapper[at][SAME])
+        for at, (prose, holder, gone) in inside.items()
+        if varies and not gone and not prose and holder is not None and not vary[holder] and _constant(wrapper[at])
+    }
+    return Rule(frozenset(content), frozenset(menus), constants, bool(word))
 
 
 def extract(page: str | None, rule: Rule | None = None) -> str:
@@ -382,7 +430,7 @@ def extract(page: str | None, rule: Rule | None = None) -> str:
         whole = word is None
     elif ROOT in content:
         whole = True
-    menus, constants = (rule.out, rule.constants) if rule else (frozenset(), {})
+    menus, constants, named = (rule.out, rule.constants, rule.named) if rule and content else (frozenset(), {}, not whole)
     blocks: list[str] = []
     piece: list[str] = []
     own = True  # whether all texts of the block are the template's
@@ -399,7 +447,8 @@ def extract(page: str | None, rule: Rule | None = None) -> str:
             tag = frame.tag
             main = main or (frame.at in content if content else _seed(frame.name) == word)
             header = 1 if tag == "header" else 2 if header == 1 and len(tag) == 2 and tag[0] == "h" and tag[1].isdigit() else header
-            frame.state = (main, out or frame.at in menus or _is_out(frame.name), header)
+            named_out = _is_out(frame.name)
+            frame.state = (main, out or frame.at in menus or named_out == 2 or named_out == 1 and not (main and named), header)
         elif kind == "t":
             main, out, header = frame.state or (whole, False, 0)
             if main and not out and header != 1 and not (whole and header):
@@ -421,7 +470,7 @@ def _loads(text: str) -> dict[int, list]:
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper, rule), the last two as JSON, from a table (host, html)."""
+    """(host, wrapper, rule, pages), the wrapper and the rule as JSON, from a table (host, html)."""
 
     def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: dict[str, dict] = {}
@@ -441,19 +490,19 @@ def wrappers(pages: DataFrame) -> DataFrame:
         whole: dict[int, list] = {}
         for w in sorted(pdf["wrapper"]):
             whole = merge(whole, _loads(w))
-        return whole
+        return _trimmed(whole)
 
     def some(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"host": pdf["host"].iloc[:1], "wrapper": [_dumps(unite(pdf))]})
 
     def last(pdf: pd.DataFrame) -> pd.DataFrame:
         whole = unite(pdf)
-        return pd.DataFrame({"host": pdf["host"].iloc[:1], "wrapper": [_dumps(whole)], "rule": [reading(whole).dumps()]})
+        return pd.DataFrame({"host": pdf["host"].iloc[:1], "wrapper": [_dumps(whole)], "rule": [reading(whole).dumps()], "pages": [whole[ROOT][PAGES]]})
 
     sent = pages.select("host", "html").mapInPandas(local, "host string, wrapper string")
     # In two steps, so that a host found by very many tasks isn't aligned by one.
     dealt = sent.withColumn("part", F.spark_partition_id() % FAN).groupBy("host", "part").applyInPandas(some, "host string, wrapper string")
-    return dealt.groupBy("host").applyInPandas(last, "host string, wrapper string, rule string")
+    return dealt.groupBy("host").applyInPandas(last, "host string, wrapper string, rule string, pages long")
 
 
 def main_text(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
@@ -463,10 +512,9 @@ def main_text(pages: DataFrame, html: str = "html", url: str = "url") -> DataFra
     small_batches(pages.sparkSession)
     host = url_parts(F.col(url))[0]
     found = cut(wrappers(pages.select(host.alias("host"), F.col(html).alias("html"))))
-    at, name, how, whole = fresh(pages, "at", "host", "rule", "whole")
-    rules = found.select(F.col("host").alias(name), F.col("rule").alias(how))
-    size = found.agg(F.sum(F.length("host") + F.length("rule"))).first()[0] or 0
-    rules = F.broadcast(rules) if size <= BROADCAST_BYTES else rules
+    at, how, n, whole = fresh(pages, "at", "rule", "n", "whole")
+    rules = found.select(F.col("host").alias(at), F.col("rule").alias(how), F.col("pages").alias(n))
+    size, total = found.agg(F.coalesce(F.sum(F.length("host") + F.length("rule")), F.lit(0)), F.coalesce(F.sum("pages"), F.lit(0))).first()
 
     @F.pandas_udf("string")
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -475,7 +523,8 @@ def main_text(pages: DataFrame, html: str = "html", url: str = "url") -> DataFra
             yield pd.Series([extract(h, known.get(r)) for h, r in zip(page, rule, strict=True)], dtype=object)
 
     kept = [F.col(c) for c in pages.columns if c.lower() != "text" or c == html]
-    joined = pages.withColumn(at, host).join(rules, F.col(at) == F.col(name), "left")
+    # Every host has a rule. Beyond the bound, pages of the HOT_HOSTS largest hosts at most stay where they are, and no task gets more than their share of others.
+    joined = join_spread(pages.withColumn(at, host), rules, at, n, total, hot_keys=HOT_HOSTS, few=total if size <= BROADCAST_BYTES else 0)
     return joined.select(*kept, run(F.col(html), F.col(how)).alias(whole)).withColumnRenamed(whole, "text")
 
 

@@ -51,8 +51,8 @@ def test_wrapper_has_slots_options_and_repeats():
 
 
 def test_template_texts_inside_the_article_are_dropped():
-    rule = H.reading(wrapper_of([f"<article><h1>Title {k}</h1><span>Printed by robots</span><p>a text {k}<p>Share this<p>more {k}</article>" for k in range(8)]))
-    assert H.extract("<article><h1>T</h1><span>Printed by robots</span><p>u<p>Share this</article>", H.Rule.loads(rule.dumps())) == "T u"
+    rule = H.reading(wrapper_of([f"<article><h1>Title {k}</h1><div><span>Printed by robots</span></div><p>a text {k}<div class=x>Share this</div><p>more {k}</article>" for k in range(8)]))
+    assert H.extract("<article><h1>T</h1><div><span>Printed by robots</span></div><p>u<div class=x>Share this</div></article>", H.Rule.loads(rule.dumps())) == "T u"
     assert H.extract("<article><h1>T</h1><p>Printed by robots</article>", rule) == "T Printed by robots"  # not at that position
     # pages that are all alike keep their text, and so do copies of one page among others
     alike = "<article><h1>Same</h1><p>same text</p><pre>quoted</pre></article>"
@@ -70,6 +70,89 @@ def test_the_wrapper_finds_articles_that_no_name_tells():
     assert H.extract(page(77)) != H.extract(page(77), rule) and "All rights" in H.extract(page(77))
 
 
+def test_recurring_prose_stays():
+    recipes = [f"<body><header>Site</header><article><h1>Cake {k}</h1><h2>Ingredients</h2><ul><li>Salt<li>{k} eggs</ul><h2>Method</h2><p>Mix {k} times.<p>Serve.</article><footer>x</footer></body>" for k in range(6)]
+    rule = H.reading(wrapper_of(recipes))
+    assert [H.extract(p, rule) for p in recipes] == [f"Cake {k} Ingredients Salt {k} eggs Method Mix {k} times. Serve." for k in range(6)]
+    minutes = [f"<article><h1>Minutes {k}</h1><p>The meeting was opened.</p><p>Point {k}</p><p>The meeting was closed.</p></article>" for k in range(6)]
+    assert [H.extract(p, H.reading(wrapper_of(minutes))) for p in minutes] == [f"Minutes {k} The meeting was opened. Point {k} The meeting was closed." for k in range(6)]
+
+
+def test_words_cut_inside_an_article_only_with_the_wrapper():
+    page = lambda k: (
+        f"<article class='post {'sports politics'.split()[k % 2]}'><h1>T {k}</h1><div class='social history'>A social history {k}</div><p class=search>The search {k}</p>"
+        f"<table class=alerts><tr><td>alert {k}</table><div class='share now'>Share it now</div><div class='related reading'><a href=/>more {k}</a></div><div class=comments><p>hello {k}</div><div class=y>Share this now.</div></article>"
+    )
+    for n in (1, 12):
+        rule = H.reading(wrapper_of([page(k) for k in range(n)]))
+        assert H.extract(page(0), rule) == "T 0 A social history 0 The search 0 alert 0" + (" Share it now Share this now." if n == 1 else "")
+
+
+def test_depth_does_not_matter():
+    for depth in (50, 21_000):
+        page = lambda k: f"<body><article><p>text {k}</p>" + "<div>" * depth + "the same notice" + "</div>" * depth + f"<p>end {k}</article></body>"  # noqa: E731, B023
+        wrapper = wrapper_of([page(k) for k in range(6)])
+        assert H.extract(page(3), H.reading(wrapper)) == "text 3 end 3" and len(wrapper) <= H.DEEP + 10
+
+
+def test_positions_over_the_bound_go_in_any_order_alike(monkeypatch):
+    monkeypatch.setattr(H, "POSITIONS", 30)
+    rng = random.Random(1)
+    pages = ["<body><article><p>a</p>" + "".join(f"<div class='{''.join(rng.choices('abcdefgh', k=3))}'><b>x{rng.random()}</b></div>" for _ in range(12)) + "</article></body>" for _ in range(40)]
+    found = set()
+    for _ in range(6):
+        rng.shuffle(pages)
+        k = rng.randrange(1, 39)
+        found.add(str(sorted(H._trimmed(H.merge(wrapper_of(pages[:k]), wrapper_of(pages[k:]))).items())))
+    assert len(found) == 1 and len(H._trimmed(wrapper_of(pages))) == 30
+
+
+def test_alignment_matches_a_plain_statement():
+    """Positions, pages, repetition and constant texts restated from the paths of all pages at once."""
+    rng = random.Random(11)
+    names = ["div", "section", "div class=u", "b", "p"]
+
+    def tree(depth):
+        return [rng.choice(["alpha", "beta", "gamma"]) if depth > 2 or rng.random() < 0.4 else (rng.choice(names), tree(depth + 1)) for _ in range(rng.randrange(1, 4))]
+
+    def write(nodes):
+        return "".join(f"<i>{x}</i>" if isinstance(x, str) else f"<{x[0]}>{write(x[1])}</{x[0].split()[0]}>" for x in nodes)
+
+    def paths(nodes, above, out, seen):
+        for x in nodes:
+            name = "i" if isinstance(x, str) else x[0].replace(" class=", ".")
+            at = (*above[0], name)
+            node = out.setdefault(at, [False, set()])
+            node[0] |= seen.get(at) == above[1]
+            seen[at] = above[1]
+            if isinstance(x, str):
+                node[1].add(x)
+            else:
+                paths(x[1], (at, object()), out, seen)
+        return out
+
+    for _ in range(30):
+        trees = [[("section", tree(0))] for _ in range(5)]
+        wrapper = wrapper_of([write(t) for t in trees])
+        by_path = {}
+        for at, x in wrapper.items():
+            path, up = (), at
+            while up != H.ROOT:
+                path, up = (wrapper[up][H.NAME], *path), wrapper[up][H.ABOVE]
+            by_path[path] = x
+        each = [paths(t, ((), 0), {}, {}) for t in trees]
+        want = {}
+        for own in each:
+            for path, (again, texts) in own.items():
+                n, r, sets = want.get(path, (0, False, []))
+                want[path] = (n + 1, r or again, [*sets, frozenset(texts)])
+        assert set(by_path) - {()} == set(want)
+        for path, (n, again, sets) in want.items():
+            x = by_path[path]
+            assert (x[H.PAGES], x[H.REPEATED], x[H.VARY]) == (n, again, len(set(sets)) > 1)
+            assert x[H.SAME] == sorted(H._crc(t) for t in frozenset.intersection(*sets))
+
+
 def test_deep_and_long_pages(spark):
     deep = "<section>" * 1200 + "<p>deep text</p>" + "</section>" * 1200
     long = "<body>" + "".join(f"<div>block {k}</div><p>par {k}" for k in range(50_000)) + "</body>"
@@ -79,7 +162,17 @@ def test_deep_and_long_pages(spark):
     assert got[0] == got[1] == "deep text" and got[5] == ""
     assert got[2] == " ".join(f"block {k} par {k}" for k in range(50_000))
     assert got[3] == got[4] == " ".join(f"d{k}" for k in range(30_000))
-    assert len(wrapper_of([odd, deep])) <= H.POSITIONS
+    assert len(H._trimmed(wrapper_of([odd, deep]))) == H.POSITIONS
+
+
+def test_rules_too_large_to_broadcast_meet_hot_hosts_where_they_are(spark, monkeypatch):
+    rows = [(k, f"http://{'hot' if k % 3 else f'h{k % 11}'}.org/", f"<body><article><h1>T {k}</h1><div>Share</div><p>text {k}</article>") for k in range(900)]
+    df = spark.createDataFrame([*rows, (900, None, None)], "page_id long, url string, html string")
+    whole = sorted(map(tuple, H.main_text(df).select("page_id", "text").collect()))
+    assert whole[1] == (1, "T 1 text 1")
+    monkeypatch.setattr(H, "BROADCAST_BYTES", 0)
+    parted = H.main_text(df)
+    assert sorted(map(tuple, parted.select("page_id", "text").collect())) == whole
 
 
 def test_clashing_names_stay(spark):
