@@ -10,7 +10,7 @@ dropped. Lines of fewer than MIN_TOKENS tokens are templates as they stand, digi
 within one document only stay.
 
 A template travels as two hashes, of 64 and 32 bits, so no text is shuffled to count it, and the first document is a minimum that
-combines map-side: a line shared by a third of all documents costs one row for each task.
+combines map-side: a line shared by a third of all documents costs one row for each task, and its lines meet that minimum by a broadcast of the hot templates.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.llm.common import fresh, table
+from gleanery.operators.skew import join_spread
 from gleanery.session import cut
 
 LEADING = 3
@@ -56,7 +57,7 @@ def template_keys(words: Column, line: Column) -> Column:
 
 def drop_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with text without the lines that a template of an earlier document covers, n_chars (if there) as it is then,
-    and ``_n_lines``, ``_n_dropped``, which replace columns of these names; all others stay.
+    and ``_n_lines``, ``_n_dropped``, which replace columns of these names in any case; all others stay.
 
     Null texts stay null. A text may become empty; no row is lost. Rows that repeat a doc_id are one document. Rows
     without a doc_id lose nothing and cause no loss."""
@@ -65,16 +66,18 @@ def drop_lines(docs: DataFrame) -> DataFrame:
     lines = lines.select("doc_id", "k", "pos", "line", tokens(F.col("line")).alias("w"))
     lines = lines.select("doc_id", "k", "pos", template_keys(F.col("w"), F.col("line")).alias("keys"))
     lines = cut(lines)  # unfiltered: a filter on keys would be pushed down and work them out a second time
-    each = lines.select("doc_id", "k", "pos", F.inline("keys").alias("t", "s"))
-    first = each.groupBy("t", "s").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("t", "s", "first")
+    each = lines.select("doc_id", "k", "pos", F.explode("keys").alias("key"))
+    first = each.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("first < last").drop("last")
+    total = lines.agg(F.sum(F.size("keys"))).first()[0] or 0
     d, k, gone = fresh(docs, "_d", "_k", "_drop")
-    drop = each.join(cut(first), ["t", "s"]).where("first < doc_id").groupBy(F.col("doc_id").alias(d), F.col("k").alias(k)).agg(F.collect_set("pos").alias(gone))
+    # Lines of the commonest templates stay where they are.
+    drop = join_spread(each, cut(first), "key", "n", total).where("first < doc_id").groupBy(F.col("doc_id").alias(d), F.col("k").alias(k)).agg(F.collect_set("pos").alias(gone))
     old = F.split("text", "\n", -1)
     joined = docs.join(drop, (F.col("doc_id") == F.col(d)) & (key == F.col(k)), "left")
     lost = F.col(gone).isNotNull()
     kept = F.when(lost, F.array_join(F.filter(old, lambda x, i: ~F.array_contains(F.col(gone), i)), "\n")).otherwise(F.col("text"))
     n_lines = F.when(F.col("text").isNotNull(), F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).otherwise(0)
-    own = [kept.alias(c) if c == "text" else F.col(c) for c in docs.columns if c not in ("_n_lines", "_n_dropped")]
+    own = [kept.alias(c) if c == "text" else F.col(c) for c in docs.columns if c.lower() not in ("_n_lines", "_n_dropped")]
     out = joined.select(*own, n_lines.alias("_n_lines"), F.coalesce(F.array_size(gone), F.lit(0)).alias("_n_dropped"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
