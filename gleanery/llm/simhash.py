@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from gleanery.llm.common import small_batches, table, uniform
 from gleanery.operators.components import connected_components
+from gleanery.operators.skew import join_spread
 from gleanery.session import cut
 
 RADIUS = 3
@@ -243,15 +244,16 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, text: str = "text") -
 
     Documents without words share fingerprint 0 and link like any other. Null texts count as empty; repeated rows
     come out as often as they go in; a null doc_id keeps its fingerprint and gets its group's id. Other columns are never read, whatever
-    their names. Empty in, empty out."""
+    their names. Empty in, empty out. A graph whose components don't settle in 60 rounds (a path of some 2 ** 60 links) raises an error."""
     prints = cut(docs.select("doc_id", fingerprints(docs, text).alias("fp")))
-    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
     groups = connected_components(cut(links(distinct, radius).distinct()))
     # Each fingerprint's group, then the least document of each group.
-    of = distinct.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    of = distinct.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", "n", F.coalesce("component", "fp").alias("component"))
     name = of.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = cut(of.join(name, "component").select("fp", "component_id"))
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = cut(of.join(name, "component").select("fp", "component_id", "n"))
+    # A fingerprint that very many documents share stays with its rows.
+    return join_spread(prints, named, "fp", "n", prints.count()).select("doc_id", "fp", "component_id")
 
 
 def op10_simhash(spark, sf_dir):
