@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gleanery.operators import caps, coverage, dedup, gates, reconcile, score, tasks
 from gleanery.session import local_session
-from gleanery.sources import files
+from gleanery.sources import files, releases
 
 TASKS = "task_id string, image_sha256 string, correct_taxon string, candidates array<string>, synonyms_accepted array<string>, meta struct<family:string>"
 PREDICTIONS = "task_id string, tasks_hash string, image_sha256 string, predictions array<struct<taxon:string,score:double,matched:boolean,raw:string>>, error string, finish_reason string, provider struct<refusal:string>"
@@ -67,6 +67,8 @@ def run(argv: list[str] | None = None) -> None:
     command("release-build", "tables", "out", "version", "built-at")
     command("release-verify", "release", version=None)
     command("release-publish", "release", "target")
+    command("suite-publish", "tasks", "objects", "target", "suite")
+    command("suite-sync", "target", "suite", "out")
     command("evidence", "sources", claims=None)
     command("assessments", "rows", evidence=None, taxa=None)
     command("build-tasks", "taxa", "media", "out", suite="closed-set")
@@ -99,15 +101,20 @@ def run(argv: list[str] | None = None) -> None:
         _report(dedup.duplicate_report(spark.read.parquet(a.out)))
     elif a.command == "release-build":
         parts = {n: spark.read.parquet(f"{a.tables}/{n}.parquet") for n in files.RELEASE_TABLES}
-        print(json.dumps(files.build_release(parts, a.out, a.version, a.built_at), sort_keys=True))
+        print(json.dumps(releases.build_release(parts, a.out, a.version, a.built_at), sort_keys=True))
     elif a.command == "release-verify":
-        errors = files.verify_files(a.release, a.version)
-        if errors:
-            raise SystemExit("\n".join(errors))
+        wrong = releases.verify_release(spark, a.release, a.version).limit(100).collect()
+        if wrong:
+            raise SystemExit("\n".join(f"{r.name}: {r.problem}" for r in wrong))
         t = {n: spark.read.parquet(f"{a.release}/{n}.parquet") for n in files.RELEASE_TABLES}
         _gate(gates.release(t["taxa"], t["media"], t["attribution"], t["evidence"], t["danger_assessments"]))
     elif a.command == "release-publish":
-        print("\n".join(files.publish(a.release, a.target)))
+        print("published" if releases.publish(spark, a.release, a.target) else "published already")
+    elif a.command == "suite-publish":
+        done = releases.publish_suite(read(spark, a.tasks), spark.read.parquet(a.objects), a.target, a.suite)
+        print("published" if done else "published already")
+    elif a.command == "suite-sync":
+        print(json.dumps(releases.restore_suite(spark, a.target, a.suite, a.out), sort_keys=True))
     elif a.command == "evidence":
         src = files.read_evidence(spark, a.sources)
         _gate(gates.evidence_sources(src) if not a.claims else gates.evidence_sources(src).unionByName(gates.evidence_claims(read(spark, a.claims), src)))

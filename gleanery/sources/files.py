@@ -1,11 +1,9 @@
-"""File readers and writers: checklists, JSON lines, run folders, releases, publication and the run ledger."""
+"""File readers and writers: checklists, JSON lines, run folders and the run ledger."""
 
 from __future__ import annotations
 
 import hashlib
 import json
-import os
-import shutil
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,83 +77,6 @@ def ordered(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(*sorted(df.columns)).orderBy(*[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
 
 
-def _digest(path: Path) -> str:
-    h = hashlib.sha256()
-    with path.open("rb") as f:
-        while block := f.read(1 << 20):
-            h.update(block)
-    return h.hexdigest()
-
-
-def build_release(tables: dict[str, DataFrame], out: str, version: str, built_at: str) -> dict:
-    """Write a release folder: one Parquet table for each artifact, ``release.json`` with counts and content digests, and checksums of every
-    file. Built beside ``out`` and moved there whole, so a failed build leaves nothing."""
-    from gleanery.operators.score import tree_hash
-
-    target, work = Path(out), Path(out + ".building")
-    if target.exists():
-        raise FileExistsError(out)
-    shutil.rmtree(work, ignore_errors=True)
-    work.mkdir(parents=True)
-    meta = {"version": version, "built_at": built_at, "counts": {}, "content": {}}
-    for name, keys in RELEASE_TABLES.items():
-        df = tables[name]
-        ordered(df, keys).coalesce(1).write.parquet(f"file://{work.resolve()}/{name}.parquet")
-        row = tree_hash(df, F.concat_ws("|", *keys), F.to_json(F.struct(*sorted(df.columns)))).first()
-        meta["counts"][name], meta["content"][name] = row.rows, row.digest
-    (work / "release.json").write_text(json.dumps(meta, sort_keys=True, indent=1), encoding="utf-8")
-    files = sorted(p for p in work.rglob("*") if p.is_file() and not p.name.startswith((".", "_")))
-    (work / "checksums.sha256").write_text("".join(f"{_digest(p)}  {p.relative_to(work)}\n" for p in files), encoding="utf-8")
-    os.replace(work, target)
-    return meta
-
-
-def verify_files(out: str, version: str | None = None) -> list[str]:
-    """Violations of a release folder's files: missing artifacts, other version, checksums that don't match."""
-    root, errors = Path(out), []
-    errors += [f"missing release artifact: {n}" for n in [*(f"{t}.parquet" for t in RELEASE_TABLES), "release.json", "checksums.sha256"] if not (root / n).exists()]
-    if (root / "release.json").exists():
-        try:
-            found = json.loads((root / "release.json").read_text(encoding="utf-8")).get("version")
-            if version and found != version:
-                errors.append(f"release.json version {found!r} is not {version!r}")
-        except ValueError:
-            errors.append("release.json can't be read")
-    if (root / "checksums.sha256").exists():
-        for line in (root / "checksums.sha256").read_text(encoding="utf-8").splitlines():
-            digest, _, name = line.partition("  ")
-            if line and not name:
-                errors.append(f"malformed checksum line: {line!r}")
-            elif line and not (root / name).exists():
-                errors.append(f"checksummed file missing: {name}")
-            elif line and _digest(root / name) != digest:
-                errors.append(f"checksum mismatch: {name}")
-    return errors
-
-
-def publish(source: str, target: str) -> list[str]:
-    """Copy a folder to its immutable place: staged beside it, moved whole, the mark ``COMPLETE`` last. A finished publication is never
-    written again; one without the mark is redone."""
-    src, dst = Path(source), Path(target)
-    if (dst / "COMPLETE").exists():
-        raise FileExistsError(f"{target} is published")
-    staged = dst.with_name(dst.name + ".staging")
-    shutil.rmtree(staged, ignore_errors=True)
-    shutil.copytree(src, staged)
-    shutil.rmtree(dst, ignore_errors=True)
-    os.replace(staged, dst)
-    (dst / "COMPLETE").write_text("", encoding="utf-8")
-    return sorted(str(p.relative_to(dst)) for p in dst.rglob("*") if p.is_file())
-
-
-def inventory(spark: SparkSession, root: str) -> DataFrame:
-    """(name, sha256, bytes) of every file below a folder."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    top = root.rstrip("/").removeprefix("file://")
-    name = F.expr(f"substring(path, instr(path, '{top}/') + {len(top) + 1})")
-    return files.select(name.alias("name"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
-
-
 def verified_objects(files: DataFrame, expected: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, bad): files (name, sha256, bytes) that match ``expected`` (the same columns), and expected ones that are missing or differ."""
     good = expected.join(files, ["name", "sha256", "bytes"], "left_semi")

@@ -114,31 +114,6 @@ def test_live_scans_page_and_go_on(spark):
     assert ids(rest.scan_service(spark, "observations", fake_service, cursor={"after": 17}, pageSize=5, perSecond=10_000)) == list(range(18, TOTAL + 1))
 
 
-def test_release_round_trip(spark, tmp_path):
-    t = {
-        "taxa": spark.createDataFrame([("T a", "x", "F")], "taxon string, authorship string, family string"),
-        "media": spark.createDataFrame([("aa", "s3", "c", "CC0-1.0", "r", "T a")], "sha256 string, s3_uri string, creator string, license string, source_record string, taxon string"),
-        "attribution": spark.createDataFrame([("aa", "c", "CC0-1.0", "text")], "sha256 string, creator string, license string, attribution string"),
-        "evidence": spark.createDataFrame([("e", "T a", "10.1/x", "", "", "")], "id string, taxon string, doi string, pmid string, isbn string, url string"),
-        "danger_assessments": spark.createDataFrame([("T a", "none_known", "PL", "r", "e", "w", "2020-01-01", "draft")], "taxon string, category string, geographic_scope string, rationale string, evidence_ids string, reviewer string, review_date string, status string"),
-    }
-    out = str(tmp_path / "r1")
-    meta = files.build_release(t, out, "v1", "now")
-    assert meta["counts"]["media"] == 1 and files.verify_files(out, "v1") == [] and files.verify_files(out, "v2")
-    again = files.build_release(t, str(tmp_path / "r2"), "v1", "later")
-    assert again["content"] == meta["content"]
-    cli.run(["release-verify", "--release", out])
-    assert "release.json" in files.publish(out, str(tmp_path / "pub"))
-    with pytest.raises(FileExistsError):
-        files.publish(out, str(tmp_path / "pub"))
-    inv = files.inventory(spark, out)
-    good, bad = files.verified_objects(inv, inv)
-    assert good.count() == inv.count() > 6 and bad.count() == 0
-    part = next((tmp_path / "r1" / "media.parquet").glob("part-*"))
-    part.write_bytes(part.read_bytes() + b"x")
-    assert any("checksum mismatch" in e for e in files.verify_files(out))
-
-
 def test_runs_score_and_ledger(spark, tmp_path, capsys):
     (tmp_path / "t.jsonl").write_text("\n".join(json.dumps({"task_id": f"t{k}", "image_sha256": "i", "correct_taxon": "G a", "candidates": ["G a", "H b"], "synonyms_accepted": [], "meta": {"family": "F"}}) for k in range(3)) + "\n\n")
     (tmp_path / "p.jsonl").write_text(json.dumps({"task_id": "t0", "image_sha256": "i", "predictions": [{"taxon": "G a", "score": 1.0, "matched": True, "raw": "G a"}], "finish_reason": "stop", "provider": {"refusal": None}}))
