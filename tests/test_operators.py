@@ -110,15 +110,45 @@ def test_reconcile_tiers(spark):
     assert got == {("old  NAME", None): ("synonym", "Araneus diadematus", 1), ("Same name", "B , 2"): ("exact", "Same name", 1), ("Same name", None): ("conflict", None, 2), ("Lone specis", None): ("fuzzy", None, 1), ("Zzz", None): ("unresolved", None, 0), ("Lone species", None): ("exact", "Lone species", 1), ("Kept", None): ("kept_reviewed", "Chosen", 0)}
 
 
-def test_fuzzy_equals_the_standard_library(spark, monkeypatch):
+def test_fuzzy_equals_the_standard_library(spark):
     rng = random.Random(1)
-    known = sorted({"".join(rng.choice("abcd ") for _ in range(rng.randrange(5, 14))).strip() + "x" for _ in range(300)})
-    asked = sorted({k[: rng.randrange(2, len(k))] + rng.choice("abz") + k[3:] for k in known[:80]})
-    index = spark.createDataFrame([(k, k) for k in known], "norm string, rec string")
-    monkeypatch.setattr(reconcile, "BLOCK_NAMES", 100)
-    got = {r.name: r.close for r in reconcile.fuzzy(spark.createDataFrame([(a,) for a in asked], "normalized_name string"), index).collect()}
-    want = {a: c for a in asked if (c := difflib.get_close_matches(a, known, n=5, cutoff=0.85))}
-    assert got == want and len(want) > 20
+    known = sorted({"".join(rng.choice("abcd ") for _ in range(rng.randrange(5, 14))).strip() + "x" for _ in range(300)} | {"a", "ab", "abc", "abcd", "é", "long " * 30, "long " * 11 + "x", "b" * 700})
+    asked = sorted({k[: rng.randrange(1, len(k) + 1)] + rng.choice("abz") + k[3:] for k in known[:120]} | {"", "a", "abc", "abd", "abcde", "é", "long " * 29, "long " * 12, "b" * 600})
+    index = spark.createDataFrame([(k, k) for k in [*known, *known[:9]]], "norm string, rec string")
+    got = {r.name: (r.close, r.n_close) for r in reconcile.fuzzy(spark.createDataFrame([(a,) for a in [*asked, *asked[:5]]], "normalized_name string"), index).collect()}
+    close = {a: c for a in asked if (c := difflib.get_close_matches(a, known, n=5, cutoff=0.85))}
+    want = {a: (c, min(5, sum(1 + (x in known[:9]) for x in c))) for a, c in close.items()}
+    assert got == want and len(want) > 30
+    assert reconcile.fuzzy(spark.createDataFrame([], "normalized_name string"), index).count() == 0
+
+
+@pytest.mark.parametrize("cutoff", [0.6, 0.85, 0.95])
+def test_signatures_lose_no_pair(cutoff):
+    rng = random.Random(7)
+    for _ in range(3000):
+        n = rng.choice([1, 2, 3, 4, 5, 8, 15, 30, 44, 45, 58, 62, 80])
+        x = "".join(rng.choice("aeisrt qz") for _ in range(n))
+        y = list(x)
+        for _ in range(rng.randrange(0, 2 + n // 4)):
+            k = rng.randrange(len(y) + 1)
+            y[k : k + 1] = rng.choice([[], [rng.choice("aeisrt qzü")], [rng.choice("aei"), "s"]])
+        y = "".join(y)
+        if y and difflib.SequenceMatcher(None, y, x).ratio() >= cutoff:
+            assert set(reconcile.signatures(x, cutoff)) & set(reconcile.signatures(y, cutoff)), (x, y)
+
+
+def test_few_names_are_compared(spark):
+    """5,000 two-word names against each other: what the signatures leave is a small share of all pairs."""
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice(["ar", "an", "eus", "dia", "lyc", "osa", "the", "rid", "ion", "mi", "cro", "pho", "lcus", "te", "gen", "aria"]) for _ in range(n))
+    names = sorted({f"{word(3)} {word(rng.choice([3, 4, 5]))}" for _ in range(5000)})
+    asked = names[::50]
+    left = spark.createDataFrame([(n,) for n in asked], "name string")
+    right = spark.createDataFrame([(n,) for n in names], "cand string")
+    made = reconcile.fuzzy_candidates(left, right).count()
+    assert len(asked) <= made < 0.01 * len(asked) * len(names)
+    got = {r.name: r.close for r in reconcile.fuzzy(left.withColumnRenamed("name", "normalized_name"), right.selectExpr("cand as norm")).collect()}
+    assert got == {a: difflib.get_close_matches(a, names, n=5, cutoff=0.85) for a in asked}
 
 
 def test_upserts(spark):
