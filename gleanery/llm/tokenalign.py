@@ -34,7 +34,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.llm.bpe import byte_letters
@@ -44,7 +44,7 @@ from gleanery.session import cut, uncut
 
 FILES = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 #: Segments sent to every task at most, and their length; id pairs sent to every task at most (20 bytes each).
-LEXICON, LEXICON_CHARS, PAIRS = 250_000, 64, 3_000_000
+LEXICON, LEXICON_CHARS, PAIRS = 350_000, 64, 3_000_000
 #: Texts of which so many copies exist at least, and over 1 / HOT_TEXTS of all rows, are composed once.
 LEAST_COPIES, HOT_TEXTS = 256, 1000
 #: Distinct segments that a task counts before it hands them on.
@@ -283,7 +283,8 @@ def _lexicon(name: str, columns: tuple) -> dict[str, tuple[str, int, int, int]]:
     """The worker process's dictionary of the segments sent to every task: built once."""
     if name not in _LEXICONS:
         _LEXICONS.clear()
-        _LEXICONS[name] = dict(zip(columns[0], zip(*columns[1:], strict=True), strict=True))
+        facts = [c if isinstance(c, list) else c.tolist() for c in columns[1:]]
+        _LEXICONS[name] = dict(zip(columns[0], zip(*facts, strict=True), strict=True))
     return _LEXICONS[name]
 
 
@@ -291,7 +292,7 @@ def compose(texts: DataFrame, known: DataFrame, before: str, limit: int) -> Data
     """The columns of ``texts`` (h, a text's hash, and t among them) but t, and a struct ``r`` of RESULT. ``known``: all segments' alignments."""
     name, facts = uuid.uuid4().hex, ("groups", "n_a", "n_best", "count_sum")
     few = lexicon(known, limit).toPandas()  # at most ``limit`` segments of bounded length
-    shared = texts.sparkSession.sparkContext.broadcast(tuple(few[c].tolist() for c in ("segment", *facts)))
+    shared = texts.sparkSession.sparkContext.broadcast(tuple(few[c].tolist() if few[c].dtype == object else few[c].to_numpy() for c in ("segment", *facts)))
     del few
 
     def rare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -306,9 +307,9 @@ def compose(texts: DataFrame, known: DataFrame, before: str, limit: int) -> Data
                     keys += [h] * len(new)
                     places += range(len(new))
                     segments += new
-            yield pd.DataFrame({"h": pd.Series(keys, dtype=object), "k": np.array(places, np.int32), "segment": pd.Series(segments, dtype=object)})
+            yield pd.DataFrame({"h": pd.Series(keys, dtype=batch["h"].dtype), "k": np.array(places, np.int32), "segment": pd.Series(segments, dtype=object)})
 
-    asked = texts.select("h", "t").mapInPandas(rare, "h binary, k int, segment string")
+    asked = texts.select("h", "t").mapInPandas(rare, f"h {dict(texts.dtypes)['h']}, k int, segment string")
     info = F.concat_ws("\t", *facts)
     infos = asked.join(known.select("segment", info.alias("info")), "segment").groupBy("h").agg(F.collect_set(F.struct("k", "info")).alias("x"))
     infos = infos.select("h", F.array_join(F.transform(F.sort_array("x"), lambda x: x["info"]), "\n").alias("x"))
@@ -331,6 +332,10 @@ def compose(texts: DataFrame, known: DataFrame, before: str, limit: int) -> Data
     return texts.join(infos, "h", "left").withColumn("r", run("t", "x")).drop("t", "x")
 
 
+def hash64(t: Column) -> Column:
+    return F.xxhash64(t)
+
+
 def align_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", paths: tuple[str, str] | None = None, limit: int = LEXICON, pairs_bound: int = PAIRS, least_copies: int = LEAST_COPIES) -> DataFrame:
     """One row per row of ``docs``: ``key`` and the columns of RESULT; see the module's docstring."""
     spark = docs.sparkSession
@@ -343,9 +348,16 @@ def align_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", paths:
     uncut(aligned)
     # Texts with very many copies are composed once, and their few results go to all their rows.
     some = F.coalesce(F.col("t"), F.lit("")) != ""
-    rows = docs.where(some).select("key", F.unhex(F.md5("t")).alias("h"), "t")
-    total = docs.count()
-    many = cut(rows.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > max(least_copies, total // HOT_TEXTS)).select("h"))
+    many_rows = F.lit(max(least_copies, docs.count() // HOT_TEXTS))
+    # A short hash names a text, a long one if two texts should have the same short one.
+    long = F.unhex(F.md5("t"))
+    named = lambda h: docs.where(some).select("key", h.alias("h"), "t")
+    seen = named(hash64(F.col("t"))).groupBy("h").agg(F.count("*").alias("n"), (F.min(long) != F.max(long)).alias("clash"))
+    seen = cut(seen.where((F.col("n") > many_rows) | F.col("clash")))
+    rows, many = named(hash64(F.col("t"))), seen.select("h")
+    if seen.where("clash").limit(1).count():
+        rows = named(long)
+        many = cut(rows.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > many_rows).select("h"))
     if not many.limit(1).count():
         done = compose(rows, known, before, limit)
     else:

@@ -52,10 +52,17 @@ def plain():
             while k < len(y) and y[k][0] < end:
                 links.append((ids[0][i], ids[1][k]))
                 k += 1
-        groups, start = [], 0
-        for end in sorted({e for _, e in x} & {e for _, e in y}):
-            groups.append("|".join(",".join(str(t) for t, (s, _) in zip(own, sp, strict=True) if start <= s < end) for own, sp in zip(ids, (x, y), strict=True)))
-            start = end
+        groups, both = [], {e for _, e in x} & {e for _, e in y}
+        sides = []
+        for own, sp in zip(ids, (x, y), strict=True):
+            part, side = [], []
+            for t, (_, end) in zip(own, sp, strict=True):
+                part.append(str(t))
+                if end in both:
+                    side.append(",".join(part))
+                    part = []
+            sides.append(side)
+        groups = ["|".join(g) for g in zip(*sides, strict=True)]
         return len(ids[0]), len(ids[1]), groups, links
 
     def all_(texts):
@@ -86,7 +93,7 @@ def odd_texts():
     texts = [None, "", " ", "   ", "\n", " \n a", "a ", "a\n", "<|endoftext|> <s></s> <0x41> <unk>", "a▁b", "x" * 20_000, " " * 20_000 + "y", "word " * 5_000]
     texts += ["".join(rng.choice(signs) for _ in range(rng.randrange(40))) for _ in range(800)]
     texts += ["".join(map(chr, rng.choices(range(0x20, 0x3000), k=20))) for _ in range(300)]
-    return texts + [f"a{chr(c)} b{chr(c)}\n{chr(c)}  {chr(c)}" for c in [*range(0x3100), *range(0x3100, 0x110000, 997)] if not 0xD800 <= c < 0xE000]
+    return texts + [f"a{chr(c)} b{chr(c)}\n{chr(c)}  {chr(c)}" for c in [*range(0x800), *range(0x1600, 0x1900), *range(0x2000, 0x2100), *range(0x2fff, 0x3010), *range(0x3100, 0x110000, 4999)] if not 0xD800 <= c < 0xE000]
 
 
 @pytest.mark.parametrize("how", [{}, {"limit": 100, "pairs_bound": 10, "least_copies": 1}, {"limit": 0}])
@@ -102,6 +109,13 @@ def test_texts_match_both_libraries(spark, plain, how, monkeypatch):
     assert {k: v for k, v in got.items() if v != [want[k]]} == {} and len(got) == len(texts)
 
 
+def test_texts_of_one_short_hash_are_told_apart(spark, plain, monkeypatch):
+    monkeypatch.setattr(tokenalign, "hash64", lambda t: F.length(t).cast("long"))
+    texts = ["one two", "two one", "ene twe", "another text", *["the same again"] * 9]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert found(tokenalign.align_texts(df, limit=0, least_copies=3)) == {k: [v] for k, v in enumerate(plain(texts))}
+
+
 def test_rows_without_id_and_empty_tables(spark, plain):
     df = spark.createDataFrame([(None, "the end"), (None, None), (1, "the end"), (1, "the end")], "doc_id long, text string")
     one, _, _, none = plain(["the end"] * 3 + [None])
