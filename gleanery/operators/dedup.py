@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import product
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions.media import hamming
 from gleanery.operators.components import connected_components
+from gleanery.operators.skew import FEW_ROWS, LEAST_ROWS, join_spread
 from gleanery.session import cut
 
 METHODS = ("perceptual", "source_link", "sha256")
@@ -19,8 +20,9 @@ def stars(df: DataFrame, key: str, value: Column) -> DataFrame:
     """(u, v): each member of a group of equal, non-blank values with the group's least key. Two combinable aggregates: a
     hot value costs one row a task, and no pairs are made."""
     rows = df.select(F.col(key).alias("v"), value.alias("g")).where("g is not null and g <> ''")
-    first = rows.groupBy("g").agg(F.min("v").alias("u"), F.count("*").alias("n")).where("n > 1").select("g", "u")
-    return rows.join(first, "g").where("u <> v").select("u", "v")
+    first = cut(rows.groupBy("g").agg(F.min("v").alias("u"), F.count("*").alias("n")).where("n > 1"))
+    total = first.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return join_spread(rows, first, "g", "n", total).where("u <> v").select("u", "v")
 
 
 def near_pairs(df: DataFrame, hashes: list[str], threshold: int) -> DataFrame:
@@ -87,68 +89,95 @@ def best_canonical(members: DataFrame, group: str, key: str, width: str, height:
 
 
 def group_rows(found: DataFrame) -> DataFrame:
-    """One row for each group, with the key under which it is stored: its place by first member, method and canonical member. Groups are dealt by range and
-    numbered within each part, so no task holds them all."""
-    from pyspark.sql import Window
-
+    """One row for each group, with the key under which it is stored: its place by first member, method and canonical member."""
     groups = found.groupBy("cluster", "canonical", "method", "score").agg(F.count("*").alias("members"))
-    n = max(1, int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    parts = cut(groups.repartitionByRange(n, "cluster").withColumn("_part", F.spark_partition_id()))
-    sizes = {r._part: r.n for r in parts.groupBy("_part").agg(F.count("*").alias("n")).collect()}  # one row for each part
+    return placed(groups, "cluster").withColumn("group_key", F.format_string("g%06d-%s-%s", F.col("_place"), F.col("method"), F.col("canonical"))).drop("_place")
+
+
+def duplicate_report(found: DataFrame) -> DataFrame:
+    """(method, groups, members)."""
+    return found.groupBy("method").agg(F.count_distinct("cluster").alias("groups"), F.count("*").alias("members"))
+
+
+def placed(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` with ``_place``: its rows numbered from 0 in the order given. Rows are dealt by range and numbered within each part; only
+    the parts' sizes go to the driver. ``order`` must tell rows apart, else the parts' numbering isn't stable."""
+    n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = cut(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()))
+    sizes = dict(parts.groupBy("_part").agg(F.count("*")).collect())  # one row for each part
     before, total = [], 0
     for k in sorted(sizes):
-        before += [F.lit(k), F.lit(total)]
+        before += [F.lit(k), F.lit(total).cast("long")]
         total += sizes[k]
     start = F.element_at(F.create_map(*before), F.col("_part")) if before else F.lit(0)
-    place = start + F.row_number().over(Window.partitionBy("_part").orderBy("cluster")) - 1
-    return parts.withColumn("group_key", F.format_string("g%06d-%s-%s", place, F.col("method"), F.col("canonical"))).drop("_part")
+    return parts.withColumn("_place", start + F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1).drop("_part")
 
 
-def duplicate_report(found: DataFrame) -> DataFrame:
-    """(method, groups, members)."""
-    return found.groupBy("method").agg(F.count_distinct("cluster").alias("groups"), F.count("*").alias("members"))
+def _look_links(looks: DataFrame, aspect: float, threshold: int) -> DataFrame:
+    """(t, other), both ways: different looks (t, dhash, ahash, aspect) that are near. Aspects meet by shares as wide as the bound."""
+    h = F.struct("dhash", "ahash")
+    near = near_pairs(looks.select("dhash", "ahash"), ["dhash", "ahash"], threshold).select("a", "b")
+    both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    share = F.floor(F.col("aspect") / aspect)
+    mine = looks.select(h.alias("a"), "t", F.col("aspect").alias("w"), F.explode(F.array(share - 1, share, share + 1)).alias("share"))
+    theirs = looks.select(h.alias("b"), F.col("t").alias("other"), F.col("aspect").alias("x"), share.alias("share"))
+    same = mine.withColumn("b", F.col("a")).join(theirs, ["b", "share"])
+    across = mine.join(both, "a").join(theirs, ["b", "share"])
+    close = (F.abs(F.col("w") - F.col("x")) < aspect) & (F.col("t") != F.col("other"))
+    return same.select("t", "other", "w", "x").unionByName(across.select("t", "other", "w", "x")).where(close).select("t", "other")
 
 
-def near_dup_filter(df: DataFrame, seed: str = "42", aspect: float = 0.02, threshold: int = 3, compat_order: str | None = None) -> DataFrame:
+def near_dup_filter(df: DataFrame, seed: str = "42", aspect: float = 0.02, threshold: int = 3, compat_order: str | None = None, least: int = LEAST_ROWS, few: int = FEW_ROWS) -> DataFrame:
     """``df`` (key, observation, pixels, aspect, ahash, dhash) with ``reason``: null if kept, else duplicate_observation,
-    duplicate_pixels or possible_near_duplicate, each against rows kept before it in seeded order.
-
-    Only rows in one component of the three kinds of links can affect each other; each component is run through in order. Order:
-    sha256 of seed and key, or the column ``compat_order``."""
+    duplicate_pixels or possible_near_duplicate, each against rows kept before it in seeded order (sha256 of seed and key, or the column ``compat_order``; ties
+    by key, which tells rows apart).
+
+    A row is kept if no neighbour before it is: the first independent set in that order. It is found in rounds. A row is kept once all its neighbours before it are
+    rejected, and rejected once one of them is kept; both show from the least places of undecided and kept rows with its observation, its pixels, its look (hashes and
+    aspect) and the looks near that. So a group of rows that are all alike costs aggregates that combine map-side, no pairs; a
+    kept row leaves after the round in which it has rejected its neighbours. In random order rounds grow with the logarithm of the rows. Null
+    and blank observations and pixels are nobody's, and looks need both hashes and an aspect."""
     rank = F.col(compat_order) if compat_order else F.sha2(F.concat(F.lit(f"{seed}:"), F.col("key").cast("string")), 256)
-    staged = cut(df.withColumn("_rank", rank))
-    links = stars(staged, "key", F.col("observation").cast("string")).unionByName(stars(staged, "key", F.col("pixels")))
-    rep = staged.where("ahash is not null and dhash is not null").groupBy("dhash", "ahash").agg(F.min("key").alias("rep"))
-    same = staged.join(rep, ["dhash", "ahash"]).where("rep <> key").select(F.col("rep").alias("u"), F.col("key").alias("v"))
-    at = rep.select(F.struct("dhash", "ahash").alias("h"), "rep")
-    near = near_pairs(rep, ["dhash", "ahash"], threshold).join(at.toDF("a", "u"), "a").join(at.toDF("b", "v"), "b").select("u", "v")
-    groups = connected_components(cut(links.unionByName(same).unionByName(near)).distinct())
-    member = staged.join(groups, F.col("key") == F.col("node"))
-
-    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
-
-        pdf = pdf.sort_values(["_rank", "key"])
-        seen, pixels, out = set(), set(), []
-        a, d, w = (np.zeros(len(pdf), t) for t in ("u8", "u8", "f8"))
-        n = 0
-        for o, p, ah, dh, asp in zip(pdf["observation"], pdf["pixels"], pdf["ahash"], pdf["dhash"], pdf["aspect"], strict=True):
-            ah, dh = np.array([ah, dh], "i8").view("u8")
-            if o in seen:
-                why = "duplicate_observation"
-            elif p in pixels:
-                why = "duplicate_pixels"
-            elif n and bool(((np.abs(w[:n] - asp) < aspect) & (np.bitwise_count(d[:n] ^ dh) <= threshold) & (np.bitwise_count(a[:n] ^ ah) <= threshold)).any()):
-                why = "possible_near_duplicate"
-            else:
-                why = None
-                seen.add(o)
-                pixels.add(p)
-                a[n], d[n], w[n] = ah, dh, asp
-                n += 1
-            out.append(why)
-        return pd.DataFrame({"key": pdf["key"], "reason": pd.Series(out, index=pdf.index, dtype=object)})
-
-    kind = staged.schema["key"].dataType.simpleString()
-    found = member.groupBy("component").applyInPandas(greedy, f"key {kind}, reason string")
-    return staged.drop("_rank").join(found, "key", "left")
+    known = lambda c: F.when(F.trim(F.col(c).cast("string")) != "", F.col(c).cast("string"))
+    rows = placed(df.select("key", rank.alias("_rank"), known("observation").alias("o"), known("pixels").alias("p"), "dhash", "ahash", F.col("aspect").cast("double").alias("aspect")), "_rank", "key")
+    rows = cut(rows.withColumn("_look", F.struct("dhash", "ahash", "aspect")))
+    # A look is named by the first place that has it.
+    complete = F.col("dhash").isNotNull() & F.col("ahash").isNotNull() & F.col("aspect").isNotNull() & ~F.isnan("aspect")
+    looks = cut(rows.where(complete).groupBy("dhash", "ahash", "aspect").agg(F.min("_place").alias("t"), F.count("*").alias("n")))
+    total = rows.count()
+    links = cut(_look_links(looks.drop("n"), aspect, threshold).distinct())
+    named = looks.select(F.struct("dhash", "ahash", "aspect").alias("_look"), "t", "n")
+    with_look = join_spread(rows.where(complete), named, "_look", "n", total, least, few=few)
+    # What nobody shares has a name of its own, so that every row meets all three groups.
+    alone = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.concat(F.lit("#"), F.col("_place").cast("string")))
+    rows = with_look.select("key", "_place", "o", "p", "t").unionByName(rows.where(~F.coalesce(complete, F.lit(False))).select("key", "_place", "o", "p", F.col("_place").alias("t")))
+    rows = cut(rows.select("key", "_place", alone("o").alias("o"), alone("p").alias("p"), "t"))
+
+    def told(now: DataFrame) -> DataFrame:
+        """``now`` with the least place of undecided or kept rows (m) and of kept ones (k) in each of its groups: m_o, k_o, m_p, k_p, m_t, k_t."""
+        kept = F.min(F.when(F.col("s") == 1, F.col("_place")))
+        size = now.count()
+        for g in ("o", "p", "t"):
+            own = now.groupBy(g).agg(F.min("_place").alias(f"m_{g}"), kept.alias(f"k_{g}"), F.count("*").alias("n"))
+            if g == "t":
+                near = links.join(own.drop("n").withColumnRenamed("t", "other"), "other").groupBy("t").agg(F.min("m_t").alias("m"), F.min("k_t").alias("k"))
+                own = own.join(near, "t", "left").select("t", F.least("m_t", "m").alias("m_t"), F.least("k_t", "k").alias("k_t"), "n")
+            now = cut(join_spread(now, cut(own), g, "n", size, least, few=few))
+        return now
+
+    now, kept_all = rows.withColumn("s", F.lit(0)), []
+    while now.where("s = 0").limit(1).count():
+        seen = told(now)
+        gone = F.least("k_o", "k_p", "k_t") < F.col("_place")
+        state = F.when(gone, -1).when(F.col("_place") == F.least("m_o", "m_p", "m_t"), 1).otherwise(0)
+        new = cut(seen.where("s = 0").withColumn("s", state).where("s >= 0").select(rows.columns + ["s"]))
+        kept_all.append(new.where("s = 1").select(rows.columns))
+        now = new
+    if not kept_all:
+        return df.withColumn("reason", F.lit(None).cast("string"))
+    kept = cut(reduce(DataFrame.unionByName, kept_all).select("_place").withColumn("s", F.lit(1)))
+    marked = told(cut(rows.join(kept, "_place", "left").withColumn("s", F.coalesce("s", F.lit(0)))))
+    why = F.when(F.col("s") == 1, None)
+    for g, reason in (("o", "duplicate_observation"), ("p", "duplicate_pixels"), ("t", "possible_near_duplicate")):
+        why = why.when(F.col(f"k_{g}") < F.col("_place"), reason)
+    return df.join(marked.select("key", why.alias("reason")), "key", "left")

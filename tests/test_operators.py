@@ -62,6 +62,36 @@ def test_near_dup_filter_matches_a_loop(spark):
     assert got == want and len(set(want.values())) == 4
 
 
+def plain_filter(rows):
+    """(key, observation, pixels, aspect, ahash, dhash) in order -> reason by key."""
+    far = lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count()
+    kept, out = [], {}
+    for x in rows:
+        looks = None not in x[3:]
+        same = lambda k, x=x: any(x[k] == y[k] for y in kept) if x[k] not in (None, "") else False
+        near = looks and any(None not in y[3:] and abs(x[3] - y[3]) < 0.02 and far(x[4], y[4]) <= 3 and far(x[5], y[5]) <= 3 for y in kept)
+        out[x[0]] = "duplicate_observation" if same(1) else "duplicate_pixels" if same(2) else "possible_near_duplicate" if near else None
+        if not out[x[0]]:
+            kept.append(x)
+    return out
+
+
+@pytest.mark.parametrize("how", [{}, {"least": 3, "few": 0}])
+def test_near_dup_filter_of_one_large_component(spark, how):
+    """Rows that hang together, with a hot observation, hot pixels, a hot look, nulls and signed hashes."""
+    rng = random.Random(5)
+    rows = []
+    for k in range(2500):
+        hot = k % 3 == 0
+        a, d = (0, 0) if hot and k % 2 else (rng.choice([1, 3, 7, 15, -1, -2, 1 << 40]), rng.choice([0, 5, 2**63 - 1, -(2**63)]) ^ (1 << rng.randrange(62)))
+        rows.append((k, "hot" if hot and k % 4 else rng.choice([None, "", f"o{rng.randrange(900)}"]), "px" if k % 50 == 7 else rng.choice([None, f"p{rng.randrange(1500)}"]), rng.choice([1.0, 1.019, 1.02, 1.04, -0.5, None]), rng.choice([a, a, a, None]), d))
+    df = spark.createDataFrame(rows, "key int, observation string, pixels string, aspect double, ahash bigint, dhash bigint").withColumn("r", F.col("key") * 1237 % 2500)
+    got = {r.key: r.reason for r in dedup.near_dup_filter(df.repartition(5), compat_order="r", **how).collect()}
+    want = plain_filter(sorted(rows, key=lambda r: r[0] * 1237 % 2500))
+    assert got == want and len(set(want.values())) == 4
+    assert dedup.near_dup_filter(df.limit(0)).count() == 0
+
+
 def test_split_treats_unknown_observations_as_one(spark):
     rows = [("a", "s1", None, "10", 200), ("a", "s2", None, "9", 200), ("a", "s3", 5, "91", 200), ("a", "s4", 5, "92", 100), ("b", "t1", 7, "1", 10)]
     df = spark.createDataFrame(rows, "taxon string, sha256 string, observation_id bigint, source_media_id string, width int")
