@@ -5,7 +5,7 @@ signs that stand for letters (``1``, ``i`` and ``l`` become one class). Exceptio
 automaton and cancel the lexicon hits that they cover. The weights of the hits left, divided by a power of the
 text's length in words, go through a logistic curve to give the score.
 
-Lexicon, weights, exceptions and curve are learned from a bounded sample of labelled rows; with no labels a
+Entries are words, phrases and beginnings of words, so that an ending never seen is still a hit. Lexicon, weights, exceptions and curve are learned from a bounded sample of labelled rows; with no labels a
 short built-in lexicon is used. Labelled rows that repeat a text count once.
 
 Null and empty texts, and those without words, get the score of no hits, which an empty table of documents has none of. Long texts are matched whole, in time in
@@ -34,6 +34,8 @@ from gleanery.llm.common import labelled_sample, small_batches, table
 TRAIN_DOCS = 6000
 #: A lexicon word needs so many different preceding words in toxic rows, and this log odds ratio at least.
 MIN_CONTEXTS, MIN_LOG_ODDS = 5, 2.5
+#: Letters of a beginning that counts as an entry, and the different words that must share it; parts into which the rows are dealt to fit the curve.
+MIN_STEM, MAX_STEM, MIN_ENDINGS, CROSS = 4, 12, 3, 3
 THRESHOLD = 0.7
 BUILT_IN = ("idiot", "moron", "stupid", "scum", "loser", "pathetic", "worthless", "disgusting")
 BUILT_IN_EXCEPTIONS = ("not stupid", "not an idiot", "idiot proof", "stupid simple")
@@ -83,12 +85,17 @@ class Lexicon:
     intercept: float = -4.0
 
 
+def entry(w: str) -> str:
+    """What the automaton looks for: a folded word or phrase with its spaces, of a beginning (``stem*``) the space before it only."""
+    return fold_text(w[:-1]).rstrip() if w.endswith("*") else fold_text(w)
+
+
 class Matcher:
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
         self.automaton = ahocorasick.Automaton()
         for w, weight in lexicon.weights.items():
-            self.automaton.add_word(fold_text(w), (len(fold_text(w)), weight))
+            self.automaton.add_word(entry(w), (len(entry(w)), weight))
         for phrase in lexicon.exceptions:
             self.automaton.add_word(fold_text(phrase), (len(fold_text(phrase)), None))
         self.empty = not len(self.automaton)
@@ -96,7 +103,7 @@ class Matcher:
             self.automaton.make_automaton()
 
     def mass(self, text: str | None) -> tuple[float, int]:
-        """(sum of the weights of hits that no exception covers, number of words)."""
+        """(sum of the weights of hits that no exception covers, number of words). Of entries that begin at one place the greatest weight counts."""
         folded = fold_text(text or "")
         words = folded.count(" ") - 1
         if self.empty or words < 1:
@@ -104,7 +111,10 @@ class Matcher:
         hits, excused = [], []
         for end, (n, weight) in self.automaton.iter(folded):
             (hits if weight is not None else excused).append((end - n + 1, end, weight))
-        return sum(w for *_, w in (_uncovered(hits, excused) if excused else hits)), words
+        best: dict[int, float] = {}
+        for start, _, weight in _uncovered(hits, excused) if excused else hits:
+            best[start] = max(weight, best.get(start, weight))
+        return sum(best.values()), words
 
     def score(self, text: str | None) -> float:
         mass, words = self.mass(text)
@@ -131,13 +141,25 @@ def curve(lex: Lexicon, mass: float, words: int) -> float:
 
 
 def learn(sample: list[tuple[str, int]]) -> Lexicon:
-    """A word's weight is its smoothed log odds ratio. It counts once for each different preceding word, so
-    copies of one text don't make its words look typical. Texts are held folded, words of clean rows are counted only if toxic rows
-    make them candidates: the driver's memory stays near the sample's size."""
+    """Weights from all rows; power and curve from masses that rows get by weights learned without them (CROSS parts), so that rows seen don't look surer than
+    others. Rows of only one label give the built-in lexicon."""
     seen: set[str] = set()
     rows = [(fold_text(t), y) for t, y in sample if not (t in seen or seen.add(t))]
     if len({y for _, y in rows}) < 2:
         return Lexicon({fold_text(w).strip(): 2.0 for w in BUILT_IN}, list(BUILT_IN_EXCEPTIONS))
+    found: list[tuple[float, int, int]] = []
+    for part in range(CROSS):
+        matcher = Matcher(weigh([r for k, r in enumerate(rows) if k % CROSS != part]))
+        found += [(*matcher.mass(text), y) for text, y in rows[part::CROSS]]
+    return _fitted(weigh(rows), found)
+
+
+def weigh(rows: list[tuple[str, int]]) -> Lexicon:
+    """Entries, weights and exceptions from folded texts. A word's weight is its smoothed log odds ratio. It counts once for each different preceding word, so
+    copies of one text don't make its words look typical. A beginning that words of toxic rows share is an entry likewise (``stem*``) if it counts for more than
+    its own beginnings; a word is one if it counts for more than those. Words of clean rows are counted only if toxic rows
+    make them candidates: the driver's memory stays near the sample's size."""
+    stems_of = lambda w: [f"{w[:n]}*" for n in range(MIN_STEM, min(len(w), MAX_STEM + 1))]
     size = [0, 0]
     toxic: dict[str, set[str]] = defaultdict(set)
     for text, y in rows:
@@ -145,32 +167,55 @@ def learn(sample: list[tuple[str, int]]) -> Lexicon:
         size[y] += len(words)
         for prev, w in zip(["", *words], words, strict=False) if y else ():
             toxic[w].add(prev)
+    stems: dict[str, set[str]] = defaultdict(set)
+    endings: Counter = Counter()
+    for w, before in toxic.items():
+        for stem in stems_of(w):
+            stems[stem] |= before
+            endings[stem] += 1
     candidates = {w: len(c) for w, c in toxic.items() if len(c) >= MIN_CONTEXTS}
-    del toxic
+    candidates |= {w: len(c) for w, c in stems.items() if len(c) >= MIN_CONTEXTS and endings[w] >= MIN_ENDINGS}
+    del toxic, stems
     clean: dict[str, set[str]] = {w: set() for w in candidates}
+    # More contexts in clean rows than these, and an entry fails the test whatever follows: it needn't be followed on.
+    most = {w: (n + 0.5) * (size[0] + 1) / (size[1] + 1) / math.exp(MIN_LOG_ODDS) - 0.5 for w, n in candidates.items()}
+    vocabulary: set[str] = set()
+    for text, _ in rows:
+        vocabulary.update(text.split())
+    known = {w: own for w in vocabulary if (own := [k for k in (w, *stems_of(w)) if k in clean])}  # of each word, what it counts for
+    failed: set[str] = set()
     for text, y in rows:
         if not y:
             words = text.split()
-            for prev, w in zip(["", *words], words, strict=False):
-                # A word with many more contexts in clean rows than it needs to fail the test needn't be followed on.
-                if w in clean and len(clean[w]) < 4 * candidates[w] * (1 + size[0] // max(size[1], 1)):
-                    clean[w].add(prev)
-    weights = {}
-    for w, n in candidates.items():
-        odds = math.log((n + 0.5) / (size[1] + 1)) - math.log((len(clean[w]) + 0.5) / (size[0] + 1))
-        if odds >= MIN_LOG_ODDS:
-            weights[w] = odds
-    del clean
+            for prev, w in [(prev, w) for prev, w in zip(["", *words], words, strict=False) if w in known]:
+                own = known[w]
+                for k in own:
+                    clean[k].add(prev)
+                    if len(clean[k]) > most[k]:
+                        failed.add(k)
+                if not failed.isdisjoint(own):
+                    known[w] = [k for k in own if k not in failed]
+    odds = {w: math.log((n + 0.5) / (size[1] + 1)) - math.log((len(clean[w]) + 0.5) / (size[0] + 1)) for w, n in candidates.items() if w not in failed}
+    del clean, known
+    weights: dict[str, float] = {}
+    for w in sorted((w for w in odds if odds[w] >= MIN_LOG_ODDS), key=lambda w: (not w.endswith("*"), len(w), w)):
+        stem = w.removesuffix("*")
+        if odds[w] > max((weights.get(f"{stem[:n]}*", 0.0) for n in range(MIN_STEM, len(stem))), default=0.0):
+            weights[w] = odds[w]
     weights = weights or {fold_text(w).strip(): 2.0 for w in BUILT_IN}
     # A neighbour pair that holds a lexicon word, recurs in clean rows and never occurs in toxic ones excuses the word.
     pairs: tuple[Counter, Counter] = (Counter(), Counter())
+    listed = {w for w in vocabulary if w in weights or any(f"{w[:n]}*" in weights for n in range(MIN_STEM, len(w) + 1))}
     for text, y in rows:
         words = text.split()
-        pairs[y].update({f"{a} {b}" for a, b in zip(words, words[1:], strict=False) if a in weights or b in weights})
-    exceptions = sorted([p for p, n in pairs[0].items() if n >= 3 and p not in pairs[1]] + list(BUILT_IN_EXCEPTIONS))
+        if not listed.isdisjoint(words):
+            pairs[y].update({f"{a} {b}" for a, b in zip(words, words[1:], strict=False) if a in listed or b in listed})
+    return Lexicon(weights, sorted([p for p, n in pairs[0].items() if n >= 3 and p not in pairs[1]] + list(BUILT_IN_EXCEPTIONS)))
+
+
+def _fitted(lexicon: Lexicon, found: list[tuple[float, int, int]]) -> Lexicon:
+    """The lexicon with the power and the logistic curve that fit (mass, words, label) best."""
     best = None
-    matcher = Matcher(Lexicon(weights, exceptions))
-    found = [(*matcher.mass(text), y) for text, y in rows]
     y = np.array([f[2] for f in found], float)
     for power in (0.0, 0.25, 0.5, 0.75, 1.0):
         x = np.array([math.log1p(m / max(n, 1) ** power) for m, n, _ in found])
@@ -188,7 +233,7 @@ def learn(sample: list[tuple[str, int]]) -> Lexicon:
         if best is None or loss < best[0] - 1e-9:
             best = loss, power, b / scale, a
     _, power, slope, intercept = best
-    return Lexicon(weights, exceptions, power, float(slope), float(intercept))
+    return Lexicon(lexicon.weights, lexicon.exceptions, power, float(slope), float(intercept))
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, bound: int = TRAIN_DOCS) -> Lexicon:
