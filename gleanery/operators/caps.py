@@ -1,29 +1,34 @@
 """Greedy capped selection: rows are taken in order, and a row that one cap rejects uses up no other.
 
 ``select`` is exact at any size. Where every unit of work (a group whose counters no other group shares) is at most
-``in_memory`` rows, one ordered pass per group does it. Otherwise rows are decided in rounds of window sums: a row is taken
-once even all undecided rows before it couldn't fill any of its caps, and rejected once a cap is full of taken ones. The
-first undecided row can always be decided, so rounds end; no group is ever held in a task's memory.
+``in_memory`` rows, one ordered pass per group does it. Otherwise rows are numbered in their order and dealt into parts of ``part_rows``, which are
+settled side by side, each from the counters of its keys that the parts before it leave. These are first taken to be nothing; then what the parts took is added up, key by
+key over the parts, and parts to which some counter, up to its cap, comes otherwise than they had it are settled again, until none is. The first part is right from the
+start, and each round at least the next one that was wrong; then counters and rows agree all along, which only the plain loop's result does. Keys whose
+cap is full tell no more, so it mostly takes a few rounds. No task holds more than a part, whatever key its rows have.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions import licenses, media
+from gleanery.operators.dedup import placed
 from gleanery.session import cut, uncut
 
-IN_MEMORY_ROWS = 1_000_000
+#: Rows of a group that one ordered pass may take; those of a selection whose caps run across all groups; rows of a part.
+IN_MEMORY_ROWS, ALONE_ROWS, PART_ROWS = 100_000, 20_000, 20_000
 #: Rows that an ordered pass over several small groups should take.
 PASS_ROWS = 20_000
 
 
-def select(df: DataFrame, order: list[str], caps: dict[str, tuple[list[str], int]], within: list[str] | None = None, in_memory: int = IN_MEMORY_ROWS) -> DataFrame:
+def select(df: DataFrame, order: list[str], caps: dict[str, tuple[list[str], int]], within: list[str] | None = None, in_memory: int | None = None, part_rows: int = PART_ROWS) -> DataFrame:
     """``df`` with ``reason``: null for rows taken, else the first cap (in the order given) that was full.
 
     ``caps``: name -> (key columns, most rows taken for each key). Key columns are compared as text, null as a key of its
@@ -37,11 +42,13 @@ def select(df: DataFrame, order: list[str], caps: dict[str, tuple[list[str], int
     names = list(caps)
     ordered = [*order, "_rest", "_uid"]
     slim = tagged.select(*dict.fromkeys([*(within or []), *ordered, *keys]))
+    if in_memory is None:
+        in_memory = IN_MEMORY_ROWS if within else ALONE_ROWS
     if (biggest or 0) <= in_memory:
         # Small groups go several to a pass: their counters have keys of their own.
         found = _in_groups(slim, ordered, names, limits, within or [], 1 + (total or 0) // PASS_ROWS)
     else:
-        found = _in_rounds(slim, ordered, names, limits)
+        found = _in_parts(slim, ordered, names, limits, part_rows)
     return tagged.join(found, "_uid").drop("_uid", "_rest", *keys)
 
 
@@ -63,30 +70,51 @@ def _in_groups(slim: DataFrame, ordered: list[str], names: list[str], limits: li
     return slim.withColumn("_pass", share).groupBy("_pass").applyInPandas(greedy, "_uid long, reason string")
 
 
-def _in_rounds(slim: DataFrame, ordered: list[str], names: list[str], limits: list[int]) -> DataFrame:
-    def before(i: int, what: Column) -> Column:
-        w = Window.partitionBy(f"_k{i}").orderBy(*ordered).rowsBetween(Window.unboundedPreceding, -1)
-        return F.coalesce(F.sum(what).over(w), F.lit(0))
-
-    everything = slim
-    now = cut(slim.withColumn("_s", F.lit(0)))  # 0 undecided, 1 taken; rejected rows are left out
-    while now.where("_s = 0").limit(1).count():
-        taken, open_ = F.col("_s"), 1 - F.col("_s")
-        sums = now.withColumns({f"_t{i}": before(i, taken) for i in range(len(limits))} | {f"_o{i}": before(i, open_) for i in range(len(limits))})
-        full, sure = F.lit(False), F.lit(True)
-        for i, n in enumerate(limits):
-            full = full | (F.col(f"_t{i}") >= n)
-            sure = sure & (F.col(f"_t{i}") + F.col(f"_o{i}") < n)
-        state = F.when((F.col("_s") == 1) | sure, 1).when(full, -1).otherwise(0)
-        new = cut(sums.withColumn("_s", state).where("_s >= 0").drop(*[f"_{x}{i}" for x in "to" for i in range(len(limits))]))
+def _in_parts(slim: DataFrame, ordered: list[str], names: list[str], limits: list[int], part_rows: int) -> DataFrame:
+    keys, used = [f"_k{i}" for i in range(len(limits))], [f"_b{i}" for i in range(len(limits))]
+
+    def settle(pdf: pd.DataFrame) -> pd.DataFrame:
+        """A part's rows in order, from the counters that its keys come with."""
+        pdf = pdf.sort_values("_place")
+        counts: list[dict] = [{} for _ in limits]
+        states = []
+        for row in zip(*[pdf[k] for k in keys], *[pdf[b] for b in used], strict=True):
+            own, come = row[: len(limits)], row[len(limits) :]
+            now = [counts[i].setdefault(k, come[i]) for i, k in enumerate(own)]
+            full = next((i for i, n in enumerate(now) if n >= limits[i]), -1)
+            if full < 0:
+                for i, k in enumerate(own):
+                    counts[i][k] += 1
+            states.append(full)
+        return pdf.assign(_full=pd.Series(states, index=pdf.index, dtype="int32"))
+
+    rows = cut(placed(slim, *ordered).select("_uid", "_place", F.floor(F.col("_place") / part_rows).alias("_part"), *keys).withColumns({b: F.lit(0).cast("long") for b in used}))
+    settled = lambda df: df.groupBy("_part").applyInPandas(settle, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", _full int")
+    now = cut(settled(rows))
+    while True:
+        come = now
+        for i, k in enumerate(keys):
+            taken = now.groupBy(k, "_part").agg(F.sum((F.col("_full") < 0).cast("long")).alias("_n"))
+            earlier = Window.partitionBy(k).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+            # A counter says no more than that the cap is full.
+            before = taken.select(k, "_part", F.least(F.coalesce(F.sum("_n").over(earlier), F.lit(0)), F.lit(limits[i])).alias(f"_new{i}"))
+            come = come.join(before, [k, "_part"])
+        other = reduce(Column.__or__, [F.col(f"_new{i}") != F.col(b) for i, b in enumerate(used)])
+        come = cut(come)
+        parts = cut(come.where(other).select("_part").distinct())
+        if not parts.limit(1).count():
+            break
+        again = come.join(F.broadcast(parts), "_part", "left_semi")  # a number for each part_rows rows
+        again = again.select(*[c for c in rows.columns if c not in used], *[F.col(f"_new{i}").alias(b) for i, b in enumerate(used)])
+        same = come.join(F.broadcast(parts), "_part", "left_anti").select(now.columns)
+        new = cut(same.unionByName(settled(again.select(rows.columns))))
         uncut(now)
+        uncut(come)
         now = new
-    marked = everything.join(now.select("_uid", F.lit(1).alias("_s")), "_uid", "left").withColumn("_s", F.coalesce("_s", F.lit(0)))
-    counted = marked.withColumns({f"_t{i}": before(i, F.col("_s")) for i in range(len(limits))})
-    reason = F.when(F.col("_s") == 1, None)
-    for i, n in enumerate(limits):
-        reason = reason.when(F.col(f"_t{i}") >= n, names[i])
-    return counted.select("_uid", reason.alias("reason"))
+    reason = F.lit(None).cast("string")
+    for i, name in enumerate(names):
+        reason = F.when(F.col("_full") == i, name).otherwise(reason)
+    return now.select("_uid", reason.alias("reason"))
 
 
 def per_taxon(df: DataFrame, caps: dict[str, int] | None = None, **kw) -> DataFrame:

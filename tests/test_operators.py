@@ -16,10 +16,23 @@ def test_caps_in_memory_in_rounds_and_plain(spark):
     limits = {"t": (["taxon"], 20), "o": (["obs"], 6), "p": (["observer"], 30)}
     want = dict(zip([r[0] for r in sorted(rows, key=lambda r: (r[1], r[0]))], caps.greedy_reference([dict(zip(("k", "taxon", "obs", "observer"), r)) for r in sorted(rows, key=lambda r: (r[1], r[0]))], limits)))
     for in_memory in (10_000, 0):
-        got = {r.k: r.reason for r in caps.select(df, ["taxon", "k"], limits, in_memory=in_memory).collect()}
+        got = {r.k: r.reason for r in caps.select(df, ["taxon", "k"], limits, in_memory=in_memory, part_rows=70).collect()}
         assert got == want and len(set(want.values())) == 4
 
 
+def test_caps_across_groups_with_a_hot_key(spark):
+    """A third of all rows have one observer: no window holds more of them than a part, and the result is the plain loop's."""
+    rng = random.Random(6)
+    rows = [(i, rng.randrange(300), rng.randrange(900), "unknown" if i % 3 == 0 else f"p{rng.randrange(40)}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "k int, taxon int, obs int, observer string").repartition(5)
+    limits = {"t": (["taxon"], 12), "o": (["obs"], 4), "p": (["observer"], 90)}
+    ordered = sorted(rows, key=lambda r: (r[1], r[0]))
+    want = dict(zip([r[0] for r in ordered], caps.greedy_reference([dict(zip(("k", "taxon", "obs", "observer"), r)) for r in ordered], limits)))
+    got = {r.k: r.reason for r in caps.select(df, ["taxon", "k"], limits, in_memory=0, part_rows=400).collect()}
+    assert got == want and len(set(want.values())) == 4
+    assert caps.select(df.limit(0), ["taxon", "k"], limits, in_memory=0).count() == 0
+
+
 def test_release_selection_filters_before_caps(spark):
     rows = [("a", "s1", "CC-BY-4.0", "o1", None, "p", None), ("a", "s2", "CC-BY-SA-4.0", "o1", None, "p", None), ("a", "s3", "CC-BY-SA-4.0", "o1", None, "p", True), ("", "s4", "CC0-1.0", None, None, None, None), ("b", "s5", "nope", None, None, None, None), ("b", "s6", "CC0-1.0", None, "r", None, None), ("b", "s7", "CC0-1.0", None, "r", None, None), ("c", "s8", "CC0-1.0", None, None, None, None)]
     df = spark.createDataFrame(rows, "taxon string, sha256 string, license string, observation_id string, source_record string, observer string, license_review_ok boolean")
