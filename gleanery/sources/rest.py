@@ -2,21 +2,26 @@
 
 ``scan_service`` reads a service of SERVICES through an injected transport, a function (or its name, ``module:name``) that
 takes (url, params) and returns (status, headers, body), so that no network library is assumed. Services with numbered pages or offsets are
-read by one task for each range of places; those that hand out a token, or are followed by the last id, by one task. Every row carries the
+read by one task for each range of places; those that hand out a token, or are followed by the last id, by one task. Tasks share one rate: of n tasks each
+calls at the beginning of every n-th interval of the clock that all machines show. Every row carries the
 cursor from which a later scan goes on. Pages saved earlier are read by ``scan_pages``, as any file that Spark reads.
+
+``stream_service`` follows a service: offsets are cursors, so a stream that is started again on its checkpoint goes on behind the last page that it has committed. A service that
+allows a call a second gains nothing by several readers, so one reads, a few pages a batch.
 """
 
 from __future__ import annotations
 
 import importlib
 import json
+import math
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
 Get = Callable[[str, dict], tuple[int, dict, str]]
 
@@ -73,16 +78,25 @@ class Caller:
     """Calls with a least interval between them; 429, server errors and broken connections are tried again, after the wait that the answer asks for or one that
     doubles."""
 
-    def __init__(self, get: Get, per_second: float = 1.0, retries: int = 4, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
-        self.get, self.gap, self.retries, self.clock, self.sleep = get, 1 / per_second, retries, clock, sleep
+    def __init__(self, get: Get, per_second: float = 1.0, retries: int = 4, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep, turn: tuple[int, int] = (0, 1)):
+        self.get, self.gap, self.retries, self.clock, self.sleep, self.turn = get, 1 / per_second, retries, clock, sleep, turn
         self.free = float("-inf")
 
+    def wait(self) -> None:
+        """Until the interval since the last call is over; among several callers (``turn``: which of how many), until the beginning of an interval that is this one's."""
+        k, n = self.turn
+        if n > 1:
+            now = self.clock()
+            own = (math.floor(now / self.gap - k) // n + 1) * n + k  # the next interval whose number is k modulo n
+            self.sleep(own * self.gap - now)
+        elif (early := self.free - self.clock()) > 0:
+            self.sleep(early)
+        self.free = self.clock() + self.gap
+
     def __call__(self, url: str, params: dict) -> dict:
         wait = 1.0
         for left in range(self.retries, -1, -1):
-            if (early := self.free - self.clock()) > 0:
-                self.sleep(early)
-            self.free = self.clock() + self.gap
+            self.wait()
             asked = ""
             try:
                 status, headers, body = self.get(url, params)
@@ -127,8 +141,8 @@ def follow(service: Service, call: Caller, options: dict, cursor: dict, most_pag
 
 
 class Places(InputPartition):
-    def __init__(self, cursor: dict, pages: int | None):
-        super().__init__(json.dumps([cursor, pages]))
+    def __init__(self, cursor: dict, pages: int | None, turn: tuple[int, int] = (0, 1)):
+        super().__init__(json.dumps([cursor, pages, turn]))
 
 
 class PagedReader(DataSourceReader):
@@ -146,15 +160,62 @@ class PagedReader(DataSourceReader):
         size = question(s, self.options)[s.size]
         pages, step = -(-self.most // size), size if s.step == "size" else s.step
         start = self.cursor.get("place", s.first)
-        return [Places({"place": start + k * step}, min(self.each, pages - k)) for k in range(0, pages, self.each)] or [Places({"place": start}, 0)]
+        tasks = range(0, pages, self.each)
+        return [Places({"place": start + k * step}, min(self.each, pages - k), (i, len(tasks))) for i, k in enumerate(tasks)] or [Places({"place": start}, 0)]
 
     def read(self, partition: Places) -> Iterator[tuple[str, str]]:
-        call = Caller(self.get, float(self.options.get("perSecond", 1)), int(self.options.get("retries", 4)))
-        cursor, pages = json.loads(partition.value)
+        cursor, pages, turn = json.loads(partition.value)
+        clock = time.time if turn[1] > 1 else time.monotonic  # several tasks go by the clock that they have in common
+        call = Caller(self.get, float(self.options.get("perSecond", 1)), int(self.options.get("retries", 4)), clock, turn=tuple(turn))
         for record, after in follow(self.service, call, self.options, cursor, pages):
             yield json.dumps(record, ensure_ascii=False), json.dumps(after)
 
 
+class PagedStream(SimpleDataSourceStreamReader):
+    """A service as a stream of pages. An offset is the cursor behind the last record: the last id, the number of records, or the service's token; at the end of a service that
+    hands out tokens it stays. A batch has ``pagesPerBatch`` pages at most."""
+
+    def __init__(self, options: dict, get: Get):
+        self.options, self.service = options, SERVICES[options["service"]]
+        self.call = Caller(get, float(options.get("perSecond", 1)), int(options.get("retries", 4)))
+        self.pages = int(options.get("pagesPerBatch", 10))
+
+    def initialOffset(self) -> dict:
+        # Numbered pages would shift as records come in: such a service is followed by its ids.
+        start = {"after": 0} if self.service.after else {"place": self.service.first}
+        return json.loads(self.options.get("cursor", "{}")) or start
+
+    def _rows(self, start: dict, most_pages: int | None) -> Iterator[tuple[dict, dict]]:
+        """(record, cursor behind it)."""
+        if start.get("ended"):
+            return
+        for n, (record, behind) in enumerate(follow(self.service, self.call, self.options, start, most_pages), 1):
+            if "after" in start:
+                yield record, {"after": record["id"]}
+            elif self.service.step == "size":
+                yield record, {"place": start["place"] + n}
+            else:
+                yield record, behind if behind["place"] is not None else {"ended": True, "records": start.get("records", 0) + n}
+
+    def read(self, start: dict) -> tuple[Iterator[tuple[str, str]], dict]:
+        rows = list(self._rows(start, self.pages))  # a few pages
+        return iter([(json.dumps(r, ensure_ascii=False), json.dumps(c)) for r, c in rows]), rows[-1][1] if rows else start
+
+    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple[str, str]]:
+        """The same rows again, for a batch that broke off after its offset was written."""
+        last = False
+        for record, cursor in self._rows(start, None):
+            if "after" in end and record["id"] > end["after"] or "place" in end and isinstance(end["place"], int) and self.service.step == "size" and cursor["place"] > end["place"]:
+                return
+            if self.service.step is None and last and cursor != end:
+                return
+            last = cursor == end
+            yield json.dumps(record, ensure_ascii=False), json.dumps(cursor)
+
+    def commit(self, end: dict) -> None:
+        return
+
+
 def paged_json(transport: str | Get) -> type[DataSource]:
     """The data source over a transport."""
 
@@ -175,6 +236,9 @@ def paged_json(transport: str | Get) -> type[DataSource]:
         def reader(self, schema) -> PagedReader:
             return PagedReader(self.options, get)
 
+        def simpleStreamReader(self, schema) -> PagedStream:
+            return PagedStream(self.options, get)
+
     return PagedJson
 
 
@@ -191,6 +255,13 @@ def scan_service(spark: SparkSession, service: str, transport: str | Get, max_re
     return out if max_records is None else out.limit(max_records)
 
 
+def stream_service(spark: SparkSession, service: str, transport: str | Get, cursor: dict | None = None, **options) -> DataFrame:
+    """(record, cursor) of a live service as a stream: new records come as the service has them, none twice."""
+    spark.dataSource.register(paged_json(transport))
+    given = {"service": service, "cursor": json.dumps(cursor or {})} | {k: str(v) for k, v in options.items()}
+    return spark.readStream.format("paged_json").options(**given).load()
+
+
 def scan_pages(spark: SparkSession, path: str, ddl: str, key: str = "results", max_records: int | None = None) -> DataFrame:
     """Records of saved pages, one JSON file a page, on any file system that Spark reads: a page is an array, or an object with the records under ``key``, as an
     array or by name."""
