@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gleanery.functions import media
-from gleanery.operators import caps, coverage, dedup, gates, reconcile, upsert
+from gleanery.operators import caps, coverage, dedup, gates, merkle, reconcile, upsert
 from gleanery.plans.registry import register, table
 
 SEASON = "CASE WHEN month({0}) IN (12, 1, 2) THEN 'winter' WHEN month({0}) < 6 THEN 'spring' WHEN month({0}) < 9 THEN 'summer' ELSE 'autumn' END"
@@ -354,3 +354,32 @@ def review_transitions(spark, d):
     at = lambda i: F.get(st, (i % 5).cast("int"))
     ev = table(spark, d, "events").select(F.col("user_id").alias("entity_id"), at(F.col("event_id")).alias("previous_status"), at(F.floor(F.col("event_id") / 5)).alias("new_status"), F.lit("comment").alias("decision"))
     return gates.transitions(ev)
+
+
+ORDER_TEXT = "concat(o_orderkey, '|', o_custkey, '|', coalesce(o_orderstatus, ''), '|', o_orderdate)"
+
+
+@register(
+    "snapshot_root",
+    f"""WITH d AS (SELECT sha256('=' || {ORDER_TEXT}) AS d, count(*) AS n FROM orders GROUP BY 1),
+leaf AS (SELECT left(d, 2) AS p, sum(n) AS r, sha256(string_agg(d || ':' || n, ',' ORDER BY d || ':' || n)) AS h FROM d GROUP BY 1),
+up AS (SELECT left(p, 1) AS p, sum(r) AS r, sha256(string_agg(p || ':' || h, ',' ORDER BY p || ':' || h)) AS h FROM leaf GROUP BY left(p, 1))
+SELECT CAST(sum(r) AS BIGINT) AS rows, sha256(string_agg(p || ':' || h, ',' ORDER BY p || ':' || h)) AS digest FROM up""",
+)
+def snapshot_root(spark, d):
+    """The digest of a table as the root of a tree of two levels."""
+    return merkle.root(merkle.tree(table(spark, d, "orders"), F.expr(ORDER_TEXT), 2))
+
+
+@register(
+    "snapshot_diff",
+    """WITH b AS (SELECT o_orderkey, CASE WHEN o_orderkey % 997 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders WHERE o_custkey % 211 <> 0)
+SELECT 'a' AS side, o_orderkey, o_orderstatus, count(*) AS times FROM (SELECT o_orderkey, o_orderstatus FROM orders EXCEPT ALL SELECT * FROM b) GROUP BY ALL UNION ALL
+SELECT 'b', o_orderkey, o_orderstatus, count(*) FROM (SELECT * FROM b EXCEPT ALL SELECT o_orderkey, o_orderstatus FROM orders) GROUP BY ALL""",
+)
+def snapshot_diff(spark, d):
+    """Rows changed and lost between two snapshots, found by descending where their trees differ."""
+    a = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    b = a.where("o_custkey % 211 <> 0").withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 997 == 0, "X").otherwise(F.col("o_orderstatus")))
+    text = F.to_json(F.struct("o_orderkey", "o_orderstatus"), {"ignoreNullFields": "false"})
+    return merkle.difference(a.drop("o_custkey"), b.drop("o_custkey"), text)

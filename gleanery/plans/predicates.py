@@ -173,11 +173,16 @@ def display_ordinals(spark, d):
     return table(spark, d, "customer").select("c_custkey", gates.display_ordinal(pick(F.col("c_custkey"), *gates.CATEGORIES, "invented")).cast("int").alias("ordinal"))
 
 
-@register("name_guards", "SELECT page_id, page_id % 5 NOT IN (0, 1, 2, 3) AS suite, page_id % 3 = 0 AS digest FROM pages")
+@register(
+    "name_guards",
+    """WITH x AS (SELECT page_id, substr(url, 1 + page_id % 9, page_id % 5) AS name, CASE WHEN page_id % 4 = 0 THEN upper(sha256(url)) ELSE substr(sha256(url), 1 + page_id % 3) END AS said FROM pages)
+SELECT page_id, coalesce(name <> '' AND name NOT IN ('.', '..') AND NOT regexp_matches(name, '[/\\\\]'), false) AS suite, coalesce(regexp_matches(said, '^[0-9a-f]{64}$'), false) AS digest FROM x""",
+)
 def name_guards(spark, d):
-    name = pick(F.col("page_id"), "", "..", "a/b", "a\\b", "suite-v5")
-    digest = F.sha2(F.col("url"), 256)
-    said = F.when(F.col("page_id") % 3 == 0, digest).when(F.col("page_id") % 3 == 1, F.upper(F.concat(F.lit("a"), F.substring(digest, 2, 63))))
+    """Pieces of URLs as suite names, their digests whole, cut and in capitals."""
+    k, digest = F.col("page_id"), F.sha2("url", 256)
+    name = F.expr("substring(url, cast(1 + page_id % 9 as int), cast(page_id % 5 as int))")
+    said = F.when(k % 4 == 0, F.upper(digest)).otherwise(F.substring(digest, (1 + k % 3).cast("int"), F.lit(64)))
     return table(spark, d, "pages").select("page_id", urls.is_suite_name(name).alias("suite"), urls.is_digest(said).alias("digest"))
 
 
