@@ -43,9 +43,10 @@ def near_pairs(df: DataFrame, hashes: list[str], threshold: int) -> DataFrame:
     return pairs.select("a", "b", "dist").distinct()
 
 
-def duplicate_links(df: DataFrame, threshold: int = 6, source_identity: Column | None = None) -> DataFrame:
+def duplicate_links(df: DataFrame, threshold: int = 6, source_identity: Column | None = None, pairs: DataFrame | None = None) -> DataFrame:
     """(u, v): links between keys whose components are the duplicate groups, from a table (key, sha256, ahash, dhash). Perceptual
-    hashes are signed 64-bit. Rows with equal hashes link to the group's least key, near ones through those keys."""
+    hashes are signed 64-bit. Rows with equal hashes link to the group's least key, near ones through those keys. ``pairs``: the near
+    pairs of ahash and dhash, if they are known."""
     out = stars(df, "key", F.lower("sha256"))
     if source_identity is not None:
         out = out.unionByName(stars(df, "key", source_identity))
@@ -53,7 +54,7 @@ def duplicate_links(df: DataFrame, threshold: int = 6, source_identity: Column |
     rep = hashed.groupBy("ahash", "dhash").agg(F.min("key").alias("rep"))
     same = hashed.join(rep, ["ahash", "dhash"]).where("rep <> key").select(F.col("rep").alias("u"), F.col("key").alias("v"))
     at = rep.select(F.struct("ahash", "dhash").alias("h"), "rep")
-    near = near_pairs(rep, ["ahash", "dhash"], threshold)
+    near = near_pairs(rep, ["ahash", "dhash"], threshold) if pairs is None else pairs
     near = near.join(at.toDF("a", "u"), "a").join(at.toDF("b", "v"), "b").select("u", "v")
     return out.unionByName(same).unionByName(near)
 
@@ -65,7 +66,8 @@ def clusters(df: DataFrame, threshold: int = 6, source_identity: Column | None =
     best 1 - distance / 64 of its pairs. The canonical member has the largest area, then the least key. Evidence is
     aggregated by value and by distinct hash, never by all pairs of members."""
     df = df.withColumn("_source", source_identity if source_identity is not None else F.lit(None).cast("string"))
-    groups = cut(connected_components(cut(duplicate_links(df, threshold, F.col("_source") if source_identity is not None else None)).distinct()))
+    pairs = cut(near_pairs(df.where("ahash is not null and dhash is not null"), ["ahash", "dhash"], threshold))
+    groups = cut(connected_components(cut(duplicate_links(df, threshold, F.col("_source") if source_identity is not None else None, pairs)).distinct()))
     member = cut(df.join(groups.withColumnRenamed("component", "cluster"), F.col("key") == F.col("node")).drop("node"))
     area = F.coalesce(F.when((F.col("width") != 0) & (F.col("height") != 0), F.col("width").cast("long") * F.col("height")), F.lit(0))
     best = member.groupBy("cluster").agg(F.min_by("key", F.struct(-area, "key")).alias("canonical"))
@@ -75,7 +77,7 @@ def clusters(df: DataFrame, threshold: int = 6, source_identity: Column | None =
     hashed = member.where("ahash is not null and dhash is not null")
     tuples = hashed.groupBy("cluster", F.struct("ahash", "dhash").alias("h")).count()
     zero = tuples.where("count > 1").select("cluster", F.lit(0).alias("m"), F.lit(1.0).alias("s"))
-    near = near_pairs(hashed, ["ahash", "dhash"], threshold).join(tuples.select(F.col("h").alias("a"), "cluster"), "a")
+    near = pairs.join(tuples.select(F.col("h").alias("a"), "cluster"), "a")
     close = near.groupBy("cluster").agg(F.min("dist").alias("d")).select("cluster", F.lit(0).alias("m"), (1 - F.col("d") / 64.0).alias("s"))
     proof = exact.unionByName(linked).unionByName(zero).unionByName(close).groupBy("cluster").agg(F.max(F.struct("m", "s")).alias("e"))
     told = best.join(proof, "cluster", "left").select("cluster", "canonical", F.element_at(F.array(*[F.lit(m) for m in METHODS]), F.coalesce(F.col("e.m"), F.lit(0)) + 1).alias("method"), F.coalesce("e.s", F.lit(0.5)).alias("score"))
