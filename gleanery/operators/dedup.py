@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
-from itertools import product
+from itertools import chain, combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +17,8 @@ from gleanery.operators.skew import FEW_ROWS, LEAST_ROWS, join_spread
 from gleanery.session import cut
 
 METHODS = ("perceptual", "source_link", "sha256")
+#: Rows up to which a cell is compared together with others; pairs of a longer one that are compared at once.
+SHORT_CELL, BLOCK_PAIRS = 48, 1 << 16
 
 
 def stars(df: DataFrame, key: str, value: Column) -> DataFrame:
@@ -28,19 +33,75 @@ def stars(df: DataFrame, key: str, value: Column) -> DataFrame:
 def near_pairs(df: DataFrame, hashes: list[str], threshold: int) -> DataFrame:
     """(a, b, dist): pairs of different hash tuples that are within ``threshold`` bits on every hash, a before b.
 
-    Every hash is cut into threshold + 1 bands of nearly equal width: a pair within the threshold has a band in common on each hash, so an equi-join on
-    combinations of bands, one of each hash, finds all pairs; the distance is then checked. Two 64-bit hashes at 6 bits share about 18 bits of such a cell, so by
-    chance one pair in 5,000 is compared."""
-    bands = threshold + 1
-    edges = [64 * i // bands for i in range(bands + 1)]
-    own = df.select(F.struct(*hashes).alias("h")).distinct()
-    cut_up = lambda name: [F.shiftrightunsigned(F.col("h")[name], lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)) for lo, hi in zip(edges, edges[1:], strict=False)]
-    cells = [F.struct(*[x for i, part in enumerate(chosen) for x in (F.lit(part[0]).alias(f"i{i}"), part[1].alias(f"x{i}"))]) for chosen in product(*[list(enumerate(cut_up(name))) for name in hashes])]
-    banded = own.select("h", F.explode(F.array(*cells)).alias("cell"))
-    left, right = banded.withColumnRenamed("h", "a"), banded.withColumnRenamed("h", "b")
-    far = F.greatest(*[hamming(F.col("a")[h], F.col("b")[h]) for h in hashes]) if len(hashes) > 1 else hamming(F.col("a")[hashes[0]], F.col("b")[hashes[0]])
-    pairs = left.join(right, "cell").where(F.col("a") < F.col("b")).withColumn("dist", far).where(F.col("dist") <= threshold)
-    return pairs.select("a", "b", "dist").distinct()
+    The last hash is cut into threshold + 2 bands (each of every so many bits, since neighbouring ones depend on each other). A pair within the threshold has two bands
+    in common on it at least, so the cells of equal choices of two bands hold all pairs; at 6 bits these are 28 cells of 16 bits. The cells' rows are shuffled once, sorted by cell and
+    compared where they lie, in numpy; a pair counts in its first common cell only, so nothing is made distinct afterwards. Nothing is broadcast: the planner takes the cells for
+    as small as the hashes' file."""
+    bands, last = threshold + 2, hashes[-1]
+    masks = [sum(1 << bit for bit in range(i, 64, bands)) for i in range(bands)]
+    signed = lambda m: F.lit(m - (1 << 64) if m >> 63 else m).cast("long")
+    chosen = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(last).bitwiseAND(signed(masks[i] | masks[j])).alias("bits")) for i, j in combinations(range(bands), 2)]
+    cells = df.select(*hashes).dropna().distinct().select(*hashes, F.inline(F.array(*chosen)))
+    ordered = cells.repartition("i", "j", "bits").sortWithinPartitions("i", "j", "bits")
+
+    def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        left = None  # rows of the last cell, of which more may follow
+        for batch in chain(batches, [None]):
+            rows = left if batch is None else batch if left is None else pd.concat([left, batch], ignore_index=True)
+            if rows is None or rows.empty:
+                continue
+            starts = np.flatnonzero(np.r_[True, (rows[["i", "j", "bits"]].to_numpy()[1:] != rows[["i", "j", "bits"]].to_numpy()[:-1]).any(axis=1)])
+            whole = len(rows) if batch is None else starts[-1]
+            left = rows.iloc[whole:]
+            ends = np.repeat(np.r_[starts[1:], len(rows)], np.diff(np.r_[starts, len(rows)]))[:whole]
+            value, i, j = {h: rows[h].to_numpy()[:whole] for h in hashes}, rows["i"].to_numpy(), rows["j"].to_numpy()
+            for x, y in within_cells(value[last], starts[starts < whole], ends):
+                yield close(value, i, j, x, y)
+
+    def within_cells(bits: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Positions whose last hashes are near: long cells in blocks, in short ones each row against the one ``step`` rows on."""
+        long, found, n = starts[ends[starts] - starts > SHORT_CELL], [], 0
+        for start in long:
+            end = ends[start]
+            few = max(1, BLOCK_PAIRS // (end - start))
+            for at in range(start, end, few):
+                x, y = np.nonzero(np.bitwise_count((bits[at : min(at + few, end), None] ^ bits[None, at:end]).view(np.uint64)) <= threshold)
+                found.append((at + x[x < y], at + y[x < y]))
+                n += len(x)
+                if n > 16 * BLOCK_PAIRS:
+                    yield tuple(np.concatenate(side) for side in zip(*found, strict=True))
+                    found, n = [], 0
+        skip = np.zeros(len(ends), bool)
+        for start in long:
+            skip[start : ends[start]] = True
+        own, step = np.flatnonzero(~skip), 0
+        while len(own):
+            step += 1
+            own = own[own + step < ends[own]]
+            x = own[np.bitwise_count((bits[own] ^ bits[own + step]).view(np.uint64)) <= threshold]
+            found.append((x, x + step))
+        if found:
+            yield tuple(np.concatenate(side) for side in zip(*found, strict=True))
+
+    def close(value: dict, i: np.ndarray, j: np.ndarray, x: np.ndarray, y: np.ndarray) -> pd.DataFrame:
+        """Of pairs whose last hashes are near those that are near on the others, in their first common cell."""
+        good = np.ones(len(x), bool)
+        apart = {h: (value[h][x] ^ value[h][y]).view(np.uint64) for h in hashes}
+        for h in hashes[:-1]:
+            good &= np.bitwise_count(apart[h]) <= threshold
+        for band, mask in enumerate(masks):
+            good &= ~((j[x] > band) & (i[x] != band) & (apart[last] & np.uint64(mask) == 0))
+        x, y = x[good], y[good]
+        dist = np.max([np.bitwise_count(apart[h][good]) for h in hashes], axis=0).astype("int32")
+        swap = np.zeros(len(x), bool)
+        for h in reversed(hashes):
+            swap = np.where(value[h][x] == value[h][y], swap, value[h][x] > value[h][y])
+        x, y = np.where(swap, y, x), np.where(swap, x, y)
+        return pd.DataFrame({f"a_{h}": value[h][x] for h in hashes} | {f"b_{h}": value[h][y] for h in hashes} | {"dist": dist})
+
+    met = ordered.mapInPandas(compared, ", ".join(f"{x}_{h} long" for x in "ab" for h in hashes) + ", dist int")
+    a, b = (F.struct(*[F.col(f"{x}_{h}").alias(h) for h in hashes]).alias(x) for x in "ab")
+    return met.select(a, b, "dist")
 
 
 def duplicate_links(df: DataFrame, threshold: int = 6, source_identity: Column | None = None, pairs: DataFrame | None = None) -> DataFrame:

@@ -61,6 +61,25 @@ def test_near_pairs_find_all(spark):
     assert got == want and want
 
 
+def test_near_pairs_of_long_cells_without_broadcast(spark):
+    """Cells of more rows than are compared together, and of more than a batch; the cells are never sent through the driver."""
+    rng = random.Random(9)
+    signed = lambda v: v - 2**64 if v >= 2**63 else v
+    few = lambda n: sum(1 << rng.randrange(64) for _ in range(n)) & (2**64 - 1)
+    rows = sorted({(signed(few(rng.randrange(9))), signed(few(rng.randrange(7)))) for _ in range(500)})
+    df = spark.createDataFrame([*rows, *rows[:20], (None, 1)], "x bigint, y bigint")
+    found = dedup.near_pairs(df, ["x", "y"], 6)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    far = lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count()
+    want = {(a, b, max(far(a[0], b[0]), far(a[1], b[1]))) for i, a in enumerate(rows) for b in rows[i + 1 :]}
+    want = sorted(t for t in want if t[2] <= 6)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        assert sorted((tuple(r.a), tuple(r.b), r.dist) for r in found.collect()) == want and len(want) > 1000
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_near_dup_filter_matches_a_loop(spark):
     rng = random.Random(4)
     rows = [(k, rng.randrange(60), f"p{rng.randrange(70)}", rng.choice([1.0, 1.01, 2.0]), rng.choice([0, 1, 3, 255]), rng.choice([0, 2, 7, 4095])) for k in range(90)]
