@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.media import hamming
 from gleanery.operators.components import connected_components
-from gleanery.operators.skew import FEW_ROWS, LEAST_ROWS, join_spread
+from gleanery.operators.skew import LEAST_ROWS, join_spread
 from gleanery.session import cut
 
 METHODS = ("perceptual", "source_link", "sha256")
 #: Rows up to which a cell is compared together with others; pairs of a longer one that are compared at once.
 SHORT_CELL, BLOCK_PAIRS = 48, 1 << 16
+#: Rows up to which the near-duplicate filter broadcasts a group's places whole: names are long, and there are three groups a round.
+FEW_NAMES = 50_000
 
 
 def stars(df: DataFrame, key: str, value: Column) -> DataFrame:
@@ -184,13 +186,14 @@ def _look_links(looks: DataFrame, aspect: float, threshold: int) -> DataFrame:
     share = F.floor(F.col("aspect") / aspect)
     mine = looks.select(h.alias("a"), "t", F.col("aspect").alias("w"), F.explode(F.array(share - 1, share, share + 1)).alias("share"))
     theirs = looks.select(h.alias("b"), F.col("t").alias("other"), F.col("aspect").alias("x"), share.alias("share"))
-    same = mine.withColumn("b", F.col("a")).join(theirs, ["b", "share"])
-    across = mine.join(both, "a").join(theirs, ["b", "share"])
+    # The planner takes the looks' three shares for as small as their file; by a shuffle they don't pass the driver.
+    same = mine.withColumn("b", F.col("a")).hint("merge").join(theirs, ["b", "share"])
+    across = mine.hint("merge").join(both, "a").hint("merge").join(theirs, ["b", "share"])
     close = (F.abs(F.col("w") - F.col("x")) < aspect) & (F.col("t") != F.col("other"))
     return same.select("t", "other", "w", "x").unionByName(across.select("t", "other", "w", "x")).where(close).select("t", "other")
 
 
-def near_dup_filter(df: DataFrame, seed: str = "42", aspect: float = 0.02, threshold: int = 3, compat_order: str | None = None, least: int = LEAST_ROWS, few: int = FEW_ROWS) -> DataFrame:
+def near_dup_filter(df: DataFrame, seed: str = "42", aspect: float = 0.02, threshold: int = 3, compat_order: str | None = None, least: int = LEAST_ROWS, few: int = FEW_NAMES) -> DataFrame:
     """``df`` (key, observation, pixels, aspect, ahash, dhash) with ``reason``: null if kept, else duplicate_observation,
     duplicate_pixels or possible_near_duplicate, each against rows kept before it in seeded order (sha256 of seed and key, or the column ``compat_order``; ties
     by key, which tells rows apart).

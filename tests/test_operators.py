@@ -94,6 +94,13 @@ def test_near_dup_filter_matches_a_loop(spark):
     assert got == want and len(set(want.values())) == 4
 
 
+def test_looks_meet_without_broadcast(spark):
+    looks = spark.createDataFrame([(0, 0, 0, 1.0), (1, 1, 0, 1.01), (2, 1, 0, 1.04), (3, -1, 0, 1.0), (4, 0, 0, 1.019)], "t long, dhash long, ahash long, aspect double")
+    links = dedup._look_links(looks, 0.02, 3)
+    assert "Broadcast" not in links._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in links.collect()} == {(0, 1), (1, 0), (0, 4), (4, 0), (1, 4), (4, 1)}
+
+
 def plain_filter(rows):
     """(key, observation, pixels, aspect, ahash, dhash) in order -> reason by key."""
     far = lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count()
