@@ -62,12 +62,17 @@ def status_counts(scored: DataFrame) -> DataFrame:
 
 def baselines(tasks: DataFrame) -> DataFrame:
     """One row: the expected top-1 of a uniform guess, and of a guess among the candidates of the largest genera."""
-    gen = lambda c: F.get(F.split(c, " "), F.lit(0))
-    sized = tasks.withColumn("_g", F.transform("candidates", gen)).withColumn("_n", F.transform("_g", lambda g: F.size(F.filter("_g", lambda x: x == g))))
-    pool = F.filter(F.transform(F.arrays_zip("candidates", "_n"), lambda z: F.when(z["_n"] == F.array_max("_n"), z["candidates"])), lambda c: c.isNotNull())
-    sized = sized.withColumn("_pool", pool)
-    hit = F.when(F.array_contains("_pool", F.col("correct_taxon")), 1.0 / F.size("_pool")).otherwise(0.0)
-    return sized.agg(F.avg(1.0 / F.size("candidates")).alias("uniform_candidate"), F.avg(hit).alias("largest_genus_candidate_only"))
+    # Tasks with the same candidates and answer count together, so a family's candidates are looked at once for each of its taxa.
+    alike = tasks.groupBy("candidates", "correct_taxon").agg(F.count("*").alias("_tasks"))
+    # ``let`` works a value out once; as a column of its own it would be put in wherever it is named, for each element anew.
+    let = lambda value, f: F.get(F.transform(F.array(value), f), F.lit(0))
+    genera = F.transform("candidates", lambda c: F.get(F.split(c, " "), F.lit(0)))
+    sizes = let(genera, lambda g: F.transform(g, lambda x: F.size(F.filter(g, lambda y: y == x))))
+    pool = let(sizes, lambda n: let(F.array_max(n), lambda top: F.filter("candidates", lambda c, i: (F.get(n, i) == top) & c.isNotNull())))
+    hit = let(pool, lambda p: F.when(F.array_contains(p, F.col("correct_taxon")), 1.0 / F.size(p)).otherwise(0.0))
+    told = alike.select("_tasks", (1.0 / F.size("candidates")).alias("u"), hit.alias("h"))
+    mean = lambda c: F.sum(F.col("_tasks") * F.col(c)) / F.sum(F.when(F.col(c).isNotNull(), F.col("_tasks")))
+    return told.agg(mean("u").alias("uniform_candidate"), mean("h").alias("largest_genus_candidate_only"))
 
 
 def error_bucket(status: Column, hit: Column, guess: Column, correct: Column, guess_family: Column, family: Column) -> Column:

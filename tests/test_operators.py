@@ -171,6 +171,15 @@ def test_baselines(spark):
     assert row.uniform_candidate == 0.25 and row.largest_genus_candidate_only == 0.25
 
 
+def test_baselines_look_at_equal_candidates_once(spark):
+    tasks_of = lambda n: spark.range(n).selectExpr("'B z' as correct_taxon", "array('A x', 'A y', 'B z', 'B w', null) as candidates")
+    t = tasks_of(3).unionByName(spark.createDataFrame([("A x", ["A x", "A y", "B z", "C w"]), (None, ["A x"]), ("A x", None)], "correct_taxon string, candidates array<string>"))
+    row = score.baselines(t).first()
+    assert abs(row.uniform_candidate - (3 / 5 + 1 / 4 + 1) / 5) < 1e-12 and abs(row.largest_genus_candidate_only - (3 / 4 + 1 / 2) / 6) < 1e-12
+    plan = score.baselines(t)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") <= 2 and "Aggregate [candidates" in plan
+
+
 def test_reconcile_tiers(spark):
     records = spark.createDataFrame([("Araneus diadematus", "Clerck, 1757", None, "1"), ("Old name", "X", "Araneus diadematus", "2"), ("Same name", "A, 1", None, "3"), ("Same name", "B, 2", None, "4"), ("Lone species", None, None, "5")], "scientific_name string, authorship string, accepted_name string, wsc_id string")
     asked = spark.createDataFrame([("old  NAME", None), ("Same name", "B , 2"), ("Same name", None), ("Lone specis", None), ("Zzz", None), ("Lone species", None), ("Kept", None)], "original_name string, authorship string")
