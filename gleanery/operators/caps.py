@@ -15,8 +15,10 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from gleanery.functions import licenses, media
 from gleanery.operators.dedup import placed
@@ -34,40 +36,41 @@ def select(df: DataFrame, order: list[str], caps: dict[str, tuple[list[str], int
     ``caps``: name -> (key columns, most rows taken for each key). Key columns are compared as text, null as a key of its
     own. ``within``: columns that every cap's key contains, so that groups by them are independent. Rows that tie on ``order`` are
     taken by all their columns' text."""
-    rest = F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"})
     keys = {f"_k{i}": F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in cols]) for i, (cols, _) in enumerate(caps.values())}
-    tagged = cut(df.withColumns(keys | {"_rest": rest}).withColumn("_uid", F.monotonically_increasing_id()))
-    biggest, total = (tagged.groupBy(*within).count() if within else tagged.groupBy().count()).agg(F.max("count"), F.sum("count")).first()
+    biggest, total = (df.groupBy(*within).count() if within else df.groupBy().count()).agg(F.max("count"), F.sum("count")).first()
     limits = [n for _, n in caps.values()]
     names = list(caps)
-    ordered = [*order, "_rest", "_uid"]
-    slim = tagged.select(*dict.fromkeys([*(within or []), *ordered, *keys]))
+    # Rows that tie have the columns of ``order`` in common, so the others' text tells them apart as all columns' would.
+    rest = F.to_json(F.struct(*[F.col(c) for c in df.columns if c not in order] or [F.lit(0)]), {"ignoreNullFields": "false"})
     if in_memory is None:
         in_memory = IN_MEMORY_ROWS if within else ALONE_ROWS
     if (biggest or 0) <= in_memory:
         # Small groups go several to a pass: their counters have keys of their own.
-        found = _in_groups(slim, ordered, names, limits, within or [], 1 + (total or 0) // PASS_ROWS)
-    else:
-        found = _in_parts(slim, ordered, names, limits, part_rows)
+        return _in_groups(df, keys, rest, order, names, limits, within or [], 1 + (total or 0) // PASS_ROWS)
+    tagged = cut(df.withColumns(keys | {"_rest": rest}).withColumn("_uid", F.monotonically_increasing_id()))
+    ordered = [*order, "_rest", "_uid"]
+    found = _in_parts(tagged.select(*dict.fromkeys([*ordered, *keys])), ordered, names, limits, part_rows)
     return tagged.join(found, "_uid").drop("_uid", "_rest", *keys)
 
 
-def _in_groups(slim: DataFrame, ordered: list[str], names: list[str], limits: list[int], within: list[str], passes: int) -> DataFrame:
-    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        columns = [[(x is not None, tuple(x.values()) if isinstance(x, dict) else x) for x in pdf[c]] for c in ordered]
-        pdf = pdf.iloc[sorted(range(len(pdf)), key=list(zip(*columns, strict=True)).__getitem__)]
+def _in_groups(df: DataFrame, keys: dict[str, Column], rest: Column, order: list[str], names: list[str], limits: list[int], within: list[str], passes: int) -> DataFrame:
+    """The rows are shuffled once, as they are; keys and text are added, and rows sorted, where they have come to."""
+
+    def greedy(table: pa.Table) -> pa.Table:
         used = [Counter() for _ in limits]
         reasons = []
-        for keys in zip(*[pdf[f"_k{i}"] for i in range(len(limits))], strict=True):
-            full = next((i for i, k in enumerate(keys) if used[i][k] >= limits[i]), None)
+        for own in zip(*[table[k].to_pylist() for k in own_keys], strict=True):
+            full = next((i for i, k in enumerate(own) if used[i][k] >= limits[i]), None)
             if full is None:
-                for i, k in enumerate(keys):
+                for i, k in enumerate(own):
                     used[i][k] += 1
             reasons.append(None if full is None else names[full])
-        return pd.DataFrame({"_uid": pdf["_uid"], "reason": pd.Series(reasons, index=pdf.index, dtype=object)})
+        return table.select(columns).append_column("reason", pa.array(reasons, pa.string()))
 
+    columns, own_keys = df.columns, list(keys)
     share = F.pmod(F.xxhash64(*within), F.lit(passes)) if within else F.lit(0)
-    return slim.withColumn("_pass", share).groupBy("_pass").applyInPandas(greedy, "_uid long, reason string")
+    dealt = df.withColumn("_pass", share.cast("long")).repartition("_pass").withColumns(keys | {"_rest": rest}).sortWithinPartitions("_pass", *order, "_rest")
+    return dealt.groupBy("_pass").applyInArrow(greedy, StructType([*df.schema.fields, StructField("reason", StringType())]))
 
 
 def _in_parts(slim: DataFrame, ordered: list[str], names: list[str], limits: list[int], part_rows: int) -> DataFrame:

@@ -33,6 +33,20 @@ def test_caps_across_groups_with_a_hot_key(spark):
     assert caps.select(df.limit(0), ["taxon", "k"], limits, in_memory=0).count() == 0
 
 
+def test_caps_within_groups_shuffle_rows_once(spark):
+    """No join brings the reasons back, and values, nulls, structs and copies come through as they are."""
+    rows = [(t, (k, 2 - k % 2), k // 2, None if k % 3 else 2**60 + 1, 1.5, None) for t in (1, 2) for k in range(9)] * 2
+    df = spark.createDataFrame(rows, "taxon int, order_key struct<a:int,b:int>, observation int, observer long, location double, season string")
+    found = caps.per_taxon(df, {"cap_taxon": 7, "cap_observer": 3})
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    ordered = sorted(rows, key=lambda r: (r[0], r[1]))
+    named = [dict(zip(("taxon", "order_key", "observation", "observer", "location", "season"), r)) for r in ordered]
+    limits = {"cap_taxon": (["taxon"], 7), **{f"cap_{k}": (["taxon", k], n) for k, n in (("observation", 2), ("observer", 3), ("location", 10), ("season", 15))}}
+    want = sorted(repr((*r, w)) for r, w in zip(ordered, caps.greedy_reference(named, limits)))
+    assert sorted(repr((r[0], tuple(r[1]), *r[2:])) for r in found.collect()) == want
+
+
 def test_release_selection_filters_before_caps(spark):
     rows = [("a", "s1", "CC-BY-4.0", "o1", None, "p", None), ("a", "s2", "CC-BY-SA-4.0", "o1", None, "p", None), ("a", "s3", "CC-BY-SA-4.0", "o1", None, "p", True), ("", "s4", "CC0-1.0", None, None, None, None), ("b", "s5", "nope", None, None, None, None), ("b", "s6", "CC0-1.0", None, "r", None, None), ("b", "s7", "CC0-1.0", None, "r", None, None), ("c", "s8", "CC0-1.0", None, None, None, None)]
     df = spark.createDataFrame(rows, "taxon string, sha256 string, license string, observation_id string, source_record string, observer string, license_review_ok boolean")
