@@ -25,7 +25,7 @@ from gleanery.operators.dedup import placed
 from gleanery.session import cut, uncut
 
 #: Rows of a group that one ordered pass may take; those of a selection whose caps run across all groups; rows of a part.
-IN_MEMORY_ROWS, ALONE_ROWS, PART_ROWS = 100_000, 20_000, 20_000
+IN_MEMORY_ROWS, ALONE_ROWS, PART_ROWS = 100_000, 20_000, 200_000
 #: Rows that an ordered pass over several small groups should take.
 PASS_ROWS = 20_000
 

@@ -33,6 +33,19 @@ def test_caps_across_groups_with_a_hot_key(spark):
     assert caps.select(df.limit(0), ["taxon", "k"], limits, in_memory=0).count() == 0
 
 
+def test_caps_across_groups_settle_in_few_rounds(spark):
+    """45,000 rows whose counters run on from row to row are one part: settled at once, not in rounds of small ones."""
+    from gleanery import session
+
+    rows = [(k, k // 30, k * 7 % 45_000 // 4, k % 50) for k in range(45_000)]
+    df = spark.range(45_000).selectExpr("id as k", "id div 30 as taxon", "id * 7 % 45000 div 4 as obs", "id % 50 as observer")
+    limits = {"t": (["taxon"], 10), "o": (["obs"], 2), "p": (["observer"], 100)}
+    want = dict(enumerate(caps.greedy_reference([dict(zip(("k", "taxon", "obs", "observer"), r)) for r in rows], limits)))
+    before = len(session._written)
+    assert {r.k: r.reason for r in caps.select(df, ["taxon", "k"], limits).collect()} == want
+    assert len(session._written) - before <= 6
+
+
 def test_caps_within_groups_shuffle_rows_once(spark):
     """No join brings the reasons back, and values, nulls, structs and copies come through as they are."""
     rows = [(t, (k, 2 - k % 2), k // 2, None if k % 3 else 2**60 + 1, 1.5, None) for t in (1, 2) for k in range(9)] * 2
