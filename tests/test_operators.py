@@ -121,6 +121,13 @@ def test_near_dup_filter_matches_a_loop(spark):
     assert got == want and len(set(want.values())) == 4
 
 
+def test_cells_are_shuffled_once(spark):
+    """28 cells a hash tuple at 6 bits go through one exchange; they aren't joined with themselves."""
+    df = spark.createDataFrame([(0, 0), (1, 1)], "ahash bigint, dhash bigint")
+    plan = dedup.near_pairs(df, ["ahash", "dhash"], 6)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan  # that of the distinct tuples and that of the cells
+
+
 def test_looks_meet_without_broadcast(spark):
     looks = spark.createDataFrame([(0, 0, 0, 1.0), (1, 1, 0, 1.01), (2, 1, 0, 1.04), (3, -1, 0, 1.0), (4, 0, 0, 1.019)], "t long, dhash long, ahash long, aspect double")
     links = dedup._look_links(looks, 0.02, 3)
