@@ -32,7 +32,13 @@ def pick_photos(observations: DataFrame, accept: list[str], n: int = 10, seen: D
     observation counts with its first photo of an accepted license; the name returned must be the one asked, of species rank or below. ``seen``: observation ids
     (column id) to leave out, after the choice of n + 10, as a collector that asks for spares does."""
     fit = observations.where((F.col("taxon.name") == F.col("asked")) & F.col("taxon.rank").isin("species", "subspecies"))
-    photo = fit.select("asked", "place", "id", (F.col("quality_grade") == "research").alias("research"), F.col("user.login").alias("observer"), F.posexplode("photos").alias("pos", "p"))
+    return pick_photo_rows(fit.select("asked", "place", "id", "quality_grade", F.col("user.login").alias("observer"), F.posexplode("photos").alias("pos", "p")), accept, n, seen)
+
+
+def pick_photo_rows(photos: DataFrame, accept: list[str], n: int = 10, seen: DataFrame | None = None) -> DataFrame:
+    """The same from a row for each photo of a fitting observation: asked, place, id, quality_grade, observer, pos (order within the observation), p struct. No observation's photos are
+    gathered; those of other licenses go before anything is shuffled."""
+    photo = photos.withColumn("research", F.col("quality_grade") == "research")
     url = first_text(F.col("p.original_url"), F.col("p.large_url"), F.col("p.url"))
     photo = photo.withColumns({"license": code_license(F.col("p.license_code")), "url": large_photo(url)})
     photo = photo.where(F.coalesce(F.col("license").isin(*accept), F.lit(False)) & F.col("url").isNotNull())

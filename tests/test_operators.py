@@ -302,3 +302,15 @@ def test_photo_picker(spark):
     assert got == [(2, 1, "y", True), (1, 2, "http://inaturalist/large.jpg", False)]
     seen = spark.createDataFrame([(2,)], "id bigint")
     assert [(r.id, r["rank"]) for r in coverage.pick_photos(df, ["cc0", "cc-by"], n=1, seen=seen).collect()] == [(1, 1)]
+
+
+def test_photo_rows_are_not_gathered(spark):
+    """The picker's query collects no observation's photos, and rows of other licenses go before a shuffle."""
+    from gleanery.plans.registry import QUERIES
+
+    plan = QUERIES["photo_picker"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "posexplode" not in plan
+    photo = "struct<id:bigint,license_code:string,url:string,original_url:string,large_url:string>"
+    rows = [("T", 0, 1, None, "u", 2, (8, "CC0", "x", None, None)), ("T", 0, 1, None, "u", 1, (9, "nope", "x", None, None)), ("T", 1, 2, "research", "u", 1, (7, "CC0", "x", None, None)), ("T", 1, 2, "research", "u", 1, (6, "CC0", "x", None, None))]
+    df = spark.createDataFrame(rows, f"asked string, place int, id bigint, quality_grade string, observer string, pos int, p {photo}")
+    assert [(r.id, r["rank"], r.photo_id) for r in coverage.pick_photo_rows(df, ["cc0"]).orderBy("rank").collect()] == [(2, 1, 6), (1, 2, 8)]
