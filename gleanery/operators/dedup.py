@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import chain, combinations
 
@@ -17,8 +17,8 @@ from gleanery.operators.skew import LEAST_ROWS, join_spread
 from gleanery.session import cut
 
 METHODS = ("perceptual", "source_link", "sha256")
-#: Rows up to which a cell is compared together with others; pairs of a longer one that are compared at once.
-SHORT_CELL, BLOCK_PAIRS = 48, 1 << 16
+#: Rows up to which a cell is compared together with others; pairs of a longer one that are compared at once; pairs after which a task thins its links.
+SHORT_CELL, BLOCK_PAIRS, HELD_LINKS = 48, 1 << 16, 1 << 20
 #: Rows up to which the near-duplicate filter broadcasts a group's places whole: names are long, and there are three groups a round.
 FEW_NAMES = 50_000
 
@@ -26,8 +26,20 @@ FEW_NAMES = 50_000
 def stars(df: DataFrame, key: str, value: Column) -> DataFrame:
     """(u, v): each member of a group of equal, non-blank values with the group's least key. Two combinable aggregates: a
     hot value costs one row a task, and no pairs are made."""
-    rows = df.select(F.col(key).alias("v"), value.alias("g")).where("g is not null and g <> ''")
-    first = cut(rows.groupBy("g").agg(F.min("v").alias("u"), F.count("*").alias("n")).where("n > 1"))
+    rows = _valued(df, key, value)
+    return _star_links(rows, _repeated(rows))
+
+
+def _valued(df: DataFrame, key: str, value: Column) -> DataFrame:
+    return df.select(F.col(key).alias("v"), value.alias("g")).where("g is not null and g <> ''")
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    """(g, u, n): of rows (v, g) the values that occur more than once, with their least key and number of rows."""
+    return cut(rows.groupBy("g").agg(F.min("v").alias("u"), F.count("*").alias("n")).where("n > 1"))
+
+
+def _star_links(rows: DataFrame, first: DataFrame) -> DataFrame:
     total = first.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     return join_spread(rows, first, "g", "n", total).where("u <> v").select("u", "v")
 
@@ -39,12 +51,65 @@ def near_pairs(df: DataFrame, hashes: list[str], threshold: int) -> DataFrame:
     in common on it at least, so the cells of equal choices of two bands hold all pairs; at 6 bits these are 28 cells of 16 bits. The cells' rows are shuffled once, sorted by cell and
     compared where they lie, in numpy; a pair counts in its first common cell only, so nothing is made distinct afterwards. Nothing is broadcast: the planner takes the cells for
     as small as the hashes' file."""
+    a, b = (F.struct(*[F.col(f"{x}_{h}").alias(h) for h in hashes]).alias(x) for x in "ab")
+    return _met(df, hashes, threshold).select(a, b, "dist")
+
+
+def near_links(df: DataFrame, hashes: list[str], threshold: int) -> DataFrame:
+    """(a, b, dist): links between different hash tuples of which those are connected, and only those, that pairs of ``near_pairs`` connect; the least ``dist`` of a
+    component's links is that of its pairs. A task of cells gives a link for each of its tuples at most (each ``HELD_LINKS`` of them, if there are more), so links don't
+    grow with the square of alike hashes as pairs do."""
+
+    def forest(pairs: pd.DataFrame) -> pd.DataFrame:
+        """Of pairs (a_*, b_*, dist) a star for each component: a link to each of its tuples but one, with the least ``dist`` of that tuple's pairs. One end of a component's
+        nearest pair at least isn't the star's middle, so that pair's ``dist`` stays."""
+        ends = pd.DataFrame({h: np.concatenate([pairs[f"{x}_{h}"].to_numpy() for x in "ab"]) for h in hashes})
+        number = ends.groupby(hashes, sort=False).ngroup().to_numpy()
+        u, v = number[: len(pairs)], number[len(pairs) :]
+        n = number.max(initial=-1) + 1
+        place, least, root = np.empty(n, int), np.full(n, np.iinfo("int32").max, "int32"), np.arange(n)
+        place[number] = np.arange(len(number))
+        for side in (u, v):
+            np.minimum.at(least, side, pairs["dist"].to_numpy())
+        while len(u):
+            low, high = np.minimum(root[u], root[v]), np.maximum(root[u], root[v])
+            apart = low != high
+            u, v = u[apart], v[apart]
+            np.minimum.at(root, high[apart], low[apart])  # each root that has a smaller neighbour goes below one
+            while (root != (up := root[root])).any():
+                root = up
+        node = np.flatnonzero(root != np.arange(n))
+        a, b = ends.iloc[place[root[node]]], ends.iloc[place[node]]
+        return pd.DataFrame({f"a_{h}": a[h].to_numpy() for h in hashes} | {f"b_{h}": b[h].to_numpy() for h in hashes} | {"dist": least[node]})
+
+    def thinned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += len(batch)
+            if n > HELD_LINKS:
+                held = [forest(pd.concat(held, ignore_index=True))]
+                n = len(held[0])
+                if n > HELD_LINKS // 2:
+                    yield held[0]
+                    held, n = [], 0
+        if n:
+            yield forest(pd.concat(held, ignore_index=True))
+
+    a, b = (F.struct(*[F.col(f"{x}_{h}").alias(h) for h in hashes]).alias(x) for x in "ab")
+    return _met(df, hashes, threshold, thinned).select(a, b, "dist")
+
+
+def _met(df: DataFrame, hashes: list[str], threshold: int, thinned: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]] = iter) -> DataFrame:
+    """(a_*, b_*, dist) of ``near_pairs``, as ``thinned`` leaves them in each task."""
     bands, last = threshold + 2, hashes[-1]
     masks = [sum(1 << bit for bit in range(i, 64, bands)) for i in range(bands)]
-    signed = lambda m: F.lit(m - (1 << 64) if m >> 63 else m).cast("long")
-    chosen = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(last).bitwiseAND(signed(masks[i] | masks[j])).alias("bits")) for i, j in combinations(range(bands), 2)]
-    cells = df.select(*hashes).dropna().distinct().select(*hashes, F.inline(F.array(*chosen)))
-    ordered = cells.repartition("i", "j", "bits").sortWithinPartitions("i", "j", "bits")
+    choices = list(combinations(range(bands), 2))
+    (first, second), joint = np.array(choices).T, np.array([masks[i] | masks[j] for i, j in choices], "uint64").view("int64")
+    # A row holds its hashes and the number of its choice; the cell's bits are worked out where they are needed.
+    cells = df.select(*hashes).dropna().distinct().select(*hashes, F.explode(F.array(*[F.lit(c).cast("tinyint") for c in range(len(choices))])).alias("c"))
+    at = F.col(last).bitwiseAND(F.element_at(F.array(*[F.lit(m).cast("long") for m in joint.tolist()]), F.col("c") + 1))
+    ordered = cells.repartition("c", at).sortWithinPartitions("c", at)
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         left = None  # rows of the last cell, of which more may follow
@@ -52,13 +117,15 @@ def near_pairs(df: DataFrame, hashes: list[str], threshold: int) -> DataFrame:
             rows = left if batch is None else batch if left is None else pd.concat([left, batch], ignore_index=True)
             if rows is None or rows.empty:
                 continue
-            starts = np.flatnonzero(np.r_[True, (rows[["i", "j", "bits"]].to_numpy()[1:] != rows[["i", "j", "bits"]].to_numpy()[:-1]).any(axis=1)])
+            c = rows["c"].to_numpy()
+            bits = rows[last].to_numpy() & joint[c]
+            starts = np.flatnonzero(np.r_[True, (c[1:] != c[:-1]) | (bits[1:] != bits[:-1])])
             whole = len(rows) if batch is None else starts[-1]
             left = rows.iloc[whole:]
             ends = np.repeat(np.r_[starts[1:], len(rows)], np.diff(np.r_[starts, len(rows)]))[:whole]
-            value, i, j = {h: rows[h].to_numpy()[:whole] for h in hashes}, rows["i"].to_numpy(), rows["j"].to_numpy()
+            value = {h: rows[h].to_numpy()[:whole] for h in hashes}
             for x, y in within_cells(value[last], starts[starts < whole], ends):
-                yield close(value, i, j, x, y)
+                yield close(value, first[c], second[c], x, y)
 
     def within_cells(bits: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Positions whose last hashes are near: long cells in blocks, in short ones each row against the one ``step`` rows on."""
@@ -101,25 +168,36 @@ def near_pairs(df: DataFrame, hashes: list[str], threshold: int) -> DataFrame:
         x, y = np.where(swap, y, x), np.where(swap, x, y)
         return pd.DataFrame({f"a_{h}": value[h][x] for h in hashes} | {f"b_{h}": value[h][y] for h in hashes} | {"dist": dist})
 
-    met = ordered.mapInPandas(compared, ", ".join(f"{x}_{h} long" for x in "ab" for h in hashes) + ", dist int")
-    a, b = (F.struct(*[F.col(f"{x}_{h}").alias(h) for h in hashes]).alias(x) for x in "ab")
-    return met.select(a, b, "dist")
+    return ordered.mapInPandas(lambda batches: thinned(compared(batches)), ", ".join(f"{x}_{h} long" for x in "ab" for h in hashes) + ", dist int")
 
 
-def duplicate_links(df: DataFrame, threshold: int = 6, source_identity: Column | None = None, pairs: DataFrame | None = None) -> DataFrame:
+def duplicate_links(df: DataFrame, threshold: int = 6, source_identity: Column | None = None) -> DataFrame:
     """(u, v): links between keys whose components are the duplicate groups, from a table (key, sha256, ahash, dhash). Perceptual
-    hashes are signed 64-bit. Rows with equal hashes link to the group's least key, near ones through those keys. ``pairs``: the near
-    pairs of ahash and dhash, if they are known."""
-    out = stars(df, "key", F.lower("sha256"))
-    if source_identity is not None:
-        out = out.unionByName(stars(df, "key", source_identity))
+    hashes are signed 64-bit. Rows with equal hashes link to the group's least key, near ones through those keys."""
+    return _links_and_proof(df, threshold, source_identity)[0]
+
+
+def _links_and_proof(df: DataFrame, threshold: int, source_identity: Column | None) -> tuple[DataFrame, DataFrame]:
+    """The links (u, v) and, for each group of equal values and each bundle of near ones, the evidence (u, m, s) that it gives to the group of its key u: the method's
+    place in ``METHODS`` and the score. Only near links and groups of two or more are joined; rows that nobody equals are shuffled for the aggregates alone."""
+    proof = lambda found, m, s: found.select("u", F.lit(m).alias("m"), s.alias("s"))
+    links, proofs = [], []
+    for m, score, value in ((2, 1.0, F.lower("sha256")), (1, 0.9, source_identity)):
+        if value is not None:
+            rows = _valued(df, "key", value)
+            first = _repeated(rows)
+            links.append(_star_links(rows, first))
+            proofs.append(proof(first, m, F.lit(score)))
     hashed = df.where("ahash is not null and dhash is not null")
-    rep = hashed.groupBy("ahash", "dhash").agg(F.min("key").alias("rep"))
-    same = hashed.join(rep, ["ahash", "dhash"]).where("rep <> key").select(F.col("rep").alias("u"), F.col("key").alias("v"))
-    at = rep.select(F.struct("ahash", "dhash").alias("h"), "rep")
-    near = near_pairs(rep, ["ahash", "dhash"], threshold) if pairs is None else pairs
-    near = near.join(at.toDF("a", "u"), "a").join(at.toDF("b", "v"), "b").select("u", "v")
-    return out.unionByName(same).unionByName(near)
+    looks = cut(hashed.groupBy("ahash", "dhash").agg(F.min("key").alias("u"), F.count("*").alias("n")))
+    same = looks.where("n > 1").select(F.struct("ahash", "dhash").alias("g"), "u", "n")
+    links.append(_star_links(hashed.select(F.col("key").alias("v"), F.struct("ahash", "dhash").alias("g")), same))
+    proofs.append(proof(same, 0, F.lit(1.0)))
+    at = looks.select(F.struct("ahash", "dhash").alias("h"), "u")
+    near = cut(near_links(looks, ["ahash", "dhash"], threshold).join(at.toDF("a", "u"), "a").join(at.toDF("b", "v"), "b").select("u", "v", "dist"))
+    links.append(near.select("u", "v"))
+    proofs.append(proof(near.groupBy("u").agg(F.min("dist").alias("d")), 0, 1 - F.col("d") / 64.0))
+    return reduce(DataFrame.unionByName, links), reduce(DataFrame.unionByName, proofs)
 
 
 def clusters(df: DataFrame, threshold: int = 6, source_identity: Column | None = None) -> DataFrame:
@@ -127,23 +205,14 @@ def clusters(df: DataFrame, threshold: int = 6, source_identity: Column | None =
 
     The method is the strongest direct evidence in the group; a digest scores 1.0, a source link 0.9, a perceptual one the
     best 1 - distance / 64 of its pairs. The canonical member has the largest area, then the least key. Evidence is
-    aggregated by value and by distinct hash, never by all pairs of members."""
-    df = df.withColumn("_source", source_identity if source_identity is not None else F.lit(None).cast("string"))
-    pairs = cut(near_pairs(df.where("ahash is not null and dhash is not null"), ["ahash", "dhash"], threshold))
-    groups = cut(connected_components(cut(duplicate_links(df, threshold, F.col("_source") if source_identity is not None else None, pairs)).distinct()))
-    member = cut(df.join(groups.withColumnRenamed("component", "cluster"), F.col("key") == F.col("node")).drop("node"))
+    aggregated by value and by bundles of near hashes, never by all pairs of members."""
+    links, proof = _links_and_proof(df, threshold, source_identity)
+    groups = cut(connected_components(links).withColumnRenamed("component", "cluster"))
     area = F.coalesce(F.when((F.col("width") != 0) & (F.col("height") != 0), F.col("width").cast("long") * F.col("height")), F.lit(0))
-    best = member.groupBy("cluster").agg(F.min_by("key", F.struct(-area, "key")).alias("canonical"))
-    repeated = lambda value: member.where(value.isNotNull() & (value != "")).groupBy("cluster", value.alias("x")).count().where("count > 1").select("cluster").distinct()
-    exact = repeated(F.lower("sha256")).withColumn("m", F.lit(2)).withColumn("s", F.lit(1.0))
-    linked = repeated(F.col("_source")).withColumn("m", F.lit(1)).withColumn("s", F.lit(0.9))
-    hashed = member.where("ahash is not null and dhash is not null")
-    tuples = hashed.groupBy("cluster", F.struct("ahash", "dhash").alias("h")).count()
-    zero = tuples.where("count > 1").select("cluster", F.lit(0).alias("m"), F.lit(1.0).alias("s"))
-    near = pairs.join(tuples.select(F.col("h").alias("a"), "cluster"), "a")
-    close = near.groupBy("cluster").agg(F.min("dist").alias("d")).select("cluster", F.lit(0).alias("m"), (1 - F.col("d") / 64.0).alias("s"))
-    proof = exact.unionByName(linked).unionByName(zero).unionByName(close).groupBy("cluster").agg(F.max(F.struct("m", "s")).alias("e"))
-    told = best.join(proof, "cluster", "left").select("cluster", "canonical", F.element_at(F.array(*[F.lit(m) for m in METHODS]), F.coalesce(F.col("e.m"), F.lit(0)) + 1).alias("method"), F.coalesce("e.s", F.lit(0.5)).alias("score"))
+    member = cut(df.select("key", area.alias("area")).join(groups, F.col("key") == F.col("node")).drop("node"))
+    best = member.groupBy("cluster").agg(F.min_by("key", F.struct(-F.col("area"), "key")).alias("canonical"))
+    strongest = proof.join(groups, F.col("u") == F.col("node")).groupBy("cluster").agg(F.max(F.struct("m", "s")).alias("e"))
+    told = best.join(strongest, "cluster").select("cluster", "canonical", F.element_at(F.array(*[F.lit(m) for m in METHODS]), F.col("e.m") + 1).alias("method"), F.col("e.s").alias("score"))
     return member.select("key", "cluster").join(told, "cluster")
 
 

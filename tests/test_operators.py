@@ -128,6 +128,41 @@ def test_cells_are_shuffled_once(spark):
     assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan  # that of the distinct tuples and that of the cells
 
 
+@pytest.mark.parametrize("held", [1 << 20, 500])
+def test_near_links_are_fewer_than_pairs_and_connect_the_same(spark, held, monkeypatch):
+    """Alike hashes cost links by their number, not its square; components and their least distances are those of all pairs."""
+    monkeypatch.setattr(dedup, "HELD_LINKS", held)
+    rng = random.Random(11)
+    few = lambda n: sum(1 << b for b in rng.sample(range(62), n))
+    base = [(rng.getrandbits(63), rng.getrandbits(63)) for _ in range(40)]
+    rows = {(few(rng.randrange(3)), few(rng.randrange(4))) for _ in range(300)} | {(x ^ few(rng.randrange(1, 6)), -1 - (y ^ few(rng.randrange(1, 6)))) for x, y in base for _ in range(2)}
+    df = spark.createDataFrame(sorted(rows), "x bigint, y bigint").repartition(3)
+
+    def told(found):
+        group = {r: r for r in rows}
+
+        def top(r):
+            while group[r] != r:
+                r = group[r]
+            return r
+
+        for a, b, _ in found:
+            a, b = sorted((top(a), top(b)))
+            group[b] = a
+        least = {}
+        for a, _, dist in found:
+            least[top(a)] = min(dist, least.get(top(a), 64))
+        return {r: (top(r), least.get(top(r))) for r in rows}
+
+    plain = lambda df: [(tuple(r.a), tuple(r.b), r.dist) for r in df.collect()]
+    pairs, links = plain(dedup.near_pairs(df, ["x", "y"], 6)), plain(dedup.near_links(df, ["x", "y"], 6))
+    assert told(links) == told(pairs) and len(set(told(pairs).values())) > 20
+    assert len(pairs) > 30 * len(rows) and len(links) <= 28 * len(rows)
+    if held > 500:
+        assert len(links) <= 4 * len(rows)  # four tasks at most, each with a link for a tuple
+    assert dedup.near_links(df.limit(0), ["x", "y"], 6).count() == 0
+
+
 def test_looks_meet_without_broadcast(spark):
     looks = spark.createDataFrame([(0, 0, 0, 1.0), (1, 1, 0, 1.01), (2, 1, 0, 1.04), (3, -1, 0, 1.0), (4, 0, 0, 1.019)], "t long, dhash long, ahash long, aspect double")
     links = dedup._look_links(looks, 0.02, 3)
