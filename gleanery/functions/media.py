@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,6 +31,29 @@ def difference_hash(pixels: Column, width: int = 9) -> Column:
     return pack_bits(F.transform(index, lambda i: at(i) > at(i + 1)))
 
 
+def bin_counts(bins: Column, n: int = 64) -> Column:
+    """How often each of 0 to ``n`` - 1 stands in an array, as an array of counts; null for a null or empty one."""
+
+    @F.pandas_udf("array<bigint>")
+    def counts(lists: pd.Series) -> pd.Series:
+        return lists.map(lambda found: None if found is None or not len(found) else np.bincount(found, minlength=n))
+
+    return counts(bins)
+
+
+def histogram_hashes(counts: Column) -> Column:
+    """(ahash, dhash) of 64 counts: bit = count above the mean, and count above that of the next bin, the first after the last. Whole numbers throughout."""
+
+    @F.pandas_udf("ahash bigint, dhash bigint")
+    def hashes(lists: pd.Series) -> pd.DataFrame:
+        own = lists.dropna()
+        px = np.array(own.tolist(), "int64").reshape(-1, 64)
+        packed = lambda bits: pd.Series(np.packbits(bits, axis=1).view(">i8").ravel().astype("int64"), own.index, "Int64").reindex(lists.index)
+        return pd.DataFrame({"ahash": packed(px * 64 > px.sum(axis=1, keepdims=True)), "dhash": packed(px > np.roll(px, -1, axis=1))})
+
+    return hashes(counts)
+
+
 def from_hex(digits: Column) -> Column:
     """Unsigned 64-bit hexadecimal as the signed number with the same bits."""
     return F.conv(digits, 16, -10).cast("bigint")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gleanery.functions import media
 from gleanery.operators import caps, coverage, dedup, gates, merkle, reconcile, upsert
 from gleanery.plans.registry import register, table
+from gleanery.session import cut
 
 SEASON = "CASE WHEN month({0}) IN (12, 1, 2) THEN 'winter' WHEN month({0}) < 6 THEN 'spring' WHEN month({0}) < 9 THEN 'summer' ELSE 'autumn' END"
 
@@ -63,19 +64,21 @@ def license_filter_counts(spark, d):
 
 
 def prints(spark, d):
-    """Each document with the hashes of its 64-bin token histogram, as if that were an image of 64 grey values."""
-    docs = table(spark, d, "documents")
+    """Each document with the hashes of its 64-bin token histogram, as if that were an image of 64 grey values. Histograms are counted where the texts lie;
+    only those of an id that several rows have are summed over these."""
+    docs = table(spark, d, "documents").where("doc_id is not null")
     words = F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != "")
-    bins = F.transform(words, lambda w: F.conv(F.substring(F.md5(w.cast("binary")), 1, 2), 16, 10).cast("int") % 64)
-    counted = docs.select("doc_id", F.explode(bins).alias("b")).groupBy("doc_id", "b").count()
-    hist = counted.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("b", "count"))).alias("m"))
-    px = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0).cast("bigint")))
-    own = docs.select("doc_id", F.sha2("text", 256).alias("sha256"), "source", F.length("text").alias("n"))
-    hist = own.join(hist.select("doc_id", px.alias("px")), "doc_id")
-    mean = F.aggregate("px", F.lit(0).cast("bigint"), lambda a, x: a + x)
-    bits_a = F.transform("px", lambda x: x * 64 > mean)
-    bits_d = F.transform("px", lambda x, i: x > F.get("px", (i + 1) % 64))
-    return hist.select("doc_id", "sha256", "source", "n", media.pack_bits(bits_a).alias("ahash"), media.pack_bits(bits_d).alias("dhash"))
+    bins = F.transform(words, lambda w: (F.conv(F.substring(F.md5(w.cast("binary")), 1, 2), 16, 10).cast("int") % 64).cast("tinyint"))
+    own = docs.select("doc_id", F.sha2("text", 256).alias("sha256"), "source", F.length("text").alias("n"), media.histogram_hashes(media.bin_counts(bins)).alias("h"))
+    own = cut(own.select("doc_id", "sha256", "source", "n", "h.ahash", "h.dhash"))
+    again = cut(own.groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    known = own.where("ahash is not null")
+    if again.isEmpty():
+        return known
+    binned = docs.join(again, "doc_id", "left_semi").select("doc_id", F.explode(bins).alias("b"))
+    summed = binned.groupBy("doc_id").agg(F.array(*[F.count_if(F.col("b") == i) for i in range(64)]).alias("px"))
+    shared = summed.select("doc_id", media.histogram_hashes(F.col("px")).alias("h")).select("doc_id", "h.*")
+    return known.join(again, "doc_id", "left_anti").unionByName(own.drop("ahash", "dhash").join(shared, "doc_id"))
 
 
 PRINTS = r"""WITH RECURSIVE w AS (SELECT doc_id, unnest(list_filter(string_split_regex(lower(text), '\s+'), lambda x: x <> '')) AS t FROM documents),
@@ -89,8 +92,6 @@ q AS (SELECT doc_id, CAST(ahash AS BIT) AS ahash, CAST(dhash AS BIT) AS dhash FR
 
 @register("hamming_pairs", PRINTS + "u AS (SELECT ahash, dhash, min(doc_id) AS k FROM q GROUP BY ALL) SELECT x.k AS a, y.k AS b, CAST(greatest(bit_count(xor(x.ahash, y.ahash)), bit_count(xor(x.dhash, y.dhash))) AS INT) AS dist FROM u x JOIN u y ON x.k < y.k WHERE bit_count(xor(x.ahash, y.ahash)) <= 6 AND bit_count(xor(x.dhash, y.dhash)) <= 6")
 def hamming_pairs(spark, d):
-    from gleanery.session import cut
-
     rep = cut(prints(spark, d).groupBy("ahash", "dhash").agg(F.min("doc_id").alias("k")))
     at = rep.select(F.struct("ahash", "dhash").alias("h"), "k")
     found = dedup.near_pairs(rep, ["ahash", "dhash"], 6).join(at.toDF("a", "x"), "a").join(at.toDF("b", "y"), "b")
@@ -111,9 +112,7 @@ def duplicate_components(spark, d):
 
 
 def clustered(spark, d):
-    from gleanery.session import cut
-
-    rows = cut(prints(spark, d).withColumnRenamed("doc_id", "key").withColumns({"width": F.col("n"), "height": F.lit(1)}))
+    rows = prints(spark, d).withColumnRenamed("doc_id", "key").withColumns({"width": F.col("n"), "height": F.lit(1)})
     return dedup.clusters(rows, 6)
 
 
@@ -140,8 +139,6 @@ def dedup_report(spark, d):
 
 @register("duplicate_groups", GROUPS + "SELECT format('g{:06d}-{}-{}', row_number() OVER (ORDER BY cluster) - 1, method, canonical) AS group_key, cluster, canonical, method, CAST(score AS DOUBLE) AS score, members FROM told")
 def duplicate_groups(spark, d):
-    from gleanery.session import cut
-
     return dedup.group_rows(cut(clustered(spark, d))).select("group_key", "cluster", "canonical", "method", "score", "members")
 
 
@@ -163,9 +160,7 @@ def dedup_source_identity(spark, d):
 @register("near_dup_greedy")
 def near_dup_greedy(spark, d):
     """Greedy over components in seeded order; tests compare it with a plain loop."""
-    from gleanery.session import cut
-
-    rows = cut(prints(spark, d).select(F.col("doc_id").alias("key"), F.col("doc_id").alias("observation"), F.col("sha256").alias("pixels"), (F.col("n") / 1000.0).alias("aspect"), "ahash", "dhash"))
+    rows = prints(spark, d).select(F.col("doc_id").alias("key"), F.col("doc_id").alias("observation"), F.col("sha256").alias("pixels"), (F.col("n") / 1000.0).alias("aspect"), "ahash", "dhash")
     return dedup.near_dup_filter(rows).select("key", "reason")
 
 

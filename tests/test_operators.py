@@ -1,12 +1,16 @@
 """Operators against plain loops and small expectations."""
 
+import decimal
 import difflib
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from gleanery.operators import caps, coverage, dedup, gates, reconcile, score, tasks, upsert
+from gleanery.plans import curation
+from gleanery.plans.registry import ORACLE_SQL, QUERIES
 
 
 def test_caps_in_memory_in_rounds_and_plain(spark):
@@ -163,6 +167,36 @@ def test_near_links_are_fewer_than_pairs_and_connect_the_same(spark, held, monke
     assert dedup.near_links(df.limit(0), ["x", "y"], 6).count() == 0
 
 
+def odd_documents(spark, folder):
+    """Texts with near copies, a crowd of them, nulls, blanks, and ids that several rows have."""
+    rng = random.Random(12)
+    word = lambda: f"w{rng.randrange(400)}"
+    texts = [" ".join(word() for _ in range(rng.randrange(1, 300))) for _ in range(30)]
+    texts += [t + "\n" + "\tW1" * k for t in texts[:6] for k in (1, 2)] + ["ab " * 500 + " ".join(word() for _ in range(k % 4)) for k in range(60)]
+    rows = [(k, t) for k, t in enumerate(texts + texts[3:9] + [None, "", " \n", "x", "É é"])]
+    rows += [(2, texts[2]), (31, "other words here"), (31, None), (500, None), (500, texts[7]), (501, ""), (501, None)]
+    spark.createDataFrame([(k, t, "s", 0 if t is None else len(t)) for k, t in rows], "doc_id bigint, text string, source string, n_chars bigint").write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def test_histograms_are_counted_where_texts_lie(spark, tmp_path):
+    """No word and no histogram is shuffled; rows of one id share the histogram of all their words."""
+    at = odd_documents(spark, tmp_path)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{at}/documents.parquet/*.parquet')")
+    want = {k: (int(a, 2), int(d, 2)) for k, a, d in con.sql(curation.PRINTS.rstrip(", ") + " SELECT doc_id, CAST(ahash AS VARCHAR), CAST(dhash AS VARCHAR) FROM q").fetchall()}
+    found = curation.prints(spark, at)
+    assert {r.doc_id: (r.ahash % 2**64, r.dhash % 2**64) for r in found.collect()} == want
+    assert found.count() == len(want) + 4  # two rows of 2, three of 31, two of 500
+    for name in ("dedup_report", "duplicate_groups"):
+        df = QUERIES[name](spark, at)
+        cols = sorted(df.columns)
+        rows = lambda found: sorted(repr(tuple(float(v) if isinstance(v, (float, decimal.Decimal)) else v for v in r)) for r in found)
+        assert rows(df.select(*cols).collect()) == rows(con.sql(f"SELECT {', '.join(cols)} FROM ({ORACLE_SQL[name]})").fetchall()), name
+    single = curation.prints(spark, "/root/testdata/sf0.001")
+    assert "Exchange" not in single._jdf.queryExecution().executedPlan().toString() and single.count() > 0
+
+
 def test_looks_meet_without_broadcast(spark):
     looks = spark.createDataFrame([(0, 0, 0, 1.0), (1, 1, 0, 1.01), (2, 1, 0, 1.04), (3, -1, 0, 1.0), (4, 0, 0, 1.019)], "t long, dhash long, ahash long, aspect double")
     links = dedup._look_links(looks, 0.02, 3)
