@@ -1,33 +1,38 @@
 """Greedy capped selection: rows are taken in order, and a row that one cap rejects uses up no other.
 
 ``select`` is exact at any size. Where every unit of work (a group whose counters no other group shares) is at most
-``in_memory`` rows, one ordered pass per group does it. Otherwise rows are numbered in their order and dealt into parts of ``part_rows``, which are
+``in_memory`` rows, one ordered pass per group does it. Otherwise rows are dealt by ranges of their order into parts of about ``part_rows``, which are
 settled side by side, each from the counters of its keys that the parts before it leave. These are first taken to be nothing; then what the parts took is added up, key by
 key over the parts, and parts to which some counter, up to its cap, comes otherwise than they had it are settled again, until none is. The first part is right from the
 start, and each round at least the next one that was wrong; then counters and rows agree all along, which only the plain loop's result does. Keys whose
 cap is full tell no more, so it mostly takes a few rounds. No task holds more than a part, whatever key its rows have.
+
+Rows are shuffled when they are dealt, when each part's keys are numbered and when their reasons come back; in between a round moves only arrays, of the keys' numbers in each wrong part and of counters. In a
+part a row to which a full counter comes needs no pass: it can't be taken, and its reason is the first cap whose key filled before it.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from gleanery.functions import licenses, media
-from gleanery.operators.dedup import placed
 from gleanery.session import cut, uncut
 
 #: Rows of a group that one ordered pass may take; those of a selection whose caps run across all groups; rows of a part.
-IN_MEMORY_ROWS, ALONE_ROWS, PART_ROWS = 100_000, 20_000, 200_000
+IN_MEMORY_ROWS, ALONE_ROWS, PART_ROWS = 100_000, 20_000, 1_000_000
 #: Rows that an ordered pass over several small groups should take.
 PASS_ROWS = 20_000
+#: Rows of a part whose reasons come back in one row.
+TOLD_ROWS = 256
 
 
 def select(df: DataFrame, order: list[str], caps: dict[str, tuple[list[str], int]], within: list[str] | None = None, in_memory: int | None = None, part_rows: int = PART_ROWS) -> DataFrame:
@@ -47,10 +52,10 @@ def select(df: DataFrame, order: list[str], caps: dict[str, tuple[list[str], int
     if (biggest or 0) <= in_memory:
         # Small groups go several to a pass: their counters have keys of their own.
         return _in_groups(df, keys, rest, order, names, limits, within or [], 1 + (total or 0) // PASS_ROWS)
-    tagged = cut(df.withColumns(keys | {"_rest": rest}).withColumn("_uid", F.monotonically_increasing_id()))
-    ordered = [*order, "_rest", "_uid"]
-    found = _in_parts(tagged.select(*dict.fromkeys([*ordered, *keys])), ordered, names, limits, part_rows)
-    return tagged.join(found, "_uid").drop("_uid", "_rest", *keys)
+    kinds = dict(df.dtypes)
+    if all(len(cols) == 1 and kinds.get(cols[0]) in ("tinyint", "smallint", "int", "bigint") for cols, _ in caps.values()):
+        keys = {f"_k{i}": F.col(cols[0]).cast("long") for i, (cols, _) in enumerate(caps.values())}  # as different as their text
+    return _in_parts(df, keys, rest, order, names, limits, total, part_rows)
 
 
 def _in_groups(df: DataFrame, keys: dict[str, Column], rest: Column, order: list[str], names: list[str], limits: list[int], within: list[str], passes: int) -> DataFrame:
@@ -73,51 +78,110 @@ def _in_groups(df: DataFrame, keys: dict[str, Column], rest: Column, order: list
     return dealt.groupBy("_pass").applyInArrow(greedy, StructType([*df.schema.fields, StructField("reason", StringType())]))
 
 
-def _in_parts(slim: DataFrame, ordered: list[str], names: list[str], limits: list[int], part_rows: int) -> DataFrame:
-    keys, used = [f"_k{i}" for i in range(len(limits))], [f"_b{i}" for i in range(len(limits))]
-
-    def settle(pdf: pd.DataFrame) -> pd.DataFrame:
-        """A part's rows in order, from the counters that its keys come with."""
-        pdf = pdf.sort_values("_place")
-        counts: list[dict] = [{} for _ in limits]
-        states = []
-        for row in zip(*[pdf[k] for k in keys], *[pdf[b] for b in used], strict=True):
-            own, come = row[: len(limits)], row[len(limits) :]
-            now = [counts[i].setdefault(k, come[i]) for i, k in enumerate(own)]
-            full = next((i for i, n in enumerate(now) if n >= limits[i]), -1)
-            if full < 0:
-                for i, k in enumerate(own):
-                    counts[i][k] += 1
-            states.append(full)
-        return pdf.assign(_full=pd.Series(states, index=pdf.index, dtype="int32"))
-
-    rows = cut(placed(slim, *ordered).select("_uid", "_place", F.floor(F.col("_place") / part_rows).alias("_part"), *keys).withColumns({b: F.lit(0).cast("long") for b in used}))
-    settled = lambda df: df.groupBy("_part").applyInPandas(settle, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", _full int")
-    now = cut(settled(rows))
+def _in_parts(df: DataFrame, keys: dict[str, Column], rest: Column, order: list[str], names: list[str], limits: list[int], total: int, part_rows: int) -> DataFrame:
+    n, caps = 1 + (total - 1) // part_rows, range(len(limits))
+    lists = lambda sizes, values: pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), values)
+    flat = lambda column: pa.concat_arrays([c.flatten() for c in column.chunks])
+
+    def dealt(source: DataFrame, *by: str | Column) -> DataFrame:
+        """Rows in order, with part and place in it as one number ``_at``."""
+        return cut(source.repartitionByRange(n, *by).sortWithinPartitions(*order, rest).select(*df.columns, F.monotonically_increasing_id().alias("_at")))
+
+    part, place = F.shiftright("_at", 33).alias("_part"), F.col("_at").bitwiseAND((1 << 33) - 1)
+    rows = dealt(df, *order)
+    if rows.groupBy(part).count().agg(F.max("count")).first()[0] > 2 * part_rows:
+        # Many rows tie: they are dealt by their text as well, and copies of a row as they come.
+        uncut(rows)
+        rows = dealt(df.withColumn("_uid", F.monotonically_increasing_id()), *order, rest, "_uid")
+
+    def numbered(table: pa.Table) -> pa.Table:
+        """A part: of each cap its rows' keys as numbers (c), the keys (k) sorted by the bucket in which their counters are added up, and how many there are in each bucket (s)."""
+        table = table.sort_by("_at")
+        out = {"_part": table["_part"].slice(0, 1)}
+        for i in caps:
+            coded = table[f"_k{i}"].combine_chunks().dictionary_encode(null_encoding="encode")
+            known = coded.dictionary.fill_null(0) if pa.types.is_integer(coded.dictionary.type) else coded.dictionary
+            bucket = (pd.util.hash_array(known.to_numpy(zero_copy_only=False), categorize=False) % n).astype(int)
+            by_bucket = np.argsort(bucket, kind="stable")
+            number = np.empty(len(bucket), "int32")
+            number[by_bucket] = np.arange(len(bucket))
+            sizes = np.bincount(bucket, minlength=n)
+            out |= {f"c{i}": lists([len(table)], pa.array(number[coded.indices.to_numpy()])), f"k{i}": lists([len(bucket)], coded.dictionary.take(pa.array(by_bucket))), f"s{i}": lists([n], pa.array(sizes, pa.int32()))}
+        return pa.table(out)
+
+    def settled(own: pa.Table, before: pa.Table) -> pa.Table:
+        """A part's rows in order, from the counters that come to it: what it took of each key, by cap (i) and bucket (b), and its rows' reasons (cap -1, bucket: ``TOLD_ROWS`` rows)."""
+        before = before.sort_by([("i", "ascending"), ("b", "ascending")])
+        codes = [flat(own[f"c{i}"]).to_numpy() for i in caps]
+        size = len(codes[0])
+        come, room, filled = [], [], []  # filled: the place of the row that took a key's last
+        for i in caps:
+            got = before.filter(pc.equal(before["i"], i))["n"]
+            come.append(flat(got).to_numpy() if len(got) else np.zeros(len(flat(own[f"k{i}"])), "int32"))
+            room.append(np.maximum(limits[i] - come[i], 0))
+            filled.append(np.where(room[i] > 0, size, -1))
+        may = np.flatnonzero(np.logical_and.reduce([room[i][codes[i]] > 0 for i in caps]))
+        left, last = [r.tolist() for r in room], [f.tolist() for f in filled]
+        for start in range(0, len(may), 1 << 16):
+            at = may[start : start + (1 << 16)]
+            for p, *ks in zip(at.tolist(), *[c[at].tolist() for c in codes], strict=True):
+                for r, k in zip(left, ks):  # noqa: B905
+                    if not r[k]:
+                        break
+                else:
+                    for r, f, k in zip(left, last, ks):  # noqa: B905
+                        r[k] -= 1
+                        if not r[k]:
+                            f[k] = p
+        reasons = np.full(size, len(limits), "uint8")
+        for i in reversed(caps):
+            reasons[np.array(last[i])[codes[i]] < np.arange(size)] = i
+        out = []
+        for i in caps:
+            sizes = flat(own[f"s{i}"]).to_numpy()
+            b = np.flatnonzero(sizes)
+            took = lists(sizes[b], pa.array(room[i] - np.array(left[i]), pa.int32()))
+            out.append({"i": pa.array(np.full(len(b), i), pa.int32()), "b": pa.array(b, pa.int32()), "key": lists(sizes[b], flat(own[f"k{i}"])), "had": lists(sizes[b], pa.array(come[i], pa.int32())), "n": took, "told": pa.nulls(len(b), pa.binary())})
+        told = [reasons[k : k + TOLD_ROWS].tobytes() for k in range(0, size, TOLD_ROWS)]
+        out.append({"i": pa.array(np.full(len(told), -1), pa.int32()), "b": pa.array(np.arange(len(told)), pa.int32())} | {k: pa.nulls(len(told), out[0][k].type) for k in ("key", "had", "n")} | {"told": pa.array(told, pa.binary())})
+        mine = own["_part"][0].as_py()
+        return pa.concat_tables([pa.table({"_part": pa.array(np.full(len(x["b"]), mine), pa.int64())} | x) for x in out])
+
+    def added(table: pa.Table) -> pa.Table:
+        """Of a bucket's keys what the parts before each part took of them, up to the cap; wrong: not what the part had."""
+        table = table.sort_by("_part")
+        sizes = pc.list_value_length(table["key"]).to_numpy()
+        code = flat(table["key"]).dictionary_encode(null_encoding="encode").indices.to_numpy()
+        by_key = np.argsort(code, kind="stable")
+        took = flat(table["n"]).to_numpy()[by_key].astype("int64")
+        earlier, first = np.cumsum(took) - took, np.flatnonzero(np.r_[True, np.diff(code[by_key]) != 0])
+        earlier -= np.repeat(earlier[first], np.diff(np.r_[first, len(code)]))
+        n = np.empty(len(code), "int32")
+        n[by_key] = np.minimum(earlier, max(0, limits[table["i"][0].as_py()]))
+        wrong = np.logical_or.reduceat(n != flat(table["had"]).to_numpy(), np.cumsum(sizes) - sizes)
+        return table.select(["_part", "i", "b"]).append_column("n", lists(sizes, pa.array(n))).append_column("wrong", pa.array(wrong))
+
+    kind = "long" if all(c == "bigint" for c in dict(df.select(*[c.alias(k) for k, c in keys.items()]).dtypes).values()) else "string"
+    parts = cut(rows.select(part, "_at", *[c.alias(k) for k, c in keys.items()]).groupBy("_part").applyInArrow(numbered, "_part long, " + ", ".join(f"c{i} array<int>, k{i} array<{kind}>, s{i} array<int>" for i in caps)))
+    came = "_part long, i int, b int, n array<int>"
+    settle = lambda own, before: own.groupBy("_part").cogroup(before.groupBy("_part")).applyInArrow(settled, f"_part long, i int, b int, key array<{kind}>, had array<int>, n array<int>, told binary")
+    now = cut(settle(parts, df.sparkSession.createDataFrame([], came)))
     while True:
-        come = now
-        for i, k in enumerate(keys):
-            taken = now.groupBy(k, "_part").agg(F.sum((F.col("_full") < 0).cast("long")).alias("_n"))
-            earlier = Window.partitionBy(k).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-            # A counter says no more than that the cap is full.
-            before = taken.select(k, "_part", F.least(F.coalesce(F.sum("_n").over(earlier), F.lit(0)), F.lit(limits[i])).alias(f"_new{i}"))
-            come = come.join(before, [k, "_part"])
-        other = reduce(Column.__or__, [F.col(f"_new{i}") != F.col(b) for i, b in enumerate(used)])
-        come = cut(come)
-        parts = cut(come.where(other).select("_part").distinct())
-        if not parts.limit(1).count():
+        before = cut(now.where("i >= 0").drop("told").groupBy("i", "b").applyInArrow(added, f"{came}, wrong boolean"))
+        wrong = [r[0] for r in before.where("wrong").select("_part").distinct().collect()]  # a number for each part_rows rows
+        if not wrong:
             break
-        again = come.join(F.broadcast(parts), "_part", "left_semi")  # a number for each part_rows rows
-        again = again.select(*[c for c in rows.columns if c not in used], *[F.col(f"_new{i}").alias(b) for i, b in enumerate(used)])
-        same = come.join(F.broadcast(parts), "_part", "left_anti").select(now.columns)
-        new = cut(same.unionByName(settled(again.select(rows.columns))))
+        again = F.col("_part").isin(wrong)
+        new = cut(now.where(~again).unionByName(settle(parts.where(again), before.where(again).drop("wrong"))))
         uncut(now)
-        uncut(come)
+        uncut(before)
         now = new
-    reason = F.lit(None).cast("string")
+    told = now.where("i < 0").select("_part", F.col("b").cast("long").alias("_told"), "told")
+    mine = rows.select("*", part, F.shiftright(place, TOLD_ROWS.bit_length() - 1).alias("_told")).join(told.hint("shuffle_hash"), ["_part", "_told"])
+    reason, at = F.lit(None).cast("string"), F.substring("told", (place % TOLD_ROWS + 1).cast("int"), F.lit(1))
     for i, name in enumerate(names):
-        reason = F.when(F.col("_full") == i, name).otherwise(reason)
-    return now.select("_uid", reason.alias("reason"))
+        reason = F.when(at == F.lit(bytearray([i])), name).otherwise(reason)
+    return mine.select(*df.columns, reason.alias("reason"))
 
 
 def per_taxon(df: DataFrame, caps: dict[str, int] | None = None, **kw) -> DataFrame:

@@ -50,6 +50,31 @@ def test_caps_across_groups_settle_in_few_rounds(spark):
     assert len(session._written) - before <= 6
 
 
+def test_caps_across_groups_write_rows_once(spark, monkeypatch):
+    """However many rounds the parts take, rows are written when they are dealt and not again; keys with nulls, and rows that tie, which go to several parts."""
+    written = []
+
+    def counted(df, real=caps.cut):
+        out = real(df)
+        written.append((out, out.count()))
+        return out
+
+    monkeypatch.setattr(caps, "cut", counted)
+    rows = [(k, k // 30, None if k % 7 == 0 else k * 7 % 6000 // 4, k % 50) for k in range(6000)]
+    df = spark.createDataFrame(rows, "k int, taxon int, obs long, observer int").repartition(3)
+    limits = {"t": (["taxon"], 10), "o": (["obs"], 2), "p": (["observer"], 30)}
+    want = dict(enumerate(caps.greedy_reference([dict(zip(("k", "taxon", "obs", "observer"), r)) for r in rows], limits)))
+    assert {r.k: r.reason for r in caps.select(df, ["taxon", "k"], limits, in_memory=0, part_rows=1000).collect()} == want
+    assert len(written) > 4 and sum(n for _, n in written) < 2 * len(rows)
+    written.clear()
+    tied = df.selectExpr("0 as taxon", "k div 2 as obs", "k % 50 as observer").unionByName(df.selectExpr("0 as taxon", "7 as obs", "7 as observer"))
+    limits = {"o": (["obs"], 1), "p": (["observer"], 30)}
+    alone, parts = ([tuple(r) for r in caps.select(tied, ["taxon"], limits, in_memory=m, part_rows=1000).collect()] for m in (100_000, 0))
+    assert sorted(map(repr, parts)) == sorted(map(repr, alone)) and len({r[-1] for r in alone}) == 3
+    dealt = next(w for w, _ in reversed(written) if "_at" in w.columns)
+    assert max(n for _, n in dealt.groupBy(F.shiftright("_at", 33)).count().collect()) < 3000
+
+
 def test_caps_within_groups_shuffle_rows_once(spark):
     """No join brings the reasons back, and values, nulls, structs and copies come through as they are."""
     rows = [(t, (k, 2 - k % 2), k // 2, None if k % 3 else 2**60 + 1, 1.5, None) for t in (1, 2) for k in range(9)] * 2
