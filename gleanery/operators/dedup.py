@@ -44,13 +44,16 @@ def _star_links(rows: DataFrame, first: DataFrame) -> DataFrame:
     return join_spread(rows, first, "g", "n", total).where("u <> v").select("u", "v")
 
 
-def near_pairs(df: DataFrame, hashes: list[str], threshold: int) -> DataFrame:
-    """(a, b, dist): pairs of different hash tuples that are within ``threshold`` bits on every hash, a before b.
+def near_pairs(df: DataFrame, hashes: list[str], threshold: int, name: str | None = None) -> DataFrame:
+    """(a, b, dist): pairs of different hash tuples that are within ``threshold`` bits on every hash, a before b. ``name``: a column of longs without
+    nulls, of which a tuple's least stands for it in a and b; it goes along with the hashes, so pairs needn't be joined with names.
 
     The last hash is cut into threshold + 2 bands (each of every so many bits, since neighbouring ones depend on each other). A pair within the threshold has two bands
     in common on it at least, so the cells of equal choices of two bands hold all pairs; at 6 bits these are 28 cells of 16 bits. The cells' rows are shuffled once, sorted by cell and
     compared where they lie, in numpy; a pair counts in its first common cell only, so nothing is made distinct afterwards. Nothing is broadcast: the planner takes the cells for
     as small as the hashes' file."""
+    if name:
+        return _met(df, hashes, threshold, name=name).select(F.col(f"a_{name}").alias("a"), F.col(f"b_{name}").alias("b"), "dist")
     a, b = (F.struct(*[F.col(f"{x}_{h}").alias(h) for h in hashes]).alias(x) for x in "ab")
     return _met(df, hashes, threshold).select(a, b, "dist")
 
@@ -100,14 +103,17 @@ def near_links(df: DataFrame, hashes: list[str], threshold: int) -> DataFrame:
     return _met(df, hashes, threshold, thinned).select(a, b, "dist")
 
 
-def _met(df: DataFrame, hashes: list[str], threshold: int, thinned: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]] = iter) -> DataFrame:
-    """(a_*, b_*, dist) of ``near_pairs``, as ``thinned`` leaves them in each task."""
+def _met(df: DataFrame, hashes: list[str], threshold: int, thinned: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]] = iter, name: str | None = None) -> DataFrame:
+    """(a_*, b_*, dist) of ``near_pairs``, as ``thinned`` leaves them in each task; with ``name``, a_* and b_* are its columns alone."""
+    told = [name] if name else hashes
     bands, last = threshold + 2, hashes[-1]
     masks = [sum(1 << bit for bit in range(i, 64, bands)) for i in range(bands)]
     choices = list(combinations(range(bands), 2))
     (first, second), joint = np.array(choices).T, np.array([masks[i] | masks[j] for i, j in choices], "uint64").view("int64")
     # A row holds its hashes and the number of its choice; the cell's bits are worked out where they are needed.
-    cells = df.select(*hashes).dropna().distinct().select(*hashes, F.explode(F.array(*[F.lit(c).cast("tinyint") for c in range(len(choices))])).alias("c"))
+    tuples = df.select(*hashes, *[name] * bool(name)).dropna(subset=hashes)
+    tuples = tuples.groupBy(*hashes).agg(F.min(name).cast("long").alias(name)) if name else tuples.distinct()
+    cells = tuples.select("*", F.explode(F.array(*[F.lit(c).cast("tinyint") for c in range(len(choices))])).alias("c"))
     at = F.col(last).bitwiseAND(F.element_at(F.array(*[F.lit(m).cast("long") for m in joint.tolist()]), F.col("c") + 1))
     ordered = cells.repartition("c", at).sortWithinPartitions("c", at)
 
@@ -123,7 +129,7 @@ def _met(df: DataFrame, hashes: list[str], threshold: int, thinned: Callable[[It
             whole = len(rows) if batch is None else starts[-1]
             left = rows.iloc[whole:]
             ends = np.repeat(np.r_[starts[1:], len(rows)], np.diff(np.r_[starts, len(rows)]))[:whole]
-            value = {h: rows[h].to_numpy()[:whole] for h in hashes}
+            value = {h: rows[h].to_numpy()[:whole] for h in dict.fromkeys([*hashes, *told])}
             for x, y in within_cells(value[last], starts[starts < whole], ends):
                 yield close(value, first[c], second[c], x, y)
 
@@ -166,9 +172,9 @@ def _met(df: DataFrame, hashes: list[str], threshold: int, thinned: Callable[[It
         for h in reversed(hashes):
             swap = np.where(value[h][x] == value[h][y], swap, value[h][x] > value[h][y])
         x, y = np.where(swap, y, x), np.where(swap, x, y)
-        return pd.DataFrame({f"a_{h}": value[h][x] for h in hashes} | {f"b_{h}": value[h][y] for h in hashes} | {"dist": dist})
+        return pd.DataFrame({f"a_{h}": value[h][x] for h in told} | {f"b_{h}": value[h][y] for h in told} | {"dist": dist})
 
-    return ordered.mapInPandas(lambda batches: thinned(compared(batches)), ", ".join(f"{x}_{h} long" for x in "ab" for h in hashes) + ", dist int")
+    return ordered.mapInPandas(lambda batches: thinned(compared(batches)), ", ".join(f"{x}_{h} long" for x in "ab" for h in told) + ", dist int")
 
 
 def duplicate_links(df: DataFrame, threshold: int = 6, source_identity: Column | None = None) -> DataFrame:
@@ -194,7 +200,9 @@ def _links_and_proof(df: DataFrame, threshold: int, source_identity: Column | No
     links.append(_star_links(hashed.select(F.col("key").alias("v"), F.struct("ahash", "dhash").alias("g")), same))
     proofs.append(proof(same, 0, F.lit(1.0)))
     at = looks.select(F.struct("ahash", "dhash").alias("h"), "u")
-    near = cut(near_links(looks, ["ahash", "dhash"], threshold).join(at.toDF("a", "u"), "a").join(at.toDF("b", "v"), "b").select("u", "v", "dist"))
+    # The planner takes links and looks for as small as the hashes' file; by a shuffle they don't pass the driver.
+    near = near_links(looks, ["ahash", "dhash"], threshold).hint("merge").join(at.toDF("a", "u"), "a").hint("merge").join(at.toDF("b", "v"), "b")
+    near = cut(near.select("u", "v", "dist"))
     links.append(near.select("u", "v"))
     proofs.append(proof(near.groupBy("u").agg(F.min("dist").alias("d")), 0, 1 - F.col("d") / 64.0))
     return reduce(DataFrame.unionByName, links), reduce(DataFrame.unionByName, proofs)

@@ -93,9 +93,8 @@ q AS (SELECT doc_id, CAST(ahash AS BIT) AS ahash, CAST(dhash AS BIT) AS dhash FR
 @register("hamming_pairs", PRINTS + "u AS (SELECT ahash, dhash, min(doc_id) AS k FROM q GROUP BY ALL) SELECT x.k AS a, y.k AS b, CAST(greatest(bit_count(xor(x.ahash, y.ahash)), bit_count(xor(x.dhash, y.dhash))) AS INT) AS dist FROM u x JOIN u y ON x.k < y.k WHERE bit_count(xor(x.ahash, y.ahash)) <= 6 AND bit_count(xor(x.dhash, y.dhash)) <= 6")
 def hamming_pairs(spark, d):
     rep = cut(prints(spark, d).groupBy("ahash", "dhash").agg(F.min("doc_id").alias("k")))
-    at = rep.select(F.struct("ahash", "dhash").alias("h"), "k")
-    found = dedup.near_pairs(rep, ["ahash", "dhash"], 6).join(at.toDF("a", "x"), "a").join(at.toDF("b", "y"), "b")
-    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.col("dist").cast("int").alias("dist"))
+    found = dedup.near_pairs(rep, ["ahash", "dhash"], 6, name="k")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "dist")
 
 
 @register(

@@ -2,6 +2,7 @@
 
 import decimal
 import difflib
+import itertools
 import random
 
 import duckdb
@@ -136,6 +137,28 @@ def test_near_pairs_of_long_cells_without_broadcast(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_near_pairs_carry_names_and_nothing_is_broadcast(spark, monkeypatch):
+    """Pairs come with their documents' ids, without a join with the hashes; where links are joined, no side goes through the driver."""
+    rng = random.Random(12)
+    rows = [(2**53 + 1 + 2 * k, sum(1 << rng.randrange(64) for _ in range(3)) - 2**63, 1 << rng.randrange(60)) for k in range(150)]
+    rows += [(k + 1, a ^ 1, d) for k, a, d in rows[:40]] + [(k + 1001, a, d) for k, a, d in rows[:40]]
+    df = spark.createDataFrame(rows, "doc_id long, ahash long, dhash long")
+    monkeypatch.setattr(curation, "prints", lambda spark, d: df)
+    found = curation.hamming_pairs(spark, "")
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    least = {}
+    for k, *h in sorted(rows):
+        least.setdefault(tuple(h), k)
+    far = lambda x, y: max(((p ^ q) & (2**64 - 1)).bit_count() for p, q in zip(x, y))
+    want = sorted((min(k, m), max(k, m), far(x, y)) for (x, k), (y, m) in itertools.combinations(least.items(), 2) if far(x, y) <= 6)
+    assert sorted(tuple(r) for r in found.collect()) == want and len(want) >= 40
+    plans = []
+    monkeypatch.setattr(dedup, "cut", lambda df, real=dedup.cut: plans.append((df.columns, df._jdf.queryExecution().executedPlan().toString())) or real(df))
+    dedup.duplicate_links(df.selectExpr("doc_id as key", "cast(doc_id as string) as sha256", "ahash", "dhash"))
+    (near,) = [plan for columns, plan in plans if columns == ["u", "v", "dist"]]
+    assert "Broadcast" not in near
+
+
 def test_near_dup_filter_matches_a_loop(spark):
     rng = random.Random(4)
     rows = [(k, rng.randrange(60), f"p{rng.randrange(70)}", rng.choice([1.0, 1.01, 2.0]), rng.choice([0, 1, 3, 255]), rng.choice([0, 2, 7, 4095])) for k in range(90)]
